@@ -49,7 +49,8 @@ def enrich_by_key(base: DataFrame, updates: DataFrame, key: str, fields: Sequenc
     new value is present (``coalesce(new, old)``).  Updates are reduced to one row per key
     first; ``_matched`` marks rows that found an update (for F9)."""
     u = updates.where(F.col(f"`{key}`").isNotNull())
-    u = latest_per_key(u.select(key, *fields, *(order or [])), key, order or list(fields))
+    cols = list(dict.fromkeys([key, *fields, *(order or [])]))
+    u = latest_per_key(u.select(*[F.col(f"`{x}`") for x in cols]), key, order or list(fields))
     ren = u.select(F.col(f"`{key}`").alias("_u_key"), *[F.col(f"`{f}`").alias(f"_u_{f}") for f in fields])
     j = base.join(ren, F.col(f"`{key}`") == F.col("_u_key"), "left")
     for f in fields:
@@ -76,13 +77,14 @@ def enrich_affiliations(ids: DataFrame, profiles: DataFrame, key: str = "@affid"
 
 
 # E4 ------------------------------------------------------------------------------------
-def enrich_abstract_keywords(papers: DataFrame, extra: DataFrame, key: str = "eid") -> DataFrame:
+def enrich_abstract_keywords(papers: DataFrame, extra: DataFrame, key: str = "eid", keep_unmatched: bool = False) -> DataFrame:
     """Attach ``abstract`` and ``author-keyword`` fetched per ``eid`` (first abstract or
-    NULL, keywords or [])."""
+    NULL, keywords or []).  A paper whose details could not be fetched is not emitted
+    (source behaviour) unless ``keep_unmatched``."""
     e = latest_per_key(extra.where(F.col(key).isNotNull()), key, ["abstract"])
     e = e.select(F.col(key).alias("_e_key"), F.col("abstract").alias("_e_abstract"),
                  F.coalesce(F.col("`author-keyword`"), F.array().cast("array<string>")).alias("_e_kw"))
-    j = papers.join(e, F.col(f"`{key}`") == F.col("_e_key"), "left")
+    j = papers.join(e, F.col(f"`{key}`") == F.col("_e_key"), "left" if keep_unmatched else "inner")
     return (j.withColumn("abstract", F.col("_e_abstract"))
              .withColumn("author-keyword", F.col("_e_kw"))
              .drop("_e_key", "_e_abstract", "_e_kw"))

@@ -446,3 +446,552 @@ SELECT r.paper_id, r.year, r.category, r.rn FROM r JOIN q ON q.year = r.year AND
 def q_h4(spark, sf):
     out = FI.apply_quota(_categorised(spark, sf), YEAR_QUOTAS, order=["paper_id"])
     return out.select("paper_id", "year", "category", F.col("rn").cast("bigint").alias("rn"))
+
+
+# ===== C4-C17: conforming, metrics, affiliations, generic flatten ========================
+
+from biblioflow.operators import joins as E  # noqa: E402
+from biblioflow.operators import modeling as L  # noqa: E402
+
+_REFS = '(SELECT "DOI" AS doi, max("References") AS refs FROM refcount_feed GROUP BY "DOI")'
+
+
+def _records_26(spark: SparkSession, sf: str) -> DataFrame:
+    """E1 + C4: search records joined to reference counts, conformed to ``records``."""
+    return C.conform_search_record(E.join_refcounts(search_records(spark, sf), X.refcount_feed(spark, sf)))
+
+
+_C4_SQL = f"""
+SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title, p.document_type, p.source_type, p.cover_date AS publication_date,
+  p.source_title,
+  CASE WHEN pe.first_seq % 5 = 0 THEN NULL ELSE 'G' || pe.first_auid END AS author_given_name,
+  'S' || pe.first_auid AS author_surname, 'author/' || pe.first_auid AS author_url,
+  'Institute ' || pe.first_affid AS author_affiliation,
+  coalesce(r.refs, 0) AS ref_count,
+  CASE WHEN p.paper_id % 3 = 0 THEN NULL ELSE p.paper_id % 2 = 0 END AS open_access,
+  'Institute ' || pe.first_affid AS affiliation,
+  coalesce(TRY_CAST(p.cited_by_raw AS INTEGER), 0) AS cited_by,
+  CAST(NULL AS VARCHAR) AS publisher, CAST(NULL AS VARCHAR) AS subject_code
+FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id LEFT JOIN {_REFS} r ON r.doi = p.doi"""
+
+
+@register("C4_conform_search_record", W(_C4_SQL, "papers", "people", "refcount_feed"))
+def q_c4(spark, sf):
+    return _records_26(spark, sf).select("doi", "title", "document_type", "source_type", "publication_date", "source_title",
+                                         "author_given_name", "author_surname", "author_url", "author_affiliation",
+                                         "ref_count", "open_access", "affiliation", "cited_by", "publisher", "subject_code")
+
+
+@register("C5_first_element", W("""
+SELECT p.paper_id, CASE WHEN pe.first_seq % 5 = 0 THEN NULL ELSE 'G' || pe.first_auid END AS first_given_name,
+  'Institute ' || pe.first_affid AS first_affiliation
+FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id""", "papers", "people"))
+def q_c5(spark, sf):
+    r = search_records(spark, sf)
+    return r.select("paper_id", C.first_field(fc.c("author"), "ce:given-name").alias("first_given_name"),
+                    C.first_field(fc.c("affiliation"), "affilname").alias("first_affiliation"))
+
+
+@register("C6_conform_pad", W("""
+SELECT doi, CAST(NULL AS VARCHAR) AS title, document_type, CAST(NULL AS VARCHAR) AS publisher, ref_count,
+  CAST(NULL AS BOOLEAN) AS open_access, CAST(NULL AS INTEGER) AS cited_by, subject_area FROM papers""", "papers"))
+def q_c6(spark, sf):
+    out = C.conform(X.papers(spark, sf), S.RECORDS)
+    return out.select("doi", "title", "document_type", "publisher", "ref_count", "open_access", "cited_by", "subject_area")
+
+
+@register("C7_conform_alternative", W(f"""
+SELECT p.doi, CASE WHEN p.paper_id % 4 = 0 THEN '[]' ELSE '["kw' || CAST(p.paper_id % 9 AS VARCHAR) || '"]' END AS author_keywords,
+  CASE WHEN p.paper_id % 3 <> 0 AND p.paper_id % 2 = 0 THEN 1 ELSE 0 END AS open_access,
+  TRY_CAST(p.cited_by_raw AS INTEGER) AS cited_by, TRY_CAST(p.cover_date AS DATE) AS publication_date,
+  a.auid, CAST(NULL AS VARCHAR) AS author_given_name, CAST(NULL AS VARCHAR) AS subject_name
+FROM papers p LEFT JOIN authorships a ON a.paper_id = p.paper_id
+WHERE p.doi IS NOT NULL AND ((p.document_type = {_CP} AND p.source_type = {_PR})
+  OR (p.document_type <> {_CP} AND p.source_type <> {_PR}))""", "papers", "authorships"))
+def q_c7(spark, sf):
+    out = D.paper_load_filter(C.conform_search_record_alt(search_records(spark, sf)))
+    return out.select("doi", "author_keywords", "open_access", "cited_by", "publication_date",
+                      F.substring_index(fc.c("author_details.author-url"), "/", -1).alias("auid"),
+                      "author_given_name", "subject_name")
+
+
+_METRICS_SQL = """
+SELECT auid AS author_id,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(citations, 0) END AS citations,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(documents, 0) END AS documents,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(h_index, 0) END AS h_index,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(co_authors_count, 0) END AS co_authors_count,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(cited_by_count, 0) END AS cited_by_count,
+  CASE WHEN stat_null THEN 0 ELSE coalesce(preprints_count, 0) END AS preprints_count
+FROM author_profiles WHERE auid IS NOT NULL"""
+
+
+@register("C8_flatten_author_metrics", W(_METRICS_SQL, "author_profiles"))
+def q_c8(spark, sf):
+    return C.flatten_author_metrics(X.author_profiles(spark, sf))
+
+
+@register("C9_flatten_affiliation", W("""
+SELECT affid AS affiliation_id, coalesce(preferred_name, 'Unknown') AS preferred_name, coalesce(n_variants, 0) AS n_name_variants,
+  CASE WHEN metrics_null THEN 0 ELSE coalesce(documents_count, 0) END AS documents_count,
+  CASE WHEN metrics_null THEN 0 ELSE authors_count END AS authors_count,
+  coalesce(country, 'Unknown') AS country, coalesce(city, 'Unknown') AS city, coalesce(state, 'Unknown') AS state,
+  'Unknown' AS street_address, coalesce(postal_code, 'Unknown') AS postal_code, coalesce(contact, 'Unknown') AS contact_url,
+  coalesce(n_hierarchy, 0) AS n_hierarchy_ids
+FROM affiliation_profiles WHERE affid IS NOT NULL""", "affiliation_profiles"))
+def q_c9(spark, sf):
+    a = C.flatten_affiliation(X.affiliation_profiles(spark, sf))
+    return a.select("affiliation_id", "preferred_name", F.size("name_variants").alias("n_name_variants"), "documents_count",
+                    "authors_count", "country", "city", "state", "street_address", "postal_code", "contact_url",
+                    F.size("hierarchy_ids").alias("n_hierarchy_ids"))
+
+
+NESTED_LISTS = S.NESTED_PAPER  # affiliation kept as raw text for the typed reader; C10 reads it as a list
+_C10_SCHEMA = S.T.StructType([S.T.StructField("abstracts-retrieval-response", S.T.StructType([
+    f if f.name != "affiliation" else S.T.StructField("affiliation", S.T.ArrayType(S.PAPER_AFFILIATION))
+    for f in S.NESTED_PAPER["abstracts-retrieval-response"].dataType.fields]))])
+
+
+@register("C10_generic_flatten", W("""
+SELECT p.doi AS "coredata_prism:doi", p.document_type AS "coredata_subtypeDescription", 'eng' AS "language_@xml:lang",
+  pe.first_affid AS "affiliation_@id", 'Institute ' || pe.first_affid AS "affiliation_affilname",
+  CASE WHEN p.paper_id % 4 = 0 THEN NULL ELSE '[{"$":"kw' || CAST(p.paper_id % 9 AS VARCHAR) || '"}]' END AS "authkeywords_author-keyword",
+  'core' AS "item_ait:process-info.ait:status.@state",
+  CAST(p.ref_count AS VARCHAR) AS "item_bibrecord.tail.bibliography.@refcount"
+FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id""", "papers", "people"))
+def q_c10(spark, sf):
+    docs = X.nested_paper_json(spark, sf).select(F.from_json("json", _C10_SCHEMA).alias("d")).select("d.*")
+    flat = C.flatten_fields(docs)
+    return flat.select(*[F.col(f"`{n}`") for n in (
+        "coredata_prism:doi", "coredata_subtypeDescription", "language_@xml:lang", "affiliation_@id", "affiliation_affilname",
+        "authkeywords_author-keyword", "item_ait:process-info.ait:status.@state", "item_bibrecord.tail.bibliography.@refcount")])
+
+
+@register("C11_nest_author_metrics", W(f"""
+SELECT author_id AS auid, citations, h_index, preprints_count FROM ({_METRICS_SQL}) m""", "author_profiles"))
+def q_c11(spark, sf):
+    n = C.nest_author_metrics(C.flatten_author_metrics(X.author_profiles(spark, sf)))
+    return n.select("auid", fc.c("author_stat.citations").alias("citations"), fc.c("author_stat.h_index").alias("h_index"),
+                    fc.c("author_stat.preprints_count").alias("preprints_count"))
+
+
+def _creator_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Creator field text per paper: an object ``{"author": [...]}`` for even ids, a list of
+    persons for odd ids (built from the authorships)."""
+    a = X.authorships(spark, sf)
+    persons = a.groupBy("paper_id").agg(F.collect_list(F.struct(F.col("auid").alias("@auid"),
+                                                                F.concat(F.lit("S"), "auid").alias("ce:indexed-name"))).alias("people"))
+    raw = F.when(F.col("paper_id") % 2 == 0, F.to_json(F.struct(F.col("people").alias("author")))).otherwise(F.to_json("people"))
+    return persons.select("paper_id", raw.alias("creator"))
+
+
+@register("C12_normalise_creators", W("SELECT paper_id, auid, 'S' || auid AS indexed_name FROM authorships", "authorships"))
+def q_c12(spark, sf):
+    c = _creator_json(spark, sf)
+    x = c.select("paper_id", F.explode(C.normalise_creators(F.col("creator"))).alias("p"))
+    return x.select("paper_id", fc.c("p.@auid").alias("auid"), fc.c("p.ce:indexed-name").alias("indexed_name"))
+
+
+@register("C13_abstract_keywords", W("""
+SELECT doc_id, length(abstract) AS abstract_len,
+  CASE WHEN doc_id % 3 = 0 THEN 0 ELSE len(string_split(title, ' ')) END AS n_keywords
+FROM paper_text""", "paper_text"))
+def q_c13(spark, sf):
+    t = X.paper_text(spark, sf)
+    src = t.select("doc_id", F.when(F.col("abstract").isNull(), F.lit(None).cast("array<string>"))
+                   .otherwise(F.array("abstract", "title")).alias("abstracts"),
+                   F.when(F.col("doc_id") % 3 == 0, F.lit(None).cast("array<string>"))
+                   .otherwise(F.split("title", " ", -1)).alias("keywords"))
+    out = C.abstract_and_keywords(src)
+    return out.select("doc_id", fc.char_len(F.col("abstract")).alias("abstract_len"), F.size("author-keyword").alias("n_keywords"))
+
+
+@register("C14_model_columns", WV("SELECT paper_id, is_full_conference, source_title, ref_count FROM lab"))
+def q_c14(spark, sf):
+    return C.model_columns(D.label_v1(X.papers(spark, sf)), ("paper_id", "is_full_conference", "source_title", "ref_count"))
+
+
+_SUBJECTS = ("Condensed Matter", "Oncology", "Organic Chemistry", "Software")
+
+
+@register("C16_one_hot_subject", WR("SELECT paper_id, " + ", ".join(
+    f"CASE WHEN {_MAIN} = '{s}' THEN 1 ELSE 0 END AS \"main_subject_area_{s}\"" for s in _SUBJECTS) + " FROM records"))
+def q_c16(spark, sf):
+    r = FI.main_subject(records(spark, sf)).select("paper_id", "main_subject_area")
+    return C.one_hot(r, "main_subject_area").drop("main_subject_area")
+
+
+@register("C17_scatter_points", WR(f"SELECT ref_count, cited_by, {_MAIN} AS main_subject_area FROM records"))
+def q_c17(spark, sf):
+    return C.scatter_points(records(spark, sf))
+
+
+# ===== E / G: joins and set operations ===================================================
+
+@register("E1_join_refcounts", W(f"""
+SELECT p.paper_id, p.doi, coalesce(r.refs, 0) AS ref_count
+FROM papers p LEFT JOIN {_REFS} r ON r.doi = p.doi""", "papers", "refcount_feed"))
+def q_e1(spark, sf):
+    j = E.join_refcounts(search_records(spark, sf), X.refcount_feed(spark, sf))
+    return j.select("paper_id", fc.c("prism:doi").alias("doi"), F.col("ref_count").cast("int").alias("ref_count"))
+
+
+def _author_updates(spark: SparkSession, sf: str) -> DataFrame:
+    li = table_li(spark, sf)
+    return li.select(F.concat(F.lit(X.DOI_PREFIX), F.col("l_orderkey").cast("string")).alias("doi"),
+                     F.concat(F.lit("SA"), F.col("l_suppkey").cast("string")).alias("author"),
+                     F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string"))
+                     .otherwise((F.col("l_partkey") % 97).cast("string")).alias("source_id"),
+                     F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("ord"))
+
+
+def table_li(spark: SparkSession, sf: str) -> DataFrame:
+    from biblioflow.session import table
+    return table(spark, sf, "lineitem")
+
+
+_UPD_SQL = """
+u AS (SELECT '10.1000/' || CAST(l_orderkey AS VARCHAR) AS doi, 'SA' || CAST(l_suppkey AS VARCHAR) AS author,
+        CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_partkey % 97 AS VARCHAR) END AS source_id,
+        l_linenumber AS seq, l_partkey AS ord FROM lineitem),
+u1 AS (SELECT * FROM (SELECT u.*, row_number() OVER (PARTITION BY doi ORDER BY seq DESC, ord DESC, author DESC) AS rn FROM u) WHERE rn = 1),
+base AS (SELECT p.paper_id, p.doi, 'S' || pe.first_auid AS author, CAST(p.paper_id % 97 AS VARCHAR) AS source_id
+         FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id),
+enr AS (SELECT b.paper_id, b.doi, coalesce(u1.author, b.author) AS author, coalesce(u1.source_id, b.source_id) AS source_id,
+          u1.doi IS NOT NULL AS matched FROM base b LEFT JOIN u1 ON u1.doi = b.doi)"""
+
+
+def _enriched_by_doi(spark: SparkSession, sf: str) -> DataFrame:
+    base = search_records(spark, sf).select("paper_id", fc.c("prism:doi").alias("doi"), fc.c("dc:creator").alias("author"),
+                                            fc.c("source-id").alias("source_id"))
+    return E.enrich_by_key(base, _author_updates(spark, sf), "doi", ["author", "source_id"], order=["seq", "ord", "author"])
+
+
+@register("E2_enrich_by_doi", W(f", {_UPD_SQL.strip()}\nSELECT paper_id, doi, author, source_id, matched FROM enr", "papers", "people"))
+def q_e2(spark, sf):
+    return _enriched_by_doi(spark, sf).withColumnRenamed("_matched", "matched")
+
+
+@register("F9_retrieval_stats", W(f""", {_UPD_SQL.strip()}
+SELECT count(*) AS total, count(*) FILTER (WHERE matched) AS success, count(*) FILTER (WHERE NOT matched) AS failed,
+  round(count(*) FILTER (WHERE matched) * 100.0 / count(*), 4) AS success_pct FROM enr""", "papers", "people"))
+def q_f9(spark, sf):
+    return FI.retrieval_stats(_enriched_by_doi(spark, sf))
+
+
+@register("E3_enrich_affiliations", W("""
+SELECT a.paper_id, a.seq, a.affid AS "@affid", ap.preferred_name AS "preferredName",
+  CASE WHEN ap.affid IS NULL THEN NULL WHEN ap.metrics_null THEN NULL ELSE ap.documents_count END AS documents_count,
+  ap.country, ap.contact, ap.affid IS NOT NULL AS matched
+FROM authorships a LEFT JOIN affiliation_profiles ap ON ap.affid = a.affid
+WHERE a.affid IS NOT NULL""", "authorships", "affiliation_profiles"))
+def q_e3(spark, sf):
+    ids = X.authorships(spark, sf).where(F.col("affid").isNotNull()).select("paper_id", "seq", F.col("affid").alias("@affid"))
+    prof = X.affiliation_profiles(spark, sf)
+    return _e3_select(E.enrich_affiliations(ids, prof))
+
+
+def _e3_select(out: DataFrame) -> DataFrame:
+    return out.select("paper_id", "seq", "@affid", "preferredName", fc.c("metrics.documentsCount").alias("documents_count"),
+                      fc.c("address.country").alias("country"), "contact", F.col("metrics").isNotNull().alias("matched"))
+
+
+@register("E4_enrich_abstract_keywords", W("""
+SELECT p.paper_id, length(t.abstract) AS abstract_len, len(string_split(t.title, ' ')) AS n_keywords
+FROM papers p JOIN paper_text t ON p.eid = '2-s2.0-' || CAST(t.doc_id AS VARCHAR)""", "papers", "paper_text"))
+def q_e4(spark, sf):
+    t = X.paper_text(spark, sf)
+    extra = t.select(F.concat(F.lit(X.EID_PREFIX), F.col("doc_id").cast("string")).alias("eid"), "abstract",
+                     F.split("title", " ", -1).alias("author-keyword"))
+    p = search_records(spark, sf).select("paper_id", "eid")
+    out = E.enrich_abstract_keywords(p, extra)
+    return out.select("paper_id", fc.char_len(F.col("abstract")).alias("abstract_len"), F.size("author-keyword").alias("n_keywords"))
+
+
+@register("E5_new_papers", W("""
+SELECT paper_id, doi FROM papers WHERE doi IS NOT NULL AND doi NOT IN (SELECT "DOI" FROM refcount_feed)""", "papers", "refcount_feed"))
+def q_e5(spark, sf):
+    known = X.refcount_feed(spark, sf).select(F.col("DOI").alias("doi"))
+    return E.new_papers(X.papers(spark, sf), known).select("paper_id", "doi")
+
+
+@register("G1_union_all", W("""
+SELECT paper_id, doi, CAST(NULL AS VARCHAR) AS auid, 'paper' AS kind FROM papers
+UNION ALL SELECT paper_id, NULL, auid, 'author' FROM authorships""", "papers", "authorships"))
+def q_g1(spark, sf):
+    p = X.papers(spark, sf).select("paper_id", "doi", F.lit("paper").alias("kind"))
+    a = X.authorships(spark, sf).select("paper_id", "auid", F.lit("author").alias("kind"))
+    return E.union_all([p, a]).select("paper_id", "doi", "auid", "kind")
+
+
+@register("G2_union_distinct", W("""
+SELECT auid FROM authorships UNION SELECT auid FROM author_profiles WHERE auid IS NOT NULL""", "authorships", "author_profiles"))
+def q_g2(spark, sf):
+    a = X.authorships(spark, sf).select("auid")
+    b = X.author_profiles(spark, sf).where(F.col("auid").isNotNull()).select("auid")
+    return E.union_distinct(a, b)
+
+
+@register("G3_set_difference", W("""
+SELECT a.paper_id, a.auid FROM authorships a WHERE a.auid NOT IN (SELECT auid FROM author_profiles WHERE auid IS NOT NULL)""",
+                                 "authorships", "author_profiles"))
+def q_g3(spark, sf):
+    a = X.authorships(spark, sf).select("paper_id", "auid")
+    known = X.author_profiles(spark, sf).select("auid")
+    return E.new_papers(a, known, doi="auid", known_doi="auid")
+
+
+# ===== I: scalar functions ===============================================================
+
+@register("I1_parse_dates", W("""
+SELECT paper_id, TRY_CAST(cover_date AS DATE) AS publication_date, year(TRY_CAST(cover_date AS DATE)) AS year FROM papers""", "papers"))
+def q_i1(spark, sf):
+    p = X.papers(spark, sf)
+    return p.select("paper_id", fc.parse_date(F.col("cover_date")).alias("publication_date"), fc.year_of(F.col("cover_date")).alias("year"))
+
+
+@register("I2_int_cast_default", W("""
+SELECT paper_id, coalesce(TRY_CAST(cited_by_raw AS INTEGER), 0) AS cited_by FROM papers""", "papers"))
+def q_i2(spark, sf):
+    return X.papers(spark, sf).select("paper_id", fc.to_int(F.col("cited_by_raw"), 0).alias("cited_by"))
+
+
+@register("I3_concat_ws", W("""
+SELECT paper_id, concat_ws('-', split_part(cover_date, '-', 1),
+  CASE WHEN paper_id % 5 = 0 THEN NULL ELSE split_part(cover_date, '-', 2) END,
+  CASE WHEN paper_id % 9 = 0 THEN NULL ELSE split_part(cover_date, '-', 3) END) AS delivered_date,
+  concat_ws('-', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)) AS empty_date FROM papers""", "papers"))
+def q_i3(spark, sf):
+    p = X.papers(spark, sf)
+    part = lambda i: F.split_part(F.col("cover_date"), F.lit("-"), F.lit(i))
+    m = F.when(F.col("paper_id") % 5 == 0, F.lit(None).cast("string")).otherwise(part(2))
+    d = F.when(F.col("paper_id") % 9 == 0, F.lit(None).cast("string")).otherwise(part(3))
+    nul = F.lit(None).cast("string")
+    return p.select("paper_id", fc.delivered_date(part(1), m, d).alias("delivered_date"),
+                    fc.delivered_date(nul, nul, nul).alias("empty_date"))
+
+
+@register("I4_null_defaults", W("""
+SELECT paper_id, coalesce(source_title, 'Unknown') AS source_title, coalesce(ref_count, 0) AS ref_count FROM papers""", "papers"))
+def q_i4(spark, sf):
+    p = X.papers(spark, sf)
+    return p.select("paper_id", fc.default(F.col("source_title"), "Unknown").alias("source_title"),
+                    fc.default(F.col("ref_count"), 0).alias("ref_count"))
+
+
+@register("I5_flag_01", W("""
+SELECT paper_id, CASE WHEN paper_id % 3 <> 0 AND paper_id % 2 = 0 THEN 1 ELSE 0 END AS open_access FROM papers""", "papers"))
+def q_i5(spark, sf):
+    return search_records(spark, sf).select("paper_id", fc.flag01(fc.c("openaccessFlag")).alias("open_access"))
+
+
+@register("I6_to_json", W("""
+SELECT paper_id, CASE WHEN paper_id % 4 = 0 THEN NULL ELSE '["kw' || CAST(paper_id % 9 AS VARCHAR) || '"]' END AS keywords_json FROM papers""",
+                          "papers"))
+def q_i6(spark, sf):
+    return search_records(spark, sf).select("paper_id", fc.json_text(fc.c("author-keyword")).alias("keywords_json"))
+
+
+@register("I7_phrase_match", W(f"""
+SELECT paper_id, coalesce(lower(document_type) = 'conference paper', false) AS is_conference_paper,
+  coalesce(lower(source_title) LIKE '%workshop%' OR lower(source_title) LIKE '%symposium%', false) AS has_event_term
+FROM papers""", "papers"))
+def q_i7(spark, sf):
+    p = X.papers(spark, sf)
+    return p.select("paper_id", fc.lower_eq(F.col("document_type"), "Conference Paper").alias("is_conference_paper"),
+                    fc.contains_any(F.col("source_title"), ("workshop", "symposium")).alias("has_event_term"))
+
+
+@register("I8_char_length", W("SELECT doc_id, length(title) AS title_len, length(abstract) AS abstract_len FROM paper_text", "paper_text"))
+def q_i8(spark, sf):
+    t = X.paper_text(spark, sf)
+    return t.select("doc_id", fc.char_len(F.col("title")).alias("title_len"), fc.char_len(F.col("abstract")).alias("abstract_len"))
+
+
+@register("I9_first_list_item", W(f"""
+SELECT paper_id, {_MAIN} AS main_subject_area,
+  CASE WHEN subject_area IS NULL OR subject_area = '' THEN NULL ELSE substr(split_part(subject_area, ',', 1), 2) END AS model_subject
+FROM papers""", "papers"))
+def q_i9(spark, sf):
+    p = X.papers(spark, sf)
+    return p.select("paper_id", fc.first_item_dashboard(F.col("subject_area")).alias("main_subject_area"),
+                    fc.first_item_modelling(F.col("subject_area")).alias("model_subject"))
+
+
+def _count_text(p: DataFrame) -> Column:
+    k = F.col("paper_id") % 4
+    raw = F.col("cited_by_raw")
+    return (F.when(k == 0, F.concat(raw, F.lit(","), F.lpad((F.col("paper_id") % 1000).cast("string"), 3, "0")))
+            .when(k == 1, F.concat(F.lit(" "), raw, F.lit(" "))).when(k == 2, F.concat(F.lit("x"), raw)))
+
+
+from pyspark.sql import Column  # noqa: E402
+
+
+@register("I10_count_text_to_int", W("""
+, t AS (SELECT paper_id, CASE paper_id % 4 WHEN 0 THEN cited_by_raw || ',' || lpad(CAST(paper_id % 1000 AS VARCHAR), 3, '0')
+  WHEN 1 THEN ' ' || cited_by_raw || ' ' WHEN 2 THEN 'x' || cited_by_raw ELSE NULL END AS txt FROM papers)
+SELECT paper_id, txt, coalesce(TRY_CAST(trim(replace(txt, ',', '')) AS BIGINT), 0) AS value FROM t""", "papers"))
+def q_i10(spark, sf):
+    p = X.papers(spark, sf)
+    t = p.select("paper_id", _count_text(p).alias("txt"))
+    return t.select("paper_id", "txt", fc.count_text_to_int(F.col("txt")).alias("value"))
+
+
+def _metric_texts(spark: SparkSession, sf: str) -> DataFrame:
+    a = X.author_profiles(spark, sf).where(F.col("auid").isNotNull())
+    st = lambda f: fc.c(f"author_stat.{f}")
+    block = F.concat_ws("\n", F.format_number(st("citations"), 0), F.lit("Citations by"), st("documents").cast("string"),
+                        F.lit("Documents"), st("h_index").cast("string"))
+    co = F.when(st("co_authors_count") % 10 == 0, F.lit("")).otherwise(F.concat(st("co_authors_count").cast("string"), F.lit(" Co-authors")))
+    cb = F.concat(F.lit("Cited by "), F.format_number(st("cited_by_count"), 0), F.lit(" documents"))
+    pp = F.concat(st("preprints_count").cast("string"), F.lit(" Preprints"))
+    return a.select("auid", block.alias("block"), co.alias("co"), cb.alias("cb"), pp.alias("pp"))
+
+
+_MT_SQL = """
+, a AS (SELECT * FROM author_profiles WHERE auid IS NOT NULL),
+t AS (SELECT auid,
+  CASE WHEN stat_null THEN NULL ELSE concat_ws(chr(10), CASE WHEN citations IS NULL THEN NULL ELSE format('{:,}', citations) END, 'Citations by',
+     CAST(documents AS VARCHAR), 'Documents', CAST(h_index AS VARCHAR)) END AS block,
+  CASE WHEN stat_null THEN NULL WHEN co_authors_count % 10 = 0 THEN '' ELSE CAST(co_authors_count AS VARCHAR) || ' Co-authors' END AS co,
+  CASE WHEN stat_null THEN NULL ELSE 'Cited by ' || format('{:,}', cited_by_count) || ' documents' END AS cb,
+  CASE WHEN stat_null THEN NULL ELSE CAST(preprints_count AS VARCHAR) || ' Preprints' END AS pp FROM a)
+SELECT auid,
+  coalesce(TRY_CAST(trim(replace(string_split(block, chr(10))[1], ',', '')) AS BIGINT), 0) AS citations,
+  coalesce(TRY_CAST(trim(replace(string_split(block, chr(10))[3], ',', '')) AS BIGINT), 0) AS documents,
+  coalesce(TRY_CAST(trim(replace(string_split(block, chr(10))[5], ',', '')) AS BIGINT), 0) AS h_index,
+  CASE WHEN coalesce(contains(co, ' '), false) THEN coalesce(TRY_CAST(trim(replace(split_part(co, ' ', 1), ',', '')) AS BIGINT), 0) ELSE 0 END AS co_authors_count,
+  CASE WHEN coalesce(len(string_split(cb, ' ')) > 2, false) THEN coalesce(TRY_CAST(trim(replace(string_split(cb, ' ')[3], ',', '')) AS BIGINT), 0) ELSE 0 END AS cited_by_count,
+  CASE WHEN coalesce(contains(pp, ' '), false) THEN coalesce(TRY_CAST(trim(replace(split_part(pp, ' ', 1), ',', '')) AS BIGINT), 0) ELSE 0 END AS preprints_count
+FROM t"""
+
+
+@register("I11_metric_block_parse", W(_MT_SQL, "author_profiles"))
+def q_i11(spark, sf):
+    t = _metric_texts(spark, sf)
+    return t.select("auid", *fc.metric_block(F.col("block"), F.col("co"), F.col("cb"), F.col("pp")))
+
+
+@register("I12_json_records", W(f"""
+SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title, pe.n_authors, pe.first_auid
+FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id""", "papers", "people"))
+def q_i12(spark, sf):
+    d = nested_docs(spark, sf)
+    arr = fc.json_records(fc.c("abstracts-retrieval-response.authors.author"), S.AUTHOR)
+    return d.select(fc.c("abstracts-retrieval-response.coredata.prism:doi").alias("doi"),
+                    fc.c("abstracts-retrieval-response.coredata.dc:title").alias("title"),
+                    F.size(arr).cast("bigint").alias("n_authors"), F.get(arr, 0).getField("@auid").alias("first_auid"))
+
+
+_PRED_SQL = """
+, s AS (SELECT doc_id, CAST(quality AS INTEGER) AS label, CAST(toxic AS INTEGER) AS prediction,
+          (doc_id % 100) / 100.0 AS p1 FROM labels)"""
+
+
+def _scored_labels(spark: SparkSession, sf: str) -> DataFrame:
+    from biblioflow.session import table
+    lab = table(spark, sf, "labels")
+    return lab.select("doc_id", F.col("quality").cast("int").alias("label"), F.col("toxic").cast("int").alias("prediction"),
+                      ((F.col("doc_id") % 100) / 100.0).alias("p1"))
+
+
+@register("I13_prediction_presentation", W(_PRED_SQL + """
+SELECT doc_id, CASE WHEN prediction = 1 THEN 'Successful' ELSE 'Unsuccessful' END AS prediction_text,
+  round(greatest(1 - p1, p1) * 100, 2) AS confidence,
+  CASE WHEN p1 * 100 < 33 THEN 0 WHEN p1 * 100 < 66 THEN 1 ELSE 2 END AS gauge_band FROM s""", "papers"))
+def q_i13(spark, sf):
+    s = _scored_labels(spark, sf)
+    return s.select("doc_id", fc.prediction_text(F.col("prediction")).alias("prediction_text"),
+                    fc.confidence_pct(1 - F.col("p1"), F.col("p1")).alias("confidence"), fc.gauge_band(F.col("p1")).alias("gauge_band"))
+
+
+@register("I14_percent_share", WR("""
+SELECT document_type, n, round(n * 100.0 / sum(n) OVER (), 4) AS pct FROM
+ (SELECT document_type, count(*) AS n FROM records WHERE document_type IS NOT NULL GROUP BY 1) t"""))
+def q_i14(spark, sf):
+    vc = FI.value_counts(records(spark, sf), "document_type")
+    return fc.percent_of_total(vc, "n")
+
+
+# ===== L (relational part): features, weights, split, evaluation ========================
+
+@register("L2_scalar_features", W("""
+SELECT doc_id, ref_count, length(abstract) AS abstract_len, length(title) AS title_len FROM model_frame""", "model_frame"))
+def q_l2(spark, sf):
+    return L.scalar_features(X.model_frame(spark, sf)).select("doc_id", "ref_count", "abstract_len", "title_len")
+
+
+@register("L5_class_weights", W("""
+SELECT label, n_c, round((SELECT count(*) FROM model_frame) / ((SELECT count(DISTINCT label) FROM model_frame) * n_c), 6) AS weight
+FROM (SELECT label, count(*) AS n_c FROM model_frame GROUP BY label) t""", "model_frame"))
+def q_l5(spark, sf):
+    w = L.class_weights(X.model_frame(spark, sf), "label")
+    return w.select("label", "n_c", F.round("weight", 6).alias("weight"))
+
+
+@register("L6_sample_weights", W("""
+, w AS (SELECT label, (SELECT count(*) FROM model_frame) / ((SELECT count(DISTINCT label) FROM model_frame) * count(*)) AS weight
+        FROM model_frame GROUP BY label)
+SELECT m.doc_id, m.label, round(w.weight, 6) AS weight FROM model_frame m JOIN w ON w.label = m.label""", "model_frame"))
+def q_l6(spark, sf):
+    out = L.with_class_weights(X.model_frame(spark, sf), "label")
+    return out.select("doc_id", "label", F.round("weight", 6).alias("weight"))
+
+
+@register("L7_stratified_split", W("""
+SELECT doc_id, label, rn <= round(0.2 * n_c) AS is_test FROM (
+  SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY label) AS n_c
+  FROM model_frame) t""", "model_frame"))
+def q_l7(spark, sf):
+    s = L.stratified_split(X.model_frame(spark, sf), "label", order=F.col("doc_id"), id_col="doc_id")
+    return s.select("doc_id", "label", "is_test")
+
+
+_REPORT_SQL = _PRED_SQL + """,
+cells AS (SELECT label, prediction, count(*) AS n FROM s GROUP BY 1, 2),
+cls AS (SELECT label AS c FROM cells UNION SELECT prediction FROM cells),
+per AS (SELECT c,
+  coalesce((SELECT sum(n) FROM cells WHERE label = c AND prediction = c), 0) AS tp,
+  coalesce((SELECT sum(n) FROM cells WHERE label = c), 0) AS support,
+  coalesce((SELECT sum(n) FROM cells WHERE prediction = c), 0) AS pred_n FROM cls),
+m AS (SELECT c, CASE WHEN pred_n = 0 THEN 0.0 ELSE tp / pred_n END AS precision,
+  CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall, support FROM per),
+f AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1_score FROM m),
+rep AS (
+SELECT CAST(c AS VARCHAR) AS class, precision, recall, f1_score, support FROM f
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM f
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1_score * support) / sum(support), sum(support) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT sum(n) FROM cells WHERE label = prediction) / (SELECT sum(n) FROM cells), sum(support) FROM f)"""
+
+
+@register("L13_classification_report", W(_REPORT_SQL + """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support FROM rep""",
+                                         "papers"))
+def q_l13(spark, sf):
+    return L.classification_report(_scored_labels(spark, sf))
+
+
+@register("L14_confusion_matrix", W(_PRED_SQL + """
+SELECT c.label, count(*) FILTER (WHERE s.prediction = 0) AS pred_0, count(*) FILTER (WHERE s.prediction = 1) AS pred_1
+FROM (VALUES (0), (1)) c(label) LEFT JOIN s ON s.label = c.label GROUP BY c.label""", "papers"))
+def q_l14(spark, sf):
+    return L.confusion_matrix(_scored_labels(spark, sf))
+
+
+@register("L15_confusion_percentages", W(_PRED_SQL + """
+SELECT label, prediction, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM s), 4) AS pct FROM s GROUP BY 1, 2""", "papers"))
+def q_l15(spark, sf):
+    return L.confusion_percentages(_scored_labels(spark, sf))
+
+
+@register("L19_metric_table", W(_REPORT_SQL + """,
+per2 AS (SELECT * FROM rep WHERE class NOT IN ('accuracy', 'macro avg', 'weighted avg')),
+nm AS (SELECT CASE WHEN class = '1' THEN 'Successful' ELSE 'Not Successful' END AS class_name, * FROM per2)
+SELECT class_name, 'Precision' AS metric, round(round(precision, 6) * 100.0, 4) AS value FROM nm
+UNION ALL SELECT class_name, 'Recall', round(round(recall, 6) * 100.0, 4) FROM nm
+UNION ALL SELECT class_name, 'F1-score', round(round(f1_score, 6) * 100.0, 4) FROM nm
+UNION ALL SELECT class_name, 'Support share', round(support * 100.0 / (SELECT sum(support) FROM per2), 4) FROM nm""", "papers"))
+def q_l19(spark, sf):
+    return L.metric_table(L.classification_report(_scored_labels(spark, sf)))

@@ -134,6 +134,16 @@ def affiliation_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents: ``label`` = quality, text split into title / abstract,
+    ``ref_count`` = number of lines of the abstract (NULL when the abstract is)."""
+    lab = table(spark, sf_dir, "labels")
+    t = paper_text(spark, sf_dir)
+    j = lab.join(t, "doc_id", "inner")
+    return j.select("doc_id", F.col("quality").cast("int").alias("label"), "title", "abstract",
+                    F.size(F.split(F.col("abstract"), "\n", -1)).alias("ref_count"))
+
+
 # --- JSON text of the paper feeds -------------------------------------------------------
 
 def _authors_by_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,10 +332,33 @@ SELECT CASE WHEN s_suppkey % 50 = 13 THEN NULL ELSE 'A' || CAST(s_suppkey AS VAR
   CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CAST(s_suppkey % 6 AS INTEGER) END AS preprints_count,
   s_suppkey
 FROM supplier""",
+    "affiliation_profiles": """
+SELECT CASE WHEN s_suppkey % 40 = 11 THEN NULL ELSE 'F' || CAST(s_suppkey AS VARCHAR) END AS affid,
+  CASE WHEN s_suppkey % 6 = 1 THEN NULL ELSE s_name END AS preferred_name,
+  CASE WHEN s_suppkey % 5 = 2 THEN NULL ELSE 2 END AS n_variants,
+  s_suppkey % 8 = 3 AS metrics_null,
+  CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE CAST(s_suppkey % 900 AS INTEGER) END AS documents_count,
+  CAST(s_suppkey % 120 AS INTEGER) AS authors_count,
+  n_name AS country, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'City ' || CAST(s_suppkey % 13 AS VARCHAR) END AS city,
+  r_name AS state, CAST(10000 + s_suppkey % 9000 AS VARCHAR) AS postal_code,
+  CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE NULL END AS n_hierarchy,
+  CASE WHEN s_suppkey % 3 = 1 THEN NULL ELSE 'contact/' || CAST(s_suppkey AS VARCHAR) END AS contact,
+  s_suppkey
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "people": """
+SELECT paper_id, count(*) AS n_authors,
+  first(auid ORDER BY seq, auid, affid NULLS FIRST) AS first_auid,
+  first(seq ORDER BY seq, auid, affid NULLS FIRST) AS first_seq,
+  first(affid ORDER BY seq, auid, affid) FILTER (WHERE affid IS NOT NULL) AS first_affid
+FROM authorships GROUP BY paper_id""",
+    "model_frame": """
+SELECT l.doc_id, CAST(l.quality AS INTEGER) AS label, t.title, t.abstract,
+  len(string_split(t.abstract, chr(10))) AS ref_count
+FROM labels l JOIN paper_text t ON t.doc_id = l.doc_id""",
 }
 
 # dependencies between the SQL fixtures (each listed after what it uses)
-_DEPS = {"subjects": ("papers",)}
+_DEPS = {"subjects": ("papers",), "people": ("authorships",), "model_frame": ("paper_text",)}
 
 
 def with_fixtures(body: str, *names: str) -> str:

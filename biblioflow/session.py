@@ -31,7 +31,7 @@ SCALE_DEFAULTS = {
 
 def build_session(master: str | None = None, app: str = "biblioflow", shuffle_partitions: int | None = None) -> SparkSession:
     """Local/test session; on a cluster use the platform session and call ``tuned``."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         b = b.master(master)
     if shuffle_partitions:
