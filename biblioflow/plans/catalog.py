@@ -995,3 +995,282 @@ UNION ALL SELECT class_name, 'F1-score', round(round(f1_score, 6) * 100.0, 4) FR
 UNION ALL SELECT class_name, 'Support share', round(support * 100.0 / (SELECT sum(support) FROM per2), 4) FROM nm""", "papers"))
 def q_l19(spark, sf):
     return L.metric_table(L.classification_report(_scored_labels(spark, sf)))
+
+
+# ===== A / B: sources and sinks (round trips through the shared folder) ===================
+
+from biblioflow.session import scratch_path, table  # noqa: E402
+from biblioflow.sources import readers as R  # noqa: E402
+from biblioflow.sources import sinks as B  # noqa: E402
+from biblioflow.streaming import feeds as K  # noqa: E402
+
+_PAPER_KEYS_SQL = "SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, document_type FROM papers"
+
+
+@register("A1_concatenated_object_scan", W(_PAPER_KEYS_SQL, "papers"))
+def q_a1(spark, sf):
+    """Files of back-to-back objects, half of them pretty-printed over many lines (Spark's
+    JSON reader cannot split these; the A1 splitter can)."""
+    base = scratch_path(spark, "a1-concatenated")
+    nested = X.nested_paper_json(spark, sf)
+    pretty = F.to_json(F.from_json("json", S.NESTED_PAPER), {"pretty": "true"})
+    nested.select(F.when(F.col("paper_id") % 2 == 0, pretty).otherwise(F.col("json")).alias("value")).write.text(base)
+    good, _bad = R.read_concatenated_json(spark, base, S.NESTED_PAPER, glob=None)
+    return C.flatten_nested_paper(good).select("doi", "title", "document_type")
+
+
+_SEARCH_KEYS_SQL = "SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, cited_by_raw AS cited_by_text FROM papers"
+
+
+def _search_out(df: DataFrame) -> DataFrame:
+    return df.select(fc.c("prism:doi").alias("doi"), fc.c("dc:title").alias("title"), fc.c("citedby-count").alias("cited_by_text"))
+
+
+@register("A2_lenient_array_scan", W(_SEARCH_KEYS_SQL, "papers"))
+def q_a2(spark, sf):
+    """Array files written without brackets and with a trailing comma after every record."""
+    base = scratch_path(spark, "a2-lenient")
+    X.search_paper_json(spark, sf).select(F.concat("json", F.lit(",")).alias("value")).write.text(base)
+    good, _bad = R.read_lenient_array(spark, base, S.SEARCH_PAPER, glob=None)
+    return _search_out(good)
+
+
+@register("A3_array_or_objects_scan", W(_SEARCH_KEYS_SQL, "papers"))
+def q_a3(spark, sf):
+    """Even ids as proper JSON-array files (one array per 500-id block), odd ids as
+    newline-separated objects (falls back to the object splitter)."""
+    base = scratch_path(spark, "a3-mixed")
+    js = X.search_paper_json(spark, sf)
+    even = js.where(F.col("paper_id") % 2 == 0).groupBy((F.col("paper_id") / 500).cast("long").alias("blk")).agg(
+        F.concat(F.lit("["), F.concat_ws(",", F.collect_list("json")), F.lit("]")).alias("value"))
+    even.write.partitionBy("blk").text(f"{base}/arrays")  # one array per file
+    js.where(F.col("paper_id") % 2 == 1).select(F.col("json").alias("value")).write.text(f"{base}/objects")
+    arrays, _ = R.read_array_or_objects(spark, f"{base}/arrays", S.SEARCH_PAPER, glob=None)
+    objects, _ = R.read_array_or_objects(spark, f"{base}/objects", S.SEARCH_PAPER, glob=None)
+    return _search_out(arrays.unionByName(objects))
+
+
+@register("A4_inferred_schema_scan", W(_SEARCH_KEYS_SQL, "papers"))
+def q_a4(spark, sf):
+    base = scratch_path(spark, "a4-jsonl")
+    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(base)
+    return _search_out(R.read_json_inferred(spark, base))
+
+
+@register("A5_fixed_schema_scan", W("""
+SELECT doi, CASE WHEN paper_id % 3 = 0 THEN NULL ELSE paper_id % 2 = 0 END AS open_access, cited_by_raw AS cited_by_text,
+  CAST(NULL AS VARCHAR) AS issn FROM papers""", "papers"))
+def q_a5(spark, sf):
+    base = scratch_path(spark, "a5-jsonl")
+    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(base)
+    df = R.read_json_fixed(spark, base, S.SEARCH_PAPER)
+    return df.select(fc.c("prism:doi").alias("doi"), fc.c("openaccessFlag").alias("open_access"),
+                     fc.c("citedby-count").alias("cited_by_text"), fc.c("prism:issn").alias("issn"))
+
+
+def _year_partitioned(spark: SparkSession, sf: str, name: str) -> str:
+    base = scratch_path(spark, name)
+    js = X.search_paper_json(spark, sf).withColumn("year", F.col("year") + YEAR_SHIFT)
+    js.select(F.col("json").alias("value"), "year").write.partitionBy("year").text(base)
+    return base
+
+
+@register("A6_year_folder_scan", W(f"""
+SELECT doi, year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} AS year FROM papers
+WHERE year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} BETWEEN 2013 AND 2023""", "papers"))
+def q_a6(spark, sf):
+    from biblioflow.functions.terms import FIRST_YEAR, LAST_YEAR
+
+    base = _year_partitioned(spark, sf, "a6-years")
+    df = R.read_partitioned_years(spark, base, S.SEARCH_PAPER, FIRST_YEAR, LAST_YEAR)
+    return df.select(fc.c("prism:doi").alias("doi"), "year")
+
+
+@register("A7_year_coverage", W(f"""
+SELECT CAST(y AS INTEGER) AS year, CASE WHEN y IN (SELECT year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} FROM papers)
+  THEN 'ok' ELSE 'missing' END AS status FROM range(2013, 2024) t(y)""", "papers"))
+def q_a7(spark, sf):
+    from biblioflow.functions.terms import FIRST_YEAR, LAST_YEAR
+
+    base = _year_partitioned(spark, sf, "a7-years")
+    return R.year_coverage(spark, base, FIRST_YEAR, LAST_YEAR, glob="part-*", folder="year={}").select("year", "status")
+
+
+@register("A8_reject_malformed", W(_SEARCH_KEYS_SQL, "papers"))
+def q_a8(spark, sf):
+    """Good JSON lines and free-text documents in one folder: text lines become rejects."""
+    base = scratch_path(spark, "a8-mixed")
+    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(f"{base}/good")
+    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(f"{base}/prose")
+    good, _bad = R.read_json_with_rejects(spark, f"{base}/*", S.SEARCH_PAPER, multiline=False)
+    return _search_out(good)
+
+
+@register("A9_table_scan", W("SELECT paper_id, doi, document_type, source_type, ref_count FROM papers", "papers"))
+def q_a9(spark, sf):
+    base = scratch_path(spark, "a9-records")
+    B.write_parquet(X.papers(spark, sf), base)
+    return R.read_table(spark, base).select("paper_id", "doi", "document_type", "source_type", "ref_count")
+
+
+@register("A10_csv_scan", W("SELECT paper_id, doi, source_title, cover_date, ref_count FROM papers", "papers"))
+def q_a10(spark, sf):
+    base = scratch_path(spark, "a10-csv")
+    p = X.papers(spark, sf).select("paper_id", "doi", "source_title", "cover_date", "ref_count")
+    B.write_csv(p, base)
+    return R.read_csv(spark, base, p.schema)
+
+
+@register("A11_parquet_scan", W("SELECT paper_id, seq, auid, affid FROM authorships", "authorships"))
+def q_a11(spark, sf):
+    base = scratch_path(spark, "a11-parquet")
+    B.write_parquet(X.authorships(spark, sf), base)
+    return R.read_table(spark, base)
+
+
+@register("A13_text_line_scan", W("SELECT doi FROM papers WHERE doi IS NOT NULL", "papers"))
+def q_a13(spark, sf):
+    base = scratch_path(spark, "a13-lines")
+    d = X.papers(spark, sf).where(F.col("doi").isNotNull()).select(F.concat(F.lit("  "), "doi", F.lit(" ")).alias("doi"))
+    B.write_lines(d, base)
+    return R.read_lines(spark, base)
+
+
+@register("A14_embedding_vectors", """
+SELECT vec_id, label, len(embedding) AS dims, round(embedding[1], 5) AS first_value FROM embeddings""")
+def q_a14(spark, sf):
+    v = R.read_embeddings(spark, f"{sf.rstrip('/')}/embeddings.parquet")
+    back = R.embeddings_to_arrays(v.drop("embedding"), "features", "embedding")
+    return back.select("vec_id", "label", F.size("embedding").alias("dims"), F.round(F.get("embedding", 0).cast("double"), 5).alias("first_value"))
+
+
+@register("B1_keyed_upsert", W("""
+, existing AS (SELECT 'A' || CAST(s_suppkey + 50 AS VARCHAR) AS auid, CAST(-1 AS BIGINT) AS paper_id, 0 AS seq, 'OLD' AS affid FROM supplier),
+inc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY auid ORDER BY paper_id DESC, seq DESC) AS rn FROM authorships) t WHERE rn = 1)
+SELECT auid, paper_id, seq, affid FROM existing WHERE auid NOT IN (SELECT auid FROM inc)
+UNION ALL SELECT auid, paper_id, seq, affid FROM inc""", "authorships"))
+def q_b1(spark, sf):
+    s = table(spark, sf, "supplier")
+    existing = s.select(F.concat(F.lit("A"), (F.col("s_suppkey") + 50).cast("string")).alias("auid"),
+                        F.lit(-1).cast("bigint").alias("paper_id"), F.lit(0).alias("seq"), F.lit("OLD").alias("affid"))
+    incoming = X.authorships(spark, sf).select("auid", "paper_id", "seq", "affid")
+    return B.upsert(existing, incoming, "auid", ["paper_id", "seq"])
+
+
+@register("B2_csv_write", WR(f"""
+SELECT {_MAIN} AS main_subject_area, count(*) AS n FROM records WHERE subject_area IS NOT NULL GROUP BY 1"""))
+def q_b2(spark, sf):
+    base = scratch_path(spark, "b2-csv")
+    vc = FI.value_counts(FI.main_subject(records(spark, sf)), "main_subject_area")
+    B.write_csv(vc, base)
+    return R.read_csv(spark, base, vc.schema)
+
+
+@register("B3_parquet_write", W(f"""
+SELECT coalesce(document_type = {_CP} AND source_type = {_PR}, false) AS is_full_conference, count(*) AS n FROM papers
+WHERE NOT (coalesce(document_type = {_CP}, false) AND NOT coalesce(source_type = {_PR}, false)) GROUP BY 1""", "papers"))
+def q_b3(spark, sf):
+    base = scratch_path(spark, "b3-parquet")
+    B.write_parquet(D.label_v2(X.papers(spark, sf)).select("paper_id", "is_full_conference"), base, ["is_full_conference"])
+    back = spark.read.schema("paper_id bigint, is_full_conference boolean").parquet(base)
+    return back.groupBy("is_full_conference").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("B4_json_write", W('SELECT auid AS "@auid" FROM author_profiles WHERE stat_null OR citations IS NULL', "author_profiles"))
+def q_b4(spark, sf):
+    base = scratch_path(spark, "b4-json")
+    ids = D.missing_metric_ids(X.author_profiles(spark, sf))
+    B.write_json(ids, base)
+    return spark.read.schema(ids.schema).json(base)
+
+
+@register("B5_text_write", W("""
+SELECT doi FROM papers WHERE doi IS NOT NULL AND doi NOT IN (SELECT "DOI" FROM refcount_feed)""", "papers", "refcount_feed"))
+def q_b5(spark, sf):
+    base = scratch_path(spark, "b5-text")
+    known = X.refcount_feed(spark, sf).select(F.col("DOI").alias("doi"))
+    B.write_lines(E.new_papers(X.papers(spark, sf), known), base, "doi")
+    return R.read_lines(spark, base, "doi")
+
+
+@register("B6_keyed_messages", W("SELECT coalesce(doi, 'unknown') AS key, doi, paper_id FROM papers", "papers"))
+def q_b6(spark, sf):
+    p = X.papers(spark, sf).select("doi", "paper_id", "document_type")
+    m = B.keyed_messages(p, "doi", default_key="unknown")
+    back = F.from_json("value", "doi string, paper_id bigint")
+    return m.select("key", back.getField("doi").alias("doi"), back.getField("paper_id").alias("paper_id"))
+
+
+# ===== K: feeds ==========================================================================
+
+def _event_messages(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events")
+    return ev.select(F.col("event_type").alias("topic"), F.col("event_id").cast("string").alias("key"),
+                     F.to_json(F.struct(*[F.col(c) for c in ev.columns])).alias("value"))
+
+
+@register("K1_topic_ingest", "SELECT event_type AS topic, count(*) AS n FROM events GROUP BY 1")
+def q_k1(spark, sf):
+    """Messages -> Structured Streaming (availableNow) -> per-topic files (B7)."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("k1-in", "k1-out", "k1-ck"))
+    _event_messages(spark, sf).write.json(src)
+    q = K.ingest_topics(K.message_stream(spark, src, max_files=4), sink, ck)
+    q.awaitTermination()
+    out = spark.read.schema("key string, value string, topic string").json(sink)
+    return out.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+_EVENT_SCHEMA = S.T.StructType([S.T.StructField("event_id", S.T.LongType()), S.T.StructField("user_id", S.T.LongType()),
+                                S.T.StructField("event_type", S.T.StringType()), S.T.StructField("value", S.T.DoubleType()),
+                                S.T.StructField("props", S.T.StringType())])
+
+
+@register("K2_microbatch_upsert", W("SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, ref_count FROM papers WHERE doi IS NOT NULL",
+                                    "papers"))
+def q_k2(spark, sf):
+    """Search-record files streamed in micro-batches; each batch is conformed and upserted
+    (key ``doi``) into a new table version via foreachBatch."""
+    src, table_base, ck = (scratch_path(spark, n) for n in ("k2-in", "k2-table", "k2-ck"))
+    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(src)
+    stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 3).json(src)
+
+    def transform(batch: DataFrame) -> DataFrame:
+        conformed = C.conform(batch.select(fc.c("prism:doi").alias("doi"), fc.c("dc:title").alias("title"),
+                                           F.lit(None).cast("int").alias("ref_count")), S.RECORDS)
+        return conformed.where(F.col("doi").isNotNull())
+
+    K.upsert_stream(stream, transform, table_base, ck, "doi", ["title"]).awaitTermination()
+    got = K.latest_version(spark, table_base).select("doi", "title")
+    # ref_count is attached from the reference feed after the load (E1)
+    refs = X.papers(spark, sf).select("doi", "ref_count")
+    return got.join(refs, "doi", "left")
+
+
+@register("K3_message_contract", """
+SELECT event_type AS topic, count(*) FILTER (WHERE event_type <> 'error') AS valid, count(*) FILTER (WHERE event_type = 'error') AS rejected
+FROM events GROUP BY 1""")
+def q_k3(spark, sf):
+    """Typed parse of each message value; values of the ``error`` topic arrive as plain
+    text (not JSON) and are routed to the rejects frame."""
+    m = _event_messages(spark, sf)
+    m = m.withColumn("value", F.when(F.col("topic") == "error", F.concat(F.lit("error: "), F.col("value"))).otherwise(F.col("value")))
+    good, bad = K.parse_messages(m, _EVENT_SCHEMA)
+    return K.topic_counts(good, bad)
+
+
+@register("K4_replay_safe_ingest", "SELECT event_id, event_type, user_id FROM events")
+def q_k4(spark, sf):
+    """Every message delivered twice (two producer runs into the feed); the keyed upsert
+    sink keeps one row per event."""
+    src, table_base, ck = (scratch_path(spark, n) for n in ("k4-in", "k4-table", "k4-ck"))
+    msgs = _event_messages(spark, sf)
+    msgs.write.json(f"{src}/run=1")
+    msgs.write.json(f"{src}/run=2")
+    stream = K.message_stream(spark, f"{src}/*", max_files=8)
+
+    def transform(batch: DataFrame) -> DataFrame:
+        good, _bad = K.parse_messages(batch, _EVENT_SCHEMA)
+        return good.select(F.col("event_id"), "event_type", "user_id", "value")
+
+    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["value"]).awaitTermination()
+    return K.latest_version(spark, table_base).select("event_id", "event_type", "user_id")

@@ -14,6 +14,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def _ship_by_value() -> None:
+    """Functions of this module run inside Python workers (``mapInPandas``); pickle them by
+    value so executors need not have the package installed."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: ship with --py-files instead
+        pass
+
+
+_ship_by_value()
+
 SPLIT_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("ordinal", T.IntegerType()),
@@ -65,11 +80,12 @@ def _splitter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def whole_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """``(file_path, value)`` — one row per file (whole text).  Spark's listing skips names
     starting with '.' or '_'."""
-    r = spark.read.option("wholetext", True)
+    r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
     paths = [path] if isinstance(path, str) else list(path)
-    return r.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    # ``text(..., wholetext=True)``: the keyword overrides any reader option
+    return r.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
 # A1 ------------------------------------------------------------------------------------
@@ -88,6 +104,12 @@ def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType,
 
 
 # A2 ------------------------------------------------------------------------------------
+def strict_array(text: Column, schema: T.StructType) -> Column:
+    """``from_json`` as array<schema>, NULL unless the whole text is one valid JSON array
+    (``from_json`` alone may return the elements before a syntax error)."""
+    return F.when(F.json_array_length(text).isNotNull(), F.from_json(text, T.ArrayType(schema)))
+
+
 def lenient_array_text(value: Column) -> Column:
     """Trim, drop a trailing comma, wrap in [ ] when the brackets are missing."""
     t = F.regexp_replace(F.trim(value), r",\s*$", "")
@@ -97,7 +119,7 @@ def lenient_array_text(value: Column) -> Column:
 def read_lenient_array(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
     """A2: JSON-array files that may lack brackets or end with a comma -> (records, rejects)."""
     files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
-    parsed = files.select("file_path", F.from_json(lenient_array_text(F.col("value")), T.ArrayType(schema)).alias("arr"))
+    parsed = files.select("file_path", strict_array(lenient_array_text(F.col("value")), schema).alias("arr"))
     good = parsed.where(F.col("arr").isNotNull()).select("file_path", F.inline("arr"))
     bad = parsed.where(F.col("arr").isNull()).select("file_path", F.lit("unparsable JSON array").alias("error"))
     return good, bad
@@ -108,8 +130,8 @@ def read_array_or_objects(spark: SparkSession, path: str, schema: T.StructType,
     """A3: a file is a JSON array, a single object, or (fallback) concatenated objects."""
     files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
     t = F.trim(F.col("value"))
-    arr = F.when(t.startswith("["), F.from_json(t, T.ArrayType(schema))).otherwise(
-        F.from_json(F.concat(F.lit("["), t, F.lit("]")), T.ArrayType(schema)))
+    arr = F.when(t.startswith("["), strict_array(t, schema)).otherwise(
+        strict_array(F.concat(F.lit("["), t, F.lit("]")), schema))
     parsed = files.select("file_path", "value", arr.alias("arr"))
     direct = parsed.where(F.col("arr").isNotNull()).select("file_path", F.inline("arr"))
     fallback_files = parsed.where(F.col("arr").isNull()).select("file_path", "value")
@@ -150,8 +172,18 @@ def read_year_folders(spark: SparkSession, base: str, schema: T.StructType, firs
     return df.withColumn("year", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/[^/]*$", 1).cast("int"))
 
 
+def read_partitioned_years(spark: SparkSession, base: str, schema: T.StructType, first: int, last: int,
+                           column: str = "year") -> DataFrame:
+    """Year-partitioned layout (``base/year=YYYY/``): the range predicate on the partition
+    column prunes whole directories at planning time (``PartitionFilters``)."""
+    full = T.StructType(list(schema.fields) + [T.StructField(column, T.IntegerType())])
+    df = spark.read.schema(full).json(base)
+    return df.where(F.col(column).between(first, last))
+
+
 # A7 ------------------------------------------------------------------------------------
-def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: str = "*.json") -> DataFrame:
+def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: str = "*.json",
+                  folder: str = "{}") -> DataFrame:
     """(year, status): 'missing' (no folder), 'empty' (folder without JSON files), 'ok'.
     Folder existence is a metadata call per expected year (bounded); the file listing is
     a distributed ``binaryFile`` scan that reads no content."""
@@ -159,12 +191,14 @@ def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: s
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     present = []
     for y in range(first, last + 1):
-        p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{y}")
+        p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{folder.format(y)}")
         present.append((y, bool(p.getFileSystem(conf).exists(p))))
     expected = spark.createDataFrame(present, "year int, folder boolean")
+    years = ",".join(folder.format(y) for y in range(first, last + 1))
     try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(year_glob(base, first, last))
-                   .select(F.regexp_extract("path", r"/(\d{4})/[^/]*$", 1).cast("int").alias("year"))
+        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("basePath", base)
+                   .load(f"{base.rstrip('/')}/{{{years}}}")
+                   .select(F.regexp_extract("path", r"/(?:[a-z_]+=)?(\d{4})/[^/]*$", 1).cast("int").alias("year"))
                    .groupBy("year").agg(F.count(F.lit(1)).alias("files")))
     except Exception:  # no year folder matched at all
         listing = spark.createDataFrame([], "year int, files long")
