@@ -143,10 +143,16 @@ def stratified_split(df: DataFrame, label: str = "label", order: Column | None =
     return ranked.withColumn("is_test", F.col("_rank") <= F.col("_n_test")).drop("_o", "_b", "_before", "_n_test", "_rank")
 
 
-def three_way_split(df: DataFrame, label: str = "label", seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+def three_way_split(df: DataFrame, label: str = "label", seed: int = 42, id_col: str = "doc_id",
+                    materialize: bool = True) -> DataFrame:
     """train / validation / test: test = exact stratified 20 %, validation = exact 20 % of
-    the rest (fit only on train; early stopping on validation; report on test)."""
+    the rest (fit only on train; early stopping on validation; report on test).  The first
+    split is checkpointed so the second split's scalar subqueries read it, not its lineage."""
+    from biblioflow.session import cut_lineage
+
     s1 = stratified_split(df, label, None, 0.2, seed, id_col)
+    if materialize:
+        s1 = cut_lineage(s1)
     rest = s1.where(~F.col("is_test")).drop("is_test")
     s2 = stratified_split(rest, label, None, 0.2, seed + 1, id_col).withColumnRenamed("is_test", "is_validation")
     test = s1.where(F.col("is_test")).drop("is_test").withColumn("is_validation", F.lit(False))
@@ -163,13 +169,13 @@ def random_forest(weight: str | None = "weight", trees: int = 100, max_depth: in
 
 def gradient_boosting(weight: str | None = "weight", iters: int = 50, depth: int = 6, step: float = 0.1,
                       validation: str | None = "is_validation", seed: int = 42) -> GBTClassifier:
-    g = GBTClassifier(labelCol="label_d", featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
-                      subsamplingRate=0.8, seed=seed)
+    kw = dict(labelCol="label_d", featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
+              subsamplingRate=0.8, seed=seed)
     if weight:
-        g = g.setWeightCol(weight)
+        kw["weightCol"] = weight
     if validation:
-        g = g.setValidationIndicatorCol(validation).setValidationTol(0.001)
-    return g
+        kw.update(validationIndicatorCol=validation, validationTol=0.001)
+    return GBTClassifier(**kw)
 
 
 def logistic(weight: str | None = "weight") -> LogisticRegression:
@@ -179,16 +185,28 @@ def logistic(weight: str | None = "weight") -> LogisticRegression:
 
 def training_frame(spark: SparkSession, base: DataFrame, label: str = "label", id_col: str = "doc_id") -> DataFrame:
     """Split, NULL ref counts dropped (D7), scalar features, double label, class weights
-    computed on the training rows only."""
-    df = scalar_features(base.na.drop(subset=["ref_count"]))
+    computed on the training rows only.  The result is checkpointed into the shared folder:
+    estimators make many passes over it, and each pass must not re-run the split."""
+    from biblioflow.session import cut_lineage
+
+    df = cut_lineage(scalar_features(base.na.drop(subset=["ref_count"])))
     df = with_text_inputs(three_way_split(df, label, id_col=id_col))
     weights = class_weights(df.where(F.col("split") == "train"), label)
-    return with_class_weights(df, label, weights).withColumn("label_d", F.col(label).cast("double"))
+    out = with_class_weights(df, label, weights).withColumn("label_d", F.col(label).cast("double"))
+    return cut_lineage(out)
 
 
 def fit_pipeline(train: DataFrame, classifier, num_features: int = 1 << 12, method: str = "tfidf") -> PipelineModel:
+    """Feature stages are fitted on training rows only; a classifier with a validation
+    indicator additionally sees the validation rows (for early stopping only).  Returns one
+    PipelineModel (features + classifier), so serving applies exactly the fitted scaling."""
     stages, vecs = text_stages(num_features=num_features, method=method)
-    return Pipeline(stages=stages + feature_stages(vecs) + [classifier]).fit(train)
+    has_valid = classifier.hasParam("validationIndicatorCol") and classifier.isSet("validationIndicatorCol")
+    ind = classifier.getOrDefault("validationIndicatorCol") if has_valid else None
+    fit_rows = train.where(~F.col(ind)) if ind and ind in train.columns else train
+    feats = Pipeline(stages=stages + feature_stages(vecs)).fit(fit_rows)
+    model = classifier.fit(feats.transform(train if has_valid else fit_rows))
+    return PipelineModel(stages=feats.stages + [model])
 
 
 # L10 -----------------------------------------------------------------------------------
@@ -307,10 +325,10 @@ def feature_importance(spark: SparkSession, model, names: DataFrame, k: int = 25
     return df.join(names, "index", "left").select("feature", "score").orderBy(F.desc("score"), "feature").limit(k)
 
 
-def learning_curve(spark: SparkSession, gbt_model, data: DataFrame, loss: str = "logistic") -> DataFrame:
-    """Loss on held-out rows after each boosting round."""
-    vals = gbt_model.evaluateEachIteration(data.select("features", "label_d").withColumnRenamed("label_d", gbt_model.getLabelCol()), loss) \
-        if gbt_model.getLabelCol() != "label_d" else gbt_model.evaluateEachIteration(data, loss)
+def learning_curve(spark: SparkSession, gbt_model, data: DataFrame) -> DataFrame:
+    """Loss (the model's own loss type) on held-out rows after each boosting round; ``data``
+    must carry the model's features and label columns."""
+    vals = gbt_model.evaluateEachIteration(data)
     return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(vals)], "round int, loss double")
 
 

@@ -1274,3 +1274,140 @@ def q_k4(spark, sf):
 
     K.upsert_stream(stream, transform, table_base, ck, "event_id", ["value"]).awaitTermination()
     return K.latest_version(spark, table_base).select("event_id", "event_type", "user_id")
+
+
+# ===== L: Spark ML jobs (no SQL oracle: rows + invariants in tests) =======================
+
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+NUM_TEXT_FEATURES = 1 << 10
+
+
+def _training(spark: SparkSession, sf: str) -> DataFrame:
+    return L.training_frame(spark, X.model_frame(spark, sf))
+
+
+def _split(df: DataFrame, name: str) -> DataFrame:
+    return df.where(F.col("split") == name)
+
+
+@register("L1_text_features")
+def q_l1(spark, sf):
+    from biblioflow.session import cut_lineage
+
+    df = cut_lineage(L.with_text_inputs(X.model_frame(spark, sf)))
+    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
+    out = Pipeline(stages=stages).fit(df).transform(df)
+    nnz = lambda c: F.size(F.filter(vector_to_array(F.col(c)), lambda x: x != 0))
+    return out.select("doc_id", nnz("title_vec").alias("title_nnz"), nnz("abstract_vec").alias("abstract_nnz"))
+
+
+@register("L3_feature_vectors")
+def q_l3(spark, sf):
+    df = _training(spark, sf)
+    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
+    m = Pipeline(stages=stages + L.feature_stages(vecs)).fit(_split(df, "train"))
+    return m.transform(df).select("doc_id", "split", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("L4_standardised_scalars")
+def q_l4(spark, sf):
+    df = _training(spark, sf)
+    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
+    m = Pipeline(stages=stages + L.feature_stages(vecs)).fit(_split(df, "train"))
+    a = vector_to_array("scalar_scaled")
+    return m.transform(df).select("doc_id", "split", *[F.get(a, i).alias(f"{c}_z") for i, c in enumerate(L.SCALAR_COLS)])
+
+
+def _fit(spark: SparkSession, sf: str, clf):
+    """Fit on train rows (+ validation rows for early stopping)."""
+    df = _training(spark, sf)
+    return df, L.fit_pipeline(df.where(F.col("split") != "test"), clf, NUM_TEXT_FEATURES)
+
+
+@register("L8_random_forest")
+def q_l8(spark, sf):
+    df, m = _fit(spark, sf, L.random_forest())
+    return L.score(m, _split(df, "test"))
+
+
+@register("L9_gradient_boosting")
+def q_l9(spark, sf):
+    df, m = _fit(spark, sf, L.gradient_boosting())
+    return L.score(m, _split(df, "test"))
+
+
+@register("L10_cross_validated_f1")
+def q_l10(spark, sf):
+    df = _training(spark, sf)
+    return L.cross_validated_f1(_split(df, "train"), L.random_forest(trees=30), folds=5, num_features=NUM_TEXT_FEATURES)
+
+
+@register("L11_leaderboard")
+def q_l11(spark, sf):
+    df = _training(spark, sf)
+    models = {"random_forest": L.random_forest(), "gradient_boosting": L.gradient_boosting(validation=None),
+              "logistic_regression": L.logistic()}
+    return L.leaderboard(_split(df, "train"), _split(df, "validation"), models, NUM_TEXT_FEATURES)
+
+
+def _saved_model(spark: SparkSession, sf: str):
+    df, m = _fit(spark, sf, L.logistic())
+    path = scratch_path(spark, "b9-model")
+    m.write().overwrite().save(path)
+    return df, m, PipelineModel.load(path)
+
+
+@register("B9_model_persistence")
+def q_b9(spark, sf):
+    df, before, after = _saved_model(spark, sf)
+    a = L.score(before, df).select("doc_id", F.col("prediction").alias("pred_before"), F.col("p1").alias("p1_before"))
+    b = L.score(after, df).select("doc_id", F.col("prediction").alias("pred_after"), F.col("p1").alias("p1_after"))
+    return a.join(b, "doc_id").select("doc_id", "pred_before", "pred_after",
+                                      (F.abs(F.col("p1_before") - F.col("p1_after")) < 1e-9).alias("same"))
+
+
+@register("L12_batch_scoring")
+def q_l12(spark, sf):
+    """Reloaded model scores every labelled document (the serving path as a batch job)."""
+    df, _before, model = _saved_model(spark, sf)
+    s = L.score(model, df)
+    return s.select("doc_id", "prediction", "p0", "p1", fc.prediction_text(F.col("prediction")).alias("prediction_text"),
+                    fc.confidence_pct(F.col("p0"), F.col("p1")).alias("confidence"), fc.gauge_band(F.col("p1")).alias("gauge_band"))
+
+
+@register("L16_feature_importance")
+def q_l16(spark, sf):
+    df, m = _fit(spark, sf, L.random_forest())
+    names = L.feature_names(df, num_features=NUM_TEXT_FEATURES)
+    return L.feature_importance(spark, m.stages[-1], names, k=25)
+
+
+def _gbt_parts(spark: SparkSession, sf: str):
+    df, m = _fit(spark, sf, L.gradient_boosting())
+    test = _split(df, "test")
+    feats = PipelineModel(stages=m.stages[:-1]).transform(test)
+    return df, m, test, feats
+
+
+@register("L17_learning_curve")
+def q_l17(spark, sf):
+    _df, m, _test, feats = _gbt_parts(spark, sf)
+    return L.learning_curve(spark, m.stages[-1], feats)
+
+
+@register("L18_training_report")
+def q_l18(spark, sf):
+    """Report bundle (classification report, confusion matrix, top features, learning
+    curve) written as JSON (B8) and read back."""
+    df, m, test, feats = _gbt_parts(spark, sf)
+    pred = L.score(m, test)
+    names = L.feature_names(df, num_features=NUM_TEXT_FEATURES)
+    rep = L.training_report(L.classification_report(pred), L.confusion_matrix(pred),
+                            L.feature_importance(spark, m.stages[-1], names, k=25), L.learning_curve(spark, m.stages[-1], feats))
+    path = scratch_path(spark, "b8-report")
+    B.write_report(rep, path)
+    back = spark.read.json(path)
+    return back.select(F.size("classification_report").alias("n_report_rows"), F.size("confusion_matrix").alias("n_matrix_rows"),
+                       F.size("feature_importance").alias("n_features"), F.size("learning_curves").alias("n_rounds"))
