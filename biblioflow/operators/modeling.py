@@ -202,11 +202,21 @@ def fit_pipeline(train: DataFrame, classifier, num_features: int = 1 << 12, meth
     PipelineModel (features + classifier), so serving applies exactly the fitted scaling."""
     stages, vecs = text_stages(num_features=num_features, method=method)
     has_valid = classifier.hasParam("validationIndicatorCol") and classifier.isSet("validationIndicatorCol")
-    ind = classifier.getOrDefault("validationIndicatorCol") if has_valid else None
-    fit_rows = train.where(~F.col(ind)) if ind and ind in train.columns else train
+    fit_rows = train.where(~F.col("is_validation")) if "is_validation" in train.columns else train
     feats = Pipeline(stages=stages + feature_stages(vecs)).fit(fit_rows)
     model = classifier.fit(feats.transform(train if has_valid else fit_rows))
-    return PipelineModel(stages=feats.stages + [model])
+    return persisted(train.sparkSession, PipelineModel(stages=feats.stages + [model]))
+
+
+def persisted(spark: SparkSession, model: PipelineModel, path: str | None = None) -> PipelineModel:
+    """Save to the shared folder and load back.  The loaded model is identical but carries
+    no training summary (which holds a session reference that cannot be serialised into
+    tasks once the session has registered observations)."""
+    from biblioflow.session import scratch_path
+
+    target = path or scratch_path(spark, "model")
+    model.write().overwrite().save(target)
+    return PipelineModel.load(target)
 
 
 # L10 -----------------------------------------------------------------------------------

@@ -209,13 +209,19 @@ def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: s
 
 # A8 ------------------------------------------------------------------------------------
 def read_json_with_rejects(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True):
-    """PERMISSIVE scan with the corrupt-record column; returns (good, rejects)."""
+    """PERMISSIVE parse with a corrupt-record column; returns (good, rejects).
+
+    Files are scanned as text (one row per line, or per file when ``multiline``) and parsed
+    with ``from_json``: the same distributed scan as the JSON source, without its ban on
+    queries that only touch the corrupt-record column."""
+    src = spark.read.text(path, wholetext=multiline).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    src = src.where(F.length(F.trim("value")) > 0)  # blank lines / empty files are skipped, not rejected
     s = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("multiLine", multiline).json(path)
-          .withColumn("file_path", F.col("_metadata.file_path")))
-    good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.where(F.col("_corrupt_record").isNotNull()).select("file_path", "_corrupt_record")
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = src.select("file_path", F.from_json("value", s, opts).alias("r"))
+    bad_cond = F.col("r._corrupt_record").isNotNull()
+    good = parsed.where(~bad_cond).select("file_path", *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    bad = parsed.where(bad_cond).select("file_path", F.col("r._corrupt_record").alias("_corrupt_record"))
     return good, bad
 
 

@@ -30,9 +30,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str], o
 def upsert_version(spark: SparkSession, base: str, incoming: DataFrame, key: str | Sequence[str],
                    order: Sequence[str], version: int) -> str:
     """Write ``upsert(current, incoming)`` as ``base/v=<version>``; returns the path."""
-    target = f"{base.rstrip('/')}/v={version:08d}"
+    target = f"{base.rstrip('/')}/table_version={version:08d}"
     if version > 0:
-        current = spark.read.parquet(f"{base.rstrip('/')}/v={version - 1:08d}")
+        current = spark.read.parquet(f"{base.rstrip('/')}/table_version={version - 1:08d}")
         merged = upsert(current, incoming.select(*current.columns), key, order)
     else:
         merged = latest_per_key(incoming, [key] if isinstance(key, str) else list(key), order)

@@ -70,7 +70,7 @@ def topic_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
 
 # K2 / K4 -------------------------------------------------------------------------------
 def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version:08d}"
+    return f"{base.rstrip('/')}/table_version={version:08d}"
 
 
 def upsert_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int, key: str | Sequence[str],
@@ -100,7 +100,7 @@ def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame]
 
 
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
-    """Current table = highest version (partition column ``v``; the max is a scalar
-    subquery over the partition values, the scan is pruned to that version)."""
+    """Current table = highest version (partition column ``table_version``; the max is a
+    scalar subquery over the partition values, the scan is pruned to that version)."""
     allv = spark.read.parquet(base)
-    return allv.where(F.col("v") == allv.select(F.max("v")).scalar()).drop("v")
+    return allv.where(F.col("table_version") == allv.select(F.max("table_version")).scalar()).drop("table_version")
