@@ -107,7 +107,9 @@ def retrieval_stats(enriched: DataFrame, matched: str = "_matched") -> DataFrame
 
 # F10 -----------------------------------------------------------------------------------
 def distinct_author_ids(df: DataFrame, authors: str = "authors", field: str = "@auid") -> DataFrame:
-    return (df.select(F.explode(authors).alias("a"))
+    # explode_outer: a plain explode makes Catalyst add ``size(list) > 0`` on the generator
+    # input, which re-evaluates (re-parses) the list expression; NULL rows are dropped below
+    return (df.select(F.explode_outer(authors).alias("a"))
               .select(F.col("a").getField(field).alias("auid"))
               .where(F.col("auid").isNotNull()).distinct())
 
@@ -119,10 +121,10 @@ def distinct_affiliation_ids(df: DataFrame, authors: str = "authors", only_lists
     from biblioflow import schemas as S
     from biblioflow.functions.columns import as_array
 
-    a = df.select(F.explode(authors).alias("a")).select(F.col("a").getField("affiliation").alias("raw"))
+    a = df.select(F.explode_outer(authors).alias("a")).select(F.col("a").getField("affiliation").alias("raw"))
     if only_lists:
         a = a.where(F.trim(F.col("raw")).startswith("["))
-    ids = a.select(F.explode(as_array(F.col("raw"), S.AUTHOR_AFFILIATION)).alias("x"))
+    ids = a.select(F.explode_outer(as_array(F.col("raw"), S.AUTHOR_AFFILIATION)).alias("x"))
     return ids.select(F.col("x").getField("@id").alias("affid")).where(F.col("affid").isNotNull()).distinct()
 
 

@@ -588,7 +588,7 @@ def _creator_json(spark: SparkSession, sf: str) -> DataFrame:
 @register("C12_normalise_creators", W("SELECT paper_id, auid, 'S' || auid AS indexed_name FROM authorships", "authorships"))
 def q_c12(spark, sf):
     c = _creator_json(spark, sf)
-    x = c.select("paper_id", F.explode(C.normalise_creators(F.col("creator"))).alias("p"))
+    x = c.select("paper_id", F.explode_outer(C.normalise_creators(F.col("creator"))).alias("p")).where(F.col("p").isNotNull())
     return x.select("paper_id", fc.c("p.@auid").alias("auid"), fc.c("p.ce:indexed-name").alias("indexed_name"))
 
 

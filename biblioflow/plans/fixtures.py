@@ -171,33 +171,51 @@ def _subjects(p: DataFrame) -> tuple[Column, Column]:
     return first, F.when(two, F.array(first, second)).otherwise(F.array(first))
 
 
+def _author_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per paper, the JSON text of its author list and of its distinct affiliations, in
+    (seq, auid, affid) order.  Each author object is rendered per authorship row, so the
+    grouping only concatenates strings (no higher-order functions)."""
+    a = authorships(spark, sf_dir)
+    odd = F.col("paper_id") % 2 == 1
+    name = F.struct(
+        F.when(F.col("seq") % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), "auid")).alias("ce:given-name"),
+        F.concat(F.lit("S"), "auid").alias("ce:surname"),
+    )
+
+    def author(aff):
+        return F.to_json(F.struct(F.col("auid").alias("@auid"), F.col("seq").cast("string").alias("@seq"),
+                                  F.concat(F.lit("author/"), "auid").alias("author-url"), name.alias("preferred-name"),
+                                  aff.alias("affiliation")))
+
+    has_aff = F.col("affid").isNotNull()
+    # author affiliation: one object for odd paper ids, a list for even ones
+    obj = author(F.when(has_aff, F.struct(F.col("affid").alias("@id"))))
+    lst = author(F.when(has_aff, F.array(F.struct(F.col("affid").alias("@id")))))
+    aff = F.when(has_aff, F.to_json(F.struct(F.col("affid").alias("@id"), F.concat(F.lit("Institute "), "affid").alias("affilname"))))
+    row = F.struct("seq", "auid", "affid", F.when(odd, obj).otherwise(lst).alias("author_json"), aff.alias("aff_json"))
+    g = a.groupBy("paper_id").agg(F.array_sort(F.collect_list(row)).alias("people"))
+    affs = F.array_distinct(F.col("people.aff_json"))
+    return g.select(
+        "paper_id",
+        F.concat(F.lit("["), F.concat_ws(",", F.col("people.author_json")), F.lit("]")).alias("authors_text"),
+        F.when(F.size(F.array_compact(affs)) > 0, F.concat(F.lit("["), F.concat_ws(",", affs), F.lit("]"))).alias("affiliation_text"),
+    )
+
+
 def nested_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(paper_id, json)`` — one nested document per paper.  ``subject-area``, ``author``
-    and author ``affiliation`` appear as a single object for some papers and as lists for
-    others; absent parts are omitted (to_json drops NULL fields)."""
-    p = papers(spark, sf_dir).join(_authors_by_paper(spark, sf_dir), "paper_id", "left")
+    """``(paper_id, json)`` — one nested document per paper.  ``subject-area`` and author
+    ``affiliation`` appear as a single object for some papers and as lists for others;
+    absent parts are omitted.  Built as JSON text: scalar parts via ``to_json``, the
+    object-or-list parts spliced in as strings."""
+    p = papers(spark, sf_dir).join(_author_texts(spark, sf_dir), "paper_id", "left")
     pid = F.col("paper_id")
-    first_subject, subject_list = _subjects(p)
+    first_subject, _ = _subjects(p)
+    first_text = F.to_json(first_subject)
+    second_text = F.lit('{"$":"Multidisciplinary","@_fa":"true","@abbrev":"MULT","@code":"1000"}')
     single_subject = (pid % 3 != 0) & (pid % 2 == 0)
-
-    def author_struct(x, affiliation_json):
-        return F.struct(
-            x["auid"].alias("@auid"),
-            x["seq"].cast("string").alias("@seq"),
-            F.concat(F.lit("author/"), x["auid"]).alias("author-url"),
-            F.struct(
-                F.when(x["seq"] % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), x["auid"])).alias("ce:given-name"),
-                F.concat(F.lit("S"), x["auid"]).alias("ce:surname"),
-            ).alias("preferred-name"),
-            affiliation_json.alias("affiliation"),
-        )
-
-    # author affiliation: one object when the paper id is odd, a list when even
-    people = F.col("people")
-    authors_arr = F.transform(people, lambda x: author_struct(
-        x, F.when(x["affid"].isNull(), F.lit(None).cast("struct<`@id`:string>")).otherwise(F.struct(x["affid"].alias("@id")))))
-    authors_list_aff = F.transform(people, lambda x: author_struct(
-        x, F.when(x["affid"].isNull(), F.lit(None).cast("array<struct<`@id`:string>>")).otherwise(F.array(F.struct(x["affid"].alias("@id"))))))
+    subject_text = (F.when(single_subject, first_text)
+                    .when(pid % 3 == 0, F.concat(F.lit("["), first_text, F.lit(","), second_text, F.lit("]")))
+                    .otherwise(F.concat(F.lit("["), first_text, F.lit("]"))))
 
     core = F.struct(
         F.col("doi").alias("prism:doi"),
@@ -225,43 +243,42 @@ def nested_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kw = F.when(pid % 4 == 0, F.lit(None)).otherwise(
         F.struct(F.array(F.struct(F.concat(F.lit("kw"), (pid % 9).cast("string")).alias("$"))).alias("author-keyword")))
-    affil = F.array_distinct(F.filter(F.transform(people, lambda x: F.when(x["affid"].isNull(), F.lit(None)).otherwise(
-        F.struct(x["affid"].alias("@id"), F.concat(F.lit("Institute "), x["affid"]).alias("affilname")))), lambda y: y.isNotNull()))
-
-    def doc(subject_area: Column, author_col: Column) -> Column:
-        return F.to_json(F.struct(F.struct(
-            core.alias("coredata"),
-            kw.alias("authkeywords"),
-            F.when(F.col("subject_area").isNull(), F.lit(None)).otherwise(F.struct(subject_area.alias("subject-area"))).alias("subject-areas"),
-            F.struct(F.lit("eng").alias("@xml:lang")).alias("language"),
-            F.when(F.size(affil) > 0, affil).alias("affiliation"),
-            F.when(people.isNull(), F.lit(None)).otherwise(F.struct(author_col.alias("author"))).alias("authors"),
-            item.alias("item"),
-        ).alias("abstracts-retrieval-response")))
-
-    odd = pid % 2 == 1
-    j = (F.when(single_subject, doc(first_subject, authors_list_aff))
-         .when(odd, doc(subject_list, authors_arr))
-         .otherwise(doc(subject_list, authors_list_aff)))
-    return p.select(pid, j.alias("json"))
+    scalars = F.to_json(F.struct(core.alias("coredata"), kw.alias("authkeywords"),
+                                 F.struct(F.lit("eng").alias("@xml:lang")).alias("language"), item.alias("item")))
+    inner = F.expr("substring(_scalars, 2, length(_scalars) - 2)")
+    parts = F.concat_ws(
+        ",", inner,
+        F.when(F.col("subject_area").isNotNull(), F.concat(F.lit('"subject-areas":{"subject-area":'), subject_text, F.lit("}"))),
+        F.when(F.col("affiliation_text").isNotNull(), F.concat(F.lit('"affiliation":'), F.col("affiliation_text"))),
+        F.when(F.col("authors_text").isNotNull(), F.concat(F.lit('"authors":{"author":'), F.col("authors_text"), F.lit("}"))),
+    )
+    doc = F.concat(F.lit('{"abstracts-retrieval-response":{'), parts, F.lit("}}"))
+    return p.withColumn("_scalars", scalars).select(pid, doc.alias("json"))
 
 
 def search_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(paper_id, year, json)`` — flat search-result records (first author first)."""
-    p = papers(spark, sf_dir).join(_authors_by_paper(spark, sf_dir), "paper_id", "left")
-    pid = F.col("paper_id")
-    authors = F.transform(F.col("people"), lambda x: F.struct(
-        F.when(x["seq"] % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), x["auid"])).alias("ce:given-name"),
-        F.concat(F.lit("S"), x["auid"]).alias("ce:surname"),
-        F.concat(F.lit("author/"), x["auid"]).alias("author-url"),
+    """``(paper_id, year, json)`` — flat search-result records (authors in (seq, auid)
+    order).  Author and affiliation lists are rendered per authorship row and spliced in
+    as text."""
+    a = authorships(spark, sf_dir)
+    author = F.to_json(F.struct(
+        F.when(F.col("seq") % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), "auid")).alias("ce:given-name"),
+        F.concat(F.lit("S"), "auid").alias("ce:surname"),
+        F.concat(F.lit("author/"), "auid").alias("author-url"),
     ))
-    affs = F.filter(F.transform(F.col("people"), lambda x: F.when(x["affid"].isNull(), F.lit(None)).otherwise(
-        F.struct(F.concat(F.lit("Institute "), x["affid"]).alias("affilname")))), lambda y: y.isNotNull())
+    aff = F.when(F.col("affid").isNotNull(), F.to_json(F.struct(F.concat(F.lit("Institute "), "affid").alias("affilname"))))
+    g = a.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("seq", "auid", "affid", author.alias("a"), aff.alias("f")))).alias("people"))
+    g = g.select("paper_id", F.concat(F.lit("["), F.concat_ws(",", F.col("people.a")), F.lit("]")).alias("authors_text"),
+                 F.when(F.size(F.array_compact(F.col("people.f"))) > 0,
+                        F.concat(F.lit("["), F.concat_ws(",", F.col("people.f")), F.lit("]"))).alias("affiliation_text"),
+                 F.get(F.col("people"), 0)["auid"].alias("first_auid"))
+    p = papers(spark, sf_dir).join(g, "paper_id", "left")
+    pid = F.col("paper_id")
     rec = F.struct(
         F.col("doi").alias("prism:doi"),
         F.col("eid").alias("eid"),
         F.concat(F.lit("Title "), pid.cast("string")).alias("dc:title"),
-        F.concat(F.lit("S"), F.get(F.col("people"), 0)["auid"]).alias("dc:creator"),
+        F.concat(F.lit("S"), F.col("first_auid")).alias("dc:creator"),
         F.col("source_title").alias("prism:publicationName"),
         F.col("cover_date").alias("prism:coverDate"),
         F.col("cited_by_raw").alias("citedby-count"),
@@ -271,12 +288,19 @@ def search_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source_type").alias("prism:aggregationType"),
         (pid % 97).cast("string").alias("source-id"),
         F.lit(None).cast("string").alias("prism:issn"),
-        F.when(F.col("people").isNull() & (pid % 2 == 1), F.array().cast("array<struct<`ce:given-name`:string,`ce:surname`:string,`author-url`:string>>"))
-        .otherwise(authors).alias("author"),
-        F.when(F.size(affs) > 0, affs).alias("affiliation"),
         F.when(pid % 4 == 0, F.lit(None)).otherwise(F.array(F.concat(F.lit("kw"), (pid % 9).cast("string")))).alias("author-keyword"),
     )
-    return p.select(pid, F.year(F.try_to_date(F.col("cover_date"))).alias("year"), F.to_json(rec).alias("json"))
+    j = F.col("_rec")
+    # papers without authors: an empty list for odd ids, no ``author`` key for even ids
+    authors = F.when(F.col("authors_text").isNotNull(), F.col("authors_text")).when(pid % 2 == 1, F.lit("[]"))
+    parts = F.concat_ws(
+        ",", F.expr("substring(_rec, 2, length(_rec) - 2)"),
+        F.when(authors.isNotNull(), F.concat(F.lit('"author":'), authors)),
+        F.when(F.col("affiliation_text").isNotNull(), F.concat(F.lit('"affiliation":'), F.col("affiliation_text"))),
+    )
+    out = p.withColumn("_rec", F.to_json(rec))
+    return out.select(pid, F.year(F.try_to_date(F.col("cover_date"))).alias("year"),
+                      F.concat(F.lit("{"), parts, F.lit("}")).alias("json"))
 
 
 # --- DuckDB twins (oracle side) ----------------------------------------------------------

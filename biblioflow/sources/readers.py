@@ -55,10 +55,10 @@ def _split_objects(text: str) -> tuple[list[str], str | None]:
         if i >= n:
             break
         try:
-            obj, end = dec.raw_decode(s, i)
+            _obj, end = dec.raw_decode(s, i)
         except json.JSONDecodeError as e:
             return out, f"decode error at char {i}: {e.msg}"
-        out.append(json.dumps(obj, ensure_ascii=False))
+        out.append(s[i:end])  # the object's own text; parsed again by from_json on the JVM
         i = end
     return out, None
 
