@@ -37,9 +37,20 @@ def register(name: str, sql: str | None = None):
 
 # --- shared derivations ------------------------------------------------------------------
 
+def _as_json_files(spark: SparkSession, text: DataFrame, name: str) -> str:
+    """Write one JSON document per line into the shared folder (the feed as it lands)."""
+    from biblioflow.session import scratch_path
+
+    path = scratch_path(spark, name)
+    text.select(F.col("json").alias("value")).write.text(path)
+    return path
+
+
 def nested_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested paper documents parsed with the fixed schema (A5 ``from_json``)."""
-    return X.nested_paper_json(spark, sf).select(F.from_json("json", S.NESTED_PAPER).alias("d")).select("d.*")
+    """Nested paper documents as landed files, scanned with the fixed schema (A5).  The JSON
+    source parses each document once; predicates apply to the scan output."""
+    path = _as_json_files(spark, X.nested_paper_json(spark, sf), "nested-papers")
+    return spark.read.schema(S.NESTED_PAPER).json(path)
 
 
 def flat_papers(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +58,12 @@ def flat_papers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_records(spark: SparkSession, sf: str) -> DataFrame:
-    return X.search_paper_json(spark, sf).select("paper_id", F.from_json("json", S.SEARCH_PAPER).alias("r")).select("paper_id", "r.*")
+    """Search-result records as landed JSON files, scanned with the fixed schema (A5);
+    ``paper_id`` is recovered from the record's ``eid``."""
+    path = _as_json_files(spark, X.search_paper_json(spark, sf), "search-papers")
+    df = spark.read.schema(S.SEARCH_PAPER).json(path)
+    pid = F.substring_index(fc.c("eid"), "-", -1).cast("bigint")
+    return df.select(pid.alias("paper_id"), "*")
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
