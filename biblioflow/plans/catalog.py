@@ -712,6 +712,20 @@ def _e3_select(out: DataFrame) -> DataFrame:
                       fc.c("address.country").alias("country"), "contact", F.col("metrics").isNotNull().alias("matched"))
 
 
+@register("C15_profile_projection", W("""
+SELECT ap.affid AS "@affid", ap.preferred_name AS "preferredName", ap.n_variants AS n_name_variants,
+  CASE WHEN ap.metrics_null THEN NULL ELSE ap.authors_count END AS authors_count, ap.city, ap.n_hierarchy AS n_hierarchy_ids, ap.contact
+FROM (SELECT DISTINCT affid FROM authorships WHERE affid IS NOT NULL) a JOIN affiliation_profiles ap ON ap.affid = a.affid""",
+                                           "authorships", "affiliation_profiles"))
+def q_c15(spark, sf):
+    """Affiliation ids that found a profile, with the six copied profile fields."""
+    ids = X.authorships(spark, sf).where(F.col("affid").isNotNull()).select(F.col("affid").alias("@affid")).distinct()
+    out = E.enrich_affiliations(ids, X.affiliation_profiles(spark, sf)).where(F.col("metrics").isNotNull())
+    return out.select("@affid", "preferredName", F.size("nameVariants").alias("n_name_variants"),
+                      fc.c("metrics.authorsCount").alias("authors_count"), fc.c("address.city").alias("city"),
+                      F.size("hierarchyIds").alias("n_hierarchy_ids"), "contact")
+
+
 @register("E4_enrich_abstract_keywords", W("""
 SELECT p.paper_id, length(t.abstract) AS abstract_len, len(string_split(t.title, ' ')) AS n_keywords
 FROM papers p JOIN paper_text t ON p.eid = '2-s2.0-' || CAST(t.doc_id AS VARCHAR)""", "papers", "paper_text"))
