@@ -1441,3 +1441,48 @@ def q_l18(spark, sf):
     back = spark.read.json(path)
     return back.select(F.size("classification_report").alias("n_report_rows"), F.size("confusion_matrix").alias("n_matrix_rows"),
                        F.size("feature_importance").alias("n_features"), F.size("learning_curves").alias("n_rounds"))
+
+
+# ===== A12 / B7 / B8: topic records, per-topic files, report JSON ========================
+
+def _kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in the Kafka source's shape (binary key/value, topic, partition, offset,
+    timestamp) produced from ``events`` — what ``readStream.format("kafka")`` delivers."""
+    ev = table(spark, sf, "events")
+    key = F.col("event_id").cast("string")
+    return ev.select(key.cast("binary").alias("key"),
+                     F.to_json(F.struct(*[F.col(c) for c in ev.columns])).cast("binary").alias("value"),
+                     F.col("event_type").alias("topic"), (F.abs(F.xxhash64(key)) % 8).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+@register("A12_topic_records", """
+SELECT event_type AS topic, CAST(event_id AS VARCHAR) AS key, event_id, user_id FROM events""")
+def q_a12(spark, sf):
+    msgs = K.from_kafka(_kafka_rows(spark, sf))
+    good, _bad = K.parse_messages(msgs, _EVENT_SCHEMA)
+    return good.select("topic", "key", "event_id", "user_id")
+
+
+@register("B7_per_topic_files", """
+SELECT event_type AS topic, count(DISTINCT event_id) AS n_keys, count(*) AS n FROM events
+WHERE event_type IN ('purchase', 'signup') GROUP BY 1""")
+def q_b7(spark, sf):
+    """Per-topic append files written by the streaming sink; reading two topics prunes
+    the other topic directories (partition filter on ``topic``)."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("b7-in", "b7-out", "b7-ck"))
+    _event_messages(spark, sf).write.json(src)
+    K.ingest_topics(K.message_stream(spark, src, max_files=4), sink, ck).awaitTermination()
+    out = spark.read.schema("key string, value string, topic string").json(sink).where(F.col("topic").isin("purchase", "signup"))
+    return out.groupBy("topic").agg(F.count_distinct("key").alias("n_keys"), F.count(F.lit(1)).alias("n"))
+
+
+@register("B8_report_json", W(_REPORT_SQL + """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support FROM rep""",
+                              "papers"))
+def q_b8(spark, sf):
+    """Classification report written as a JSON report and read back."""
+    rep = L.classification_report(_scored_labels(spark, sf))
+    path = scratch_path(spark, "b8-json-report")
+    B.write_report(rep, path)
+    return spark.read.schema(rep.schema).json(path)
