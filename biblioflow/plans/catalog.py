@@ -42,7 +42,7 @@ def _as_json_files(spark: SparkSession, text: DataFrame, name: str) -> str:
     from biblioflow.session import scratch_path
 
     path = scratch_path(spark, name)
-    text.select(F.col("json").alias("value")).write.text(path)
+    text.select(F.col("json").alias("value")).write.option("maxRecordsPerFile", X.FEED_CHUNK).text(path)
     return path
 
 
@@ -1044,7 +1044,8 @@ def q_a1(spark, sf):
     base = scratch_path(spark, "a1-concatenated")
     nested = X.nested_paper_json(spark, sf)
     pretty = F.to_json(F.from_json("json", S.NESTED_PAPER), {"pretty": "true"})
-    nested.select(F.when(F.col("paper_id") % 2 == 0, pretty).otherwise(F.col("json")).alias("value")).write.text(base)
+    (nested.select(F.when(F.col("paper_id") % 2 == 0, pretty).otherwise(F.col("json")).alias("value"))
+     .write.option("maxRecordsPerFile", X.FEED_CHUNK).text(base))
     good, _bad = R.read_concatenated_json(spark, base, S.NESTED_PAPER, glob=None)
     return C.flatten_nested_paper(good).select("doi", "title", "document_type")
 
@@ -1060,7 +1061,8 @@ def _search_out(df: DataFrame) -> DataFrame:
 def q_a2(spark, sf):
     """Array files written without brackets and with a trailing comma after every record."""
     base = scratch_path(spark, "a2-lenient")
-    X.search_paper_json(spark, sf).select(F.concat("json", F.lit(",")).alias("value")).write.text(base)
+    X.search_paper_json(spark, sf).select(F.concat("json", F.lit(",")).alias("value")).write.option(
+        "maxRecordsPerFile", X.FEED_CHUNK).text(base)
     good, _bad = R.read_lenient_array(spark, base, S.SEARCH_PAPER, glob=None)
     return _search_out(good)
 
@@ -1074,7 +1076,8 @@ def q_a3(spark, sf):
     even = js.where(F.col("paper_id") % 2 == 0).groupBy((F.col("paper_id") / 500).cast("long").alias("blk")).agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list("json")), F.lit("]")).alias("value"))
     even.write.partitionBy("blk").text(f"{base}/arrays")  # one array per file
-    js.where(F.col("paper_id") % 2 == 1).select(F.col("json").alias("value")).write.text(f"{base}/objects")
+    js.where(F.col("paper_id") % 2 == 1).select(F.col("json").alias("value")).write.option(
+        "maxRecordsPerFile", X.FEED_CHUNK).text(f"{base}/objects")
     arrays, _ = R.read_array_or_objects(spark, f"{base}/arrays", S.SEARCH_PAPER, glob=None)
     objects, _ = R.read_array_or_objects(spark, f"{base}/objects", S.SEARCH_PAPER, glob=None)
     return _search_out(arrays.unionByName(objects))

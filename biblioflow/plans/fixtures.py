@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from biblioflow.session import table
 
 DOI_PREFIX = "10.1000/"
+# landed feed files hold at most this many records (the source's write chunk)
+FEED_CHUNK = 1000
 EID_PREFIX = "2-s2.0-"
 
 
@@ -207,7 +209,8 @@ def nested_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``affiliation`` appear as a single object for some papers and as lists for others;
     absent parts are omitted.  Built as JSON text: scalar parts via ``to_json``, the
     object-or-list parts spliced in as strings."""
-    p = papers(spark, sf_dir).join(_author_texts(spark, sf_dir), "paper_id", "left")
+    # spread the per-document rendering (the driver tables are single small files)
+    p = papers(spark, sf_dir).repartition("paper_id").join(_author_texts(spark, sf_dir), "paper_id", "left")
     pid = F.col("paper_id")
     first_subject, _ = _subjects(p)
     first_text = F.to_json(first_subject)
@@ -272,7 +275,7 @@ def search_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(F.size(F.array_compact(F.col("people.f"))) > 0,
                         F.concat(F.lit("["), F.concat_ws(",", F.col("people.f")), F.lit("]"))).alias("affiliation_text"),
                  F.get(F.col("people"), 0)["auid"].alias("first_auid"))
-    p = papers(spark, sf_dir).join(g, "paper_id", "left")
+    p = papers(spark, sf_dir).repartition("paper_id").join(g, "paper_id", "left")
     pid = F.col("paper_id")
     rec = F.struct(
         F.col("doi").alias("prism:doi"),
