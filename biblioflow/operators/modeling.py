@@ -71,6 +71,18 @@ def scalar_features(df: DataFrame) -> DataFrame:
     return df.select("*", char_len(F.col("abstract")).alias("abstract_len"), char_len(F.col("title")).alias("title_len"))
 
 
+# C16 (ML form) -------------------------------------------------------------------------
+def one_hot_stages(column: str, out: str | None = None) -> list:
+    """Dummy vector of a categorical column as Spark ML stages (the relational form is
+    ``reshape.one_hot``).  The value list is learned by a distributed count, never
+    collected by the caller; unseen and NULL values map to the all-zero vector."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    idx = StringIndexer(inputCol=column, outputCol=f"{column}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
+    enc = OneHotEncoder(inputCol=f"{column}_idx", outputCol=out or f"{column}_vec", dropLast=True, handleInvalid="error")
+    return [idx, enc]
+
+
 # L3 / L4 -------------------------------------------------------------------------------
 def feature_stages(text_vecs: Sequence[str], scalars: Sequence[str] = SCALAR_COLS) -> list:
     """Assemble text vectors and scalars, scaling each group separately.  Text vectors are
@@ -196,7 +208,7 @@ def training_frame(spark: SparkSession, base: DataFrame, label: str = "label", i
     return cut_lineage(out)
 
 
-def fit_pipeline(train: DataFrame, classifier, num_features: int = 1 << 12, method: str = "tfidf") -> PipelineModel:
+def fit_model(train: DataFrame, classifier, num_features: int = 1 << 12, method: str = "tfidf") -> PipelineModel:
     """Feature stages are fitted on training rows only; a classifier with a validation
     indicator additionally sees the validation rows (for early stopping only).  Returns one
     PipelineModel (features + classifier), so serving applies exactly the fitted scaling."""
@@ -250,7 +262,7 @@ def leaderboard(train: DataFrame, valid: DataFrame, models: dict, num_features:
     acc = MulticlassClassificationEvaluator(labelCol="label_d", metricName="accuracy")
     auc = BinaryClassificationEvaluator(labelCol="label_d", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     for name, clf in models.items():
-        m = fit_pipeline(train, clf, num_features)
+        m = fit_model(train, clf, num_features)
         pred = m.transform(valid).cache()
         rows.append((name, float(f1.evaluate(pred)), float(acc.evaluate(pred)), float(auc.evaluate(pred))))
         pred.unpersist()

@@ -1356,7 +1356,7 @@ def q_l4(spark, sf):
 def _fit(spark: SparkSession, sf: str, clf):
     """Fit on train rows (+ validation rows for early stopping)."""
     df = _training(spark, sf)
-    return df, L.fit_pipeline(df.where(F.col("split") != "test"), clf, NUM_TEXT_FEATURES)
+    return df, L.fit_model(df.where(F.col("split") != "test"), clf, NUM_TEXT_FEATURES)
 
 
 @register("L8_random_forest")

@@ -46,7 +46,7 @@ def test_confusion_dense_with_zero_cells_and_zero_division(spark):
 def test_train_score_invariants_and_reload(spark, tmp_path):
     df = L.training_frame(spark, X.model_frame(spark, SF_SMALL))
     assert set(r.split for r in df.select("split").distinct().collect()) == {"train", "validation", "test"}
-    model = L.fit_pipeline(df.where(F.col("split") != "test"), L.logistic(), num_features=256)
+    model = L.fit_model(df.where(F.col("split") != "test"), L.logistic(), num_features=256)
     scored = L.score(model, df)
     bad = scored.where(F.abs(F.col("p0") + F.col("p1") - 1) > 1e-9).count()
     assert bad == 0 and scored.count() == df.count()
@@ -58,3 +58,14 @@ def test_train_score_invariants_and_reload(spark, tmp_path):
     # the scaler is fitted on training rows only: standardised scalars have mean ~0 there
     feats = model.transform(df.where("split = 'train'")).select(F.get(__import__("pyspark.ml.functions", fromlist=["x"]).vector_to_array("scalar_scaled"), 0).alias("z"))
     assert abs(feats.agg(F.avg("z")).first()[0]) < 1e-6
+
+
+def test_one_hot_stages_vector(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "s string")
+    m = Pipeline(stages=L.one_hot_stages("s")).fit(df)
+    out = m.transform(df).select("s", vector_to_array("s_vec").alias("v"))
+    got = {r.s: list(r.v) for r in out.collect()}
+    assert got["a"][:2] == [1.0, 0.0] and got["b"][:2] == [0.0, 1.0] and sum(got[None]) == 0.0
