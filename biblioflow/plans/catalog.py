@@ -1262,7 +1262,7 @@ _EVENT_SCHEMA = S.T.StructType([S.T.StructField("event_id", S.T.LongType()), S.T
                                     "papers"))
 def q_k2(spark, sf):
     """Search-record files streamed in micro-batches; each batch is conformed and upserted
-    (key ``doi``) into a new table version via foreachBatch."""
+    (key ``doi``) via foreachBatch, rewriting only the table buckets the batch touches."""
     src, table_base, ck = (scratch_path(spark, n) for n in ("k2-in", "k2-table", "k2-ck"))
     X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(src)
     stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 3).json(src)
@@ -1273,7 +1273,7 @@ def q_k2(spark, sf):
         return conformed.where(F.col("doi").isNotNull())
 
     K.upsert_stream(stream, transform, table_base, ck, "doi", ["title"]).awaitTermination()
-    got = K.latest_version(spark, table_base).select("doi", "title")
+    got = K.current_table(spark, table_base).select("doi", "title")
     # ref_count is attached from the reference feed after the load (E1)
     refs = X.papers(spark, sf).select("doi", "ref_count")
     return got.join(refs, "doi", "left")
@@ -1306,7 +1306,7 @@ def q_k4(spark, sf):
         return good.select(F.col("event_id"), "event_type", "user_id", "value")
 
     K.upsert_stream(stream, transform, table_base, ck, "event_id", ["value"]).awaitTermination()
-    return K.latest_version(spark, table_base).select("event_id", "event_type", "user_id")
+    return K.current_table(spark, table_base).select("event_id", "event_type", "user_id")
 
 
 # ===== L: Spark ML jobs (no SQL oracle: rows + invariants in tests) =======================

@@ -2,9 +2,10 @@
 
 * ``ingest_topics``  topic messages -> append-only files partitioned by topic (exactly-once
   file sink; the checkpoint replaces offset bookkeeping).
-* ``upsert_stream``  per micro-batch keyed upsert into a versioned Parquet table
-  (``foreachBatch``); version = batch id, so a replayed batch rewrites the same version
-  from the same input and a re-delivered record never duplicates a key.
+* ``upsert_stream``  per micro-batch keyed upsert (``foreachBatch``) into a bucketed
+  table, rewriting only the buckets a batch touches (``sinks.upsert_buckets``), or into
+  numbered table versions (``versions=True``: version = batch id, full rewrite).  Both
+  are idempotent, so a replayed batch or re-delivered record never duplicates a key.
 * ``parse_messages`` typed parse of a topic's JSON values, malformed values routed to a
   rejects frame.
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.sources.sinks import upsert
+from biblioflow.sources.sinks import read_keyed_table, upsert, upsert_buckets
 from biblioflow.operators.joins import latest_per_key
 
 MESSAGE = T.StructType([
@@ -88,17 +89,25 @@ def upsert_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int
 
 
 def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], base: str, checkpoint: str,
-                  key: str | Sequence[str], order: Sequence[str]):
+                  key: str | Sequence[str], order: Sequence[str], versions: bool = False, buckets: int = 64):
     """``foreachBatch`` keyed upsert; batch and stream share ``transform``."""
     spark = stream.sparkSession
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(spark, base, transform(batch), batch_id, key, order)
+        if versions:
+            upsert_batch(spark, base, transform(batch), batch_id, key, order)
+        else:
+            upsert_buckets(spark, base, transform(batch), key, order, buckets)
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def current_table(spark: SparkSession, base: str) -> DataFrame:
+    """The bucketed table written by ``upsert_stream`` (default mode)."""
+    return read_keyed_table(spark, base)
+
+
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
     """Current table = highest version (partition column ``table_version``; the max is a
     scalar subquery over the partition values, the scan is pruned to that version)."""

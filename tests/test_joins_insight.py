@@ -87,3 +87,31 @@ def test_coverage_matrix_and_graph(spark):
     nodes, edges = FI.subject_doctype_graph(g)
     assert rows(edges) == [("S1", "Article", 2)]
     assert rows(nodes) == [("Article", "document_type"), ("S1", "subject")]
+
+
+def test_bucket_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "keyed")
+    first = spark.createDataFrame([(f"k{i}", 0, "old") for i in range(200)], "k string, v int, p string")
+    B.upsert_buckets(spark, path, first, "k", ["v"], buckets=8)
+    b_of = {r.k: r.bucket for r in spark.read.parquet(path).select("k", "bucket").collect()}
+    target = b_of["k7"]
+    untouched = next(b for b in range(8) if b != target)
+
+    def files(b):
+        d = os.path.join(path, f"bucket={b}")
+        return {f: os.path.getmtime(os.path.join(d, f)) for f in os.listdir(d) if f.endswith(".parquet")}
+
+    before = files(untouched)
+    inc = spark.createDataFrame([("k7", 5, "new"), ("k7", 1, "older"), ("new", 1, "n")], "k string, v int, p string")
+    B.upsert_buckets(spark, path, inc, "k", ["v"], buckets=8)
+    out = B.read_keyed_table(spark, path)
+    got = dict(rows(out, "k", "p"))
+    assert got["k7"] == "new" and got["new"] == "n" and got["k8"] == "old" and out.count() == 201
+    if b_of.get("new", -1) != untouched and untouched != target:
+        assert files(untouched) == before
+    expected = rows(out)
+    # replaying the same batch changes nothing
+    B.upsert_buckets(spark, path, inc, "k", ["v"], buckets=8)
+    assert rows(B.read_keyed_table(spark, path)) == expected

@@ -18,7 +18,11 @@ def write_messages(d, name, msgs):
             f.write(json.dumps(m) + "\n")
 
 
-def test_stream_upsert_equals_batch_and_is_replay_safe(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("versions", [False, True])
+def test_stream_upsert_equals_batch_and_is_replay_safe(spark, tmp_path, versions):
     src = str(tmp_path / "in")
     msgs = [{"topic": "t", "key": str(i), "value": json.dumps({"event_id": i, "v": float(i)})} for i in range(20)]
     write_messages(src, "a.json", msgs[:10])
@@ -30,14 +34,17 @@ def test_stream_upsert_equals_batch_and_is_replay_safe(spark, tmp_path):
         good, _ = K.parse_messages(batch, EV)
         return good.select("event_id", "v")
 
-    K.upsert_stream(K.message_stream(spark, src, max_files=1), transform, base, ck, "event_id", ["v"]).awaitTermination()
-    streamed = K.latest_version(spark, base)
+    read = K.latest_version if versions else K.current_table
+    K.upsert_stream(K.message_stream(spark, src, max_files=1), transform, base, ck, "event_id", ["v"],
+                    versions=versions, buckets=4).awaitTermination()
+    streamed = read(spark, base)
     batch = transform(spark.read.schema(K.MESSAGE).json(src)).dropDuplicates(["event_id"])
     assert rows(streamed) == rows(batch)
     assert streamed.count() == 20
     # a second run over the same checkpoint processes nothing new and changes nothing
-    K.upsert_stream(K.message_stream(spark, src, max_files=1), transform, base, ck, "event_id", ["v"]).awaitTermination()
-    assert rows(K.latest_version(spark, base)) == rows(batch)
+    K.upsert_stream(K.message_stream(spark, src, max_files=1), transform, base, ck, "event_id", ["v"],
+                    versions=versions, buckets=4).awaitTermination()
+    assert rows(read(spark, base)) == rows(batch)
 
 
 def test_parse_messages_routes_rejects(spark):
