@@ -1265,7 +1265,7 @@ def q_k2(spark, sf):
     (key ``doi``) via foreachBatch, rewriting only the table buckets the batch touches."""
     src, table_base, ck = (scratch_path(spark, n) for n in ("k2-in", "k2-table", "k2-ck"))
     X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(src)
-    stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 3).json(src)
+    stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 32).json(src)
 
     def transform(batch: DataFrame) -> DataFrame:
         conformed = C.conform(batch.select(fc.c("prism:doi").alias("doi"), fc.c("dc:title").alias("title"),

@@ -26,7 +26,11 @@ SCALE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # size(NULL) is NULL (the ANSI default); pinned so results do not depend on ANSI mode
+    "spark.sql.legacy.sizeOfNull": "false",
 }
+# settings that are pinned even when the session already has a value
+PINNED = ("spark.sql.session.timeZone", "spark.sql.optimizer.windowGroupLimitThreshold", "spark.sql.legacy.sizeOfNull")
 
 
 def build_session(master: str | None = None, app: str = "biblioflow", shuffle_partitions: int | None = None) -> SparkSession:
@@ -48,7 +52,7 @@ def tuned(spark: SparkSession) -> SparkSession:
             cur = spark.conf.get(k, None)
         except Exception:  # pragma: no cover - conf not readable
             cur = None
-        if cur is None or k in ("spark.sql.session.timeZone", "spark.sql.optimizer.windowGroupLimitThreshold"):
+        if cur is None or k in PINNED:
             try:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a running cluster: leave it
