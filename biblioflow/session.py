@@ -80,9 +80,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never local)."""
+    """Reliable checkpoint into the shared folder (survives executor loss; never local).
+
+    An eager checkpoint runs one job to materialise and a second to write the files; the
+    input is persisted meanwhile so the plan is computed once.  The persisted copy is only
+    a speed-up — the checkpoint files are what later stages read."""
+    from pyspark import StorageLevel
+
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
