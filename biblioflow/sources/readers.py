@@ -63,6 +63,59 @@ def _split_objects(text: str) -> tuple[list[str], str | None]:
     return out, None
 
 
+def _split_array_or_objects(text: str) -> tuple[list[str], str | None]:
+    """A JSON array -> its element texts; otherwise concatenated objects (a single object
+    being the one-element case)."""
+    s = text.strip()
+    if not s.startswith("["):
+        return _split_objects(s)
+    dec = json.JSONDecoder()
+    out: list[str] = []
+    i, n = 1, len(s)
+
+    def skip(k: int) -> int:
+        while k < n and s[k].isspace():
+            k += 1
+        return k
+
+    i = skip(i)
+    if i < n and s[i] == "]":
+        return ([], None) if not s[i + 1:].strip() else ([], "text after the closing bracket")
+    while True:
+        try:
+            _obj, end = dec.raw_decode(s, i)
+        except json.JSONDecodeError as e:
+            return [], f"bad array element at char {i}: {e.msg}"
+        out.append(s[i:end])
+        i = skip(end)
+        if i < n and s[i] == ",":
+            i = skip(i + 1)
+            continue
+        if i < n and s[i] == "]" and not s[i + 1:].strip():
+            return out, None
+        return [], "malformed JSON array"
+
+
+def _split_with(split):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple] = []
+            for path, text in zip(pdf["file_path"], pdf["value"]):
+                objs, err = split(text or "")
+                rows.extend((path, i, o, None) for i, o in enumerate(objs))
+                if err is not None:
+                    rows.append((path, len(objs), None, err))
+            yield _frame(rows)
+    return run
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    if rows:
+        return pd.DataFrame(rows, columns=["file_path", "ordinal", "json", "error"]).astype({"ordinal": "int32"})
+    return pd.DataFrame({"file_path": pd.Series([], dtype=object), "ordinal": pd.Series([], dtype="int32"),
+                         "json": pd.Series([], dtype=object), "error": pd.Series([], dtype=object)})
+
+
 def _splitter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows: list[tuple] = []
@@ -127,18 +180,15 @@ def read_lenient_array(spark: SparkSession, path: str, schema: T.StructType, glo
 
 # A3 ------------------------------------------------------------------------------------
 def read_array_or_objects(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
-    """A3: a file is a JSON array, a single object, or (fallback) concatenated objects."""
+    """A3: a file is a JSON array, a single object, or concatenated objects.  One pass per
+    file splits it into element texts (Python, Arrow batches); the JVM parses each element
+    once with ``from_json``."""
     files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
-    t = F.trim(F.col("value"))
-    arr = F.when(t.startswith("["), strict_array(t, schema)).otherwise(
-        strict_array(F.concat(F.lit("["), t, F.lit("]")), schema))
-    parsed = files.select("file_path", "value", arr.alias("arr"))
-    direct = parsed.where(F.col("arr").isNotNull()).select("file_path", F.inline("arr"))
-    fallback_files = parsed.where(F.col("arr").isNull()).select("file_path", "value")
-    parts = split_concatenated(fallback_files)
-    fb = parts.where(F.col("json").isNotNull()).select("file_path", F.from_json("json", schema).alias("r")).select("file_path", "r.*")
+    parts = files.mapInPandas(_split_with(_split_array_or_objects), SPLIT_SCHEMA)
+    good = parts.where(F.col("json").isNotNull()).select(
+        "file_path", F.from_json("json", schema).alias("r")).select("file_path", "r.*")
     bad = parts.where(F.col("error").isNotNull()).select("file_path", "error")
-    return direct.unionByName(fb), bad
+    return good, bad
 
 
 # A4 ------------------------------------------------------------------------------------

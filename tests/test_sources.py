@@ -127,3 +127,11 @@ def test_keyed_messages_default_key(spark):
 
 def test_nested_schema_parses():
     assert S.NESTED_PAPER.simpleString().startswith("struct<abstracts-retrieval-response")
+
+
+def test_split_array_or_objects_shapes():
+    assert R._split_array_or_objects('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], None)
+    assert R._split_array_or_objects("[ ]") == ([], None)
+    assert R._split_array_or_objects('{"a":1}\\n{"b":2}')[0] == ['{"a":1}', '{"b":2}']
+    assert R._split_array_or_objects('[{"a":1},]')[1] is not None
+    assert R._split_array_or_objects('[{"a":1}] junk')[1] is not None
