@@ -46,11 +46,40 @@ def _as_json_files(spark: SparkSession, text: DataFrame, name: str) -> str:
     return path
 
 
+# Landed feeds, one per (application, shared folder, tables folder, feed): a feed lands
+# once and every job of the session scans the same files, as with a real feed directory.
+_LANDED: dict[tuple[str, str, str, str], str] = {}
+
+
+def _landed(path: str, spark: SparkSession) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def landed_feed(spark: SparkSession, sf: str, name: str) -> str:
+    """Path of the landed ``name`` feed (``nested-papers`` or ``search-papers``) for the
+    tables under ``sf``; written on first use into the shared folder."""
+    from biblioflow.session import shared_dir
+
+    key = (spark.sparkContext.applicationId, shared_dir(spark), sf.rstrip("/"), name)
+    path = _LANDED.get(key)
+    if path is None or not _landed(path, spark):
+        build = X.nested_paper_json if name == "nested-papers" else X.search_paper_json
+        path = _as_json_files(spark, build(spark, sf), name)
+        _LANDED[key] = path
+    return path
+
+
+def land_feeds(spark: SparkSession, sf: str) -> None:
+    for name in ("nested-papers", "search-papers"):
+        landed_feed(spark, sf, name)
+
+
 def nested_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Nested paper documents as landed files, scanned with the fixed schema (A5).  The JSON
     source parses each document once; predicates apply to the scan output."""
-    path = _as_json_files(spark, X.nested_paper_json(spark, sf), "nested-papers")
-    return spark.read.schema(S.NESTED_PAPER).json(path)
+    return spark.read.schema(S.NESTED_PAPER).json(landed_feed(spark, sf, "nested-papers"))
 
 
 def flat_papers(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,8 +89,7 @@ def flat_papers(spark: SparkSession, sf: str) -> DataFrame:
 def search_records(spark: SparkSession, sf: str) -> DataFrame:
     """Search-result records as landed JSON files, scanned with the fixed schema (A5);
     ``paper_id`` is recovered from the record's ``eid``."""
-    path = _as_json_files(spark, X.search_paper_json(spark, sf), "search-papers")
-    df = spark.read.schema(S.SEARCH_PAPER).json(path)
+    df = spark.read.schema(S.SEARCH_PAPER).json(landed_feed(spark, sf, "search-papers"))
     pid = F.substring_index(fc.c("eid"), "-", -1).cast("bigint")
     return df.select(pid.alias("paper_id"), "*")
 
@@ -1042,9 +1070,9 @@ def q_a1(spark, sf):
     """Files of back-to-back objects, half of them pretty-printed over many lines (Spark's
     JSON reader cannot split these; the A1 splitter can)."""
     base = scratch_path(spark, "a1-concatenated")
-    nested = X.nested_paper_json(spark, sf)
-    pretty = F.to_json(F.from_json("json", S.NESTED_PAPER), {"pretty": "true"})
-    (nested.select(F.when(F.col("paper_id") % 2 == 0, pretty).otherwise(F.col("json")).alias("value"))
+    nested = spark.read.text(landed_feed(spark, sf, "nested-papers"))
+    pretty = F.to_json(F.from_json("value", S.NESTED_PAPER), {"pretty": "true"})
+    (nested.select(F.when(F.xxhash64("value") % 2 == 0, pretty).otherwise(F.col("value")).alias("value"))
      .write.option("maxRecordsPerFile", X.FEED_CHUNK).text(base))
     good, _bad = R.read_concatenated_json(spark, base, S.NESTED_PAPER, glob=None)
     return C.flatten_nested_paper(good).select("doi", "title", "document_type")

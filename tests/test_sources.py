@@ -132,6 +132,9 @@ def test_nested_schema_parses():
 def test_split_array_or_objects_shapes():
     assert R._split_array_or_objects('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], None)
     assert R._split_array_or_objects("[ ]") == ([], None)
-    assert R._split_array_or_objects('{"a":1}\\n{"b":2}')[0] == ['{"a":1}', '{"b":2}']
+    assert R._split_array_or_objects('{"a":1}\n{"b":2}') == (['{"a":1}', '{"b":2}'], None)
+    # text between objects that is not JSON: the objects before it are kept, the rest is reported
+    objs, err = R._split_array_or_objects('{"a":1}\\n{"b":2}')
+    assert objs == ['{"a":1}'] and err is not None
     assert R._split_array_or_objects('[{"a":1},]')[1] is not None
     assert R._split_array_or_objects('[{"a":1}] junk')[1] is not None
