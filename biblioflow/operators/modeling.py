@@ -141,8 +141,13 @@ def stratified_split(df: DataFrame, label: str = "label", order: Column | None =
     partition holds ~n/buckets rows of one class."""
     o = order if order is not None else F.xxhash64(F.col(id_col), F.lit(seed))
     v = df.withColumn("_o", o.cast("double"))
-    lo = v.select(F.min("_o")).scalar()
-    hi = v.select(F.max("_o")).scalar()
+    if order is None:
+        # a 64-bit hash spans the whole long range: no passes over the data for the bounds
+        # (buckets only partition the ranking, so any bounds give the same ranks)
+        lo, hi = F.lit(-(2.0 ** 63)), F.lit(2.0 ** 63)
+    else:
+        lo = v.select(F.min("_o")).scalar()
+        hi = v.select(F.max("_o")).scalar()
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("_o") - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")
     v = v.withColumn("_b", b)
     per = v.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))

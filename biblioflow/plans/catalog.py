@@ -1431,8 +1431,9 @@ def q_b9(spark, sf):
 
 @register("L12_batch_scoring")
 def q_l12(spark, sf):
-    """Reloaded model scores every labelled document (the serving path as a batch job)."""
-    df, _before, model = _saved_model(spark, sf)
+    """Reloaded model scores every labelled document (the serving path as a batch job).
+    ``fit_model`` returns the pipeline as loaded back from the shared folder."""
+    df, model = _fit(spark, sf, L.logistic())
     s = L.score(model, df)
     return s.select("doc_id", "prediction", "p0", "p1", fc.prediction_text(F.col("prediction")).alias("prediction_text"),
                     fc.confidence_pct(F.col("p0"), F.col("p1")).alias("confidence"), fc.gauge_band(F.col("p1")).alias("gauge_band"))
