@@ -1159,11 +1159,12 @@ def q_a7(spark, sf):
 
 @register("A8_reject_malformed", W(_SEARCH_KEYS_SQL, "papers"))
 def q_a8(spark, sf):
-    """Good JSON lines and free-text documents in one folder: text lines become rejects."""
-    base = scratch_path(spark, "a8-mixed")
-    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(f"{base}/good")
-    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(f"{base}/prose")
-    good, _bad = R.read_json_with_rejects(spark, f"{base}/*", S.SEARCH_PAPER, multiline=False)
+    """The landed search feed (good JSON lines) and free-text documents scanned together: text
+    lines become rejects."""
+    base = scratch_path(spark, "a8-prose")
+    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(base)
+    paths = [landed_feed(spark, sf, "search-papers"), base]
+    good, _bad = R.read_json_with_rejects(spark, paths, S.SEARCH_PAPER, multiline=False)
     return _search_out(good)
 
 
@@ -1291,8 +1292,8 @@ _EVENT_SCHEMA = S.T.StructType([S.T.StructField("event_id", S.T.LongType()), S.T
 def q_k2(spark, sf):
     """Search-record files streamed in micro-batches; each batch is conformed and upserted
     (key ``doi``) via foreachBatch, rewriting only the table buckets the batch touches."""
-    src, table_base, ck = (scratch_path(spark, n) for n in ("k2-in", "k2-table", "k2-ck"))
-    X.search_paper_json(spark, sf).select(F.col("json").alias("value")).write.text(src)
+    src = landed_feed(spark, sf, "search-papers")  # 1000-record files, as the feed lands
+    table_base, ck = (scratch_path(spark, n) for n in ("k2-table", "k2-ck"))
     stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 32).json(src)
 
     def transform(batch: DataFrame) -> DataFrame:

@@ -258,7 +258,7 @@ def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: s
 
 
 # A8 ------------------------------------------------------------------------------------
-def read_json_with_rejects(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True):
+def read_json_with_rejects(spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = True):
     """PERMISSIVE parse with a corrupt-record column; returns (good, rejects).
 
     Files are scanned as text (one row per line, or per file when ``multiline``) and parsed
