@@ -175,33 +175,30 @@ def _subjects(p: DataFrame) -> tuple[Column, Column]:
 
 def _author_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per paper, the JSON text of its author list and of its distinct affiliations, in
-    (seq, auid, affid) order.  Each author object is rendered per authorship row, so the
-    grouping only concatenates strings (no higher-order functions)."""
-    a = authorships(spark, sf_dir)
+    (seq, auid, affid) order.  Raw (seq, auid, affid) structs are grouped first and each
+    paper's list is rendered after the shuffle by one ``to_json`` over the array."""
+    g = authorships(spark, sf_dir).groupBy("paper_id").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "auid", "affid"))).alias("people"))
     odd = F.col("paper_id") % 2 == 1
-    name = F.struct(
-        F.when(F.col("seq") % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), "auid")).alias("ce:given-name"),
-        F.concat(F.lit("S"), "auid").alias("ce:surname"),
-    )
 
-    def author(aff):
-        return F.to_json(F.struct(F.col("auid").alias("@auid"), F.col("seq").cast("string").alias("@seq"),
-                                  F.concat(F.lit("author/"), "auid").alias("author-url"), name.alias("preferred-name"),
-                                  aff.alias("affiliation")))
+    def has_aff(p: Column) -> Column:
+        return p["affid"].isNotNull()
+
+    def author(p: Column, aff: Column) -> Column:
+        name = F.struct(
+            F.when(p["seq"] % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), p["auid"])).alias("ce:given-name"),
+            F.concat(F.lit("S"), p["auid"]).alias("ce:surname"))
+        return F.struct(p["auid"].alias("@auid"), p["seq"].cast("string").alias("@seq"),
+                        F.concat(F.lit("author/"), p["auid"]).alias("author-url"), name.alias("preferred-name"),
+                        aff.alias("affiliation"))
 
-    has_aff = F.col("affid").isNotNull()
     # author affiliation: one object for odd paper ids, a list for even ones
-    obj = author(F.when(has_aff, F.struct(F.col("affid").alias("@id"))))
-    lst = author(F.when(has_aff, F.array(F.struct(F.col("affid").alias("@id")))))
-    aff = F.when(has_aff, F.to_json(F.struct(F.col("affid").alias("@id"), F.concat(F.lit("Institute "), "affid").alias("affilname"))))
-    row = F.struct("seq", "auid", "affid", F.when(odd, obj).otherwise(lst).alias("author_json"), aff.alias("aff_json"))
-    g = a.groupBy("paper_id").agg(F.array_sort(F.collect_list(row)).alias("people"))
-    affs = F.array_distinct(F.col("people.aff_json"))
-    return g.select(
-        "paper_id",
-        F.concat(F.lit("["), F.concat_ws(",", F.col("people.author_json")), F.lit("]")).alias("authors_text"),
-        F.when(F.size(F.array_compact(affs)) > 0, F.concat(F.lit("["), F.concat_ws(",", affs), F.lit("]"))).alias("affiliation_text"),
-    )
+    obj = F.transform("people", lambda p: author(p, F.when(has_aff(p), F.struct(p["affid"].alias("@id")))))
+    lst = F.transform("people", lambda p: author(p, F.when(has_aff(p), F.array(F.struct(p["affid"].alias("@id"))))))
+    affs = F.array_distinct(F.transform(F.filter("people", has_aff), lambda p: F.struct(
+        p["affid"].alias("@id"), F.concat(F.lit("Institute "), p["affid"]).alias("affilname"))))
+    return g.select("paper_id", F.when(odd, F.to_json(obj)).otherwise(F.to_json(lst)).alias("authors_text"),
+                    F.when(F.size(affs) > 0, F.to_json(affs)).alias("affiliation_text"))
 
 
 def nested_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,19 +258,18 @@ def nested_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(paper_id, year, json)`` — flat search-result records (authors in (seq, auid)
-    order).  Author and affiliation lists are rendered per authorship row and spliced in
-    as text."""
+    order).  Each paper's author and affiliation lists are rendered after the shuffle and
+    spliced in as text."""
     a = authorships(spark, sf_dir)
-    author = F.to_json(F.struct(
-        F.when(F.col("seq") % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), "auid")).alias("ce:given-name"),
-        F.concat(F.lit("S"), "auid").alias("ce:surname"),
-        F.concat(F.lit("author/"), "auid").alias("author-url"),
-    ))
-    aff = F.when(F.col("affid").isNotNull(), F.to_json(F.struct(F.concat(F.lit("Institute "), "affid").alias("affilname"))))
-    g = a.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("seq", "auid", "affid", author.alias("a"), aff.alias("f")))).alias("people"))
-    g = g.select("paper_id", F.concat(F.lit("["), F.concat_ws(",", F.col("people.a")), F.lit("]")).alias("authors_text"),
-                 F.when(F.size(F.array_compact(F.col("people.f"))) > 0,
-                        F.concat(F.lit("["), F.concat_ws(",", F.col("people.f")), F.lit("]"))).alias("affiliation_text"),
+    g = a.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("seq", "auid", "affid"))).alias("people"))
+    author = F.transform("people", lambda p: F.struct(
+        F.when(p["seq"] % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("G"), p["auid"])).alias("ce:given-name"),
+        F.concat(F.lit("S"), p["auid"]).alias("ce:surname"),
+        F.concat(F.lit("author/"), p["auid"]).alias("author-url")))
+    affs = F.transform(F.filter("people", lambda p: p["affid"].isNotNull()),
+                       lambda p: F.struct(F.concat(F.lit("Institute "), p["affid"]).alias("affilname")))
+    g = g.select("paper_id", F.to_json(author).alias("authors_text"),
+                 F.when(F.size(affs) > 0, F.to_json(affs)).alias("affiliation_text"),
                  F.get(F.col("people"), 0)["auid"].alias("first_auid"))
     p = papers(spark, sf_dir).repartition("paper_id").join(g, "paper_id", "left")
     pid = F.col("paper_id")
