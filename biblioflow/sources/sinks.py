@@ -70,7 +70,7 @@ def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key: str
         present = present & F.col(f"`{k}`").isNotNull()
     inc = latest_per_key(incoming.where(present), keys, order).withColumn("bucket", bucket_of(keys, buckets))
     if not _exists(spark, path):
-        inc.write.partitionBy("bucket").parquet(path)
+        inc.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
         return
     inc = cut_lineage(inc)
     current = spark.read.parquet(path)
@@ -78,7 +78,9 @@ def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key: str
     if not touched:
         return
     merged = cut_lineage(upsert(current.where(F.col("bucket").isin(touched)), inc.select(*current.columns), keys, order))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance on the bucket: AQE splits large buckets into advisory-sized files and packs
+    # small ones, so a write makes neither (tasks x buckets) small files nor one huge task
+    (merged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket").parquet(path))
 
 
