@@ -276,15 +276,24 @@ def leaderboard(train: DataFrame, valid: DataFrame, models: dict, num_features:
 
 
 # L13-L15 / L19 -------------------------------------------------------------------------
-def confusion_cells(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return pred.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(
+def confusion_cells(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+                    materialize: bool = False) -> DataFrame:
+    """(label, prediction, n): one partial-aggregated pass over the predictions.  With
+    ``materialize`` the k^2 cells are checkpointed, so reports that read them many times
+    (joins, scalar subqueries) never re-score or re-scan the predictions."""
+    cells = pred.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
+    if materialize:
+        from biblioflow.session import cut_lineage
+
+        cells = cut_lineage(cells)
+    return cells
 
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction", digits: int = 6) -> DataFrame:
     """Per-class precision / recall / F1 / support, accuracy, macro and weighted averages;
-    0/0 -> 0.  Derived from the k^2 confusion cells only."""
-    cells = confusion_cells(pred, label, prediction)
+    0/0 -> 0.  Derived from the k^2 confusion cells only (computed once)."""
+    cells = confusion_cells(pred, label, prediction, materialize=True)
     classes = cells.select(F.col("label").alias("c")).union(cells.select(F.col("prediction").alias("c"))).distinct()
     tp = cells.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("c"), F.col("n").alias("tp"))
     sup = cells.groupBy(F.col("label").alias("c")).agg(F.sum("n").alias("support"))
@@ -323,7 +332,7 @@ def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "p
 
 
 def confusion_percentages(pred: DataFrame, label: str = "label", prediction: str = "prediction", digits: int = 4) -> DataFrame:
-    cells = confusion_cells(pred, label, prediction)
+    cells = confusion_cells(pred, label, prediction, materialize=True)
     total = cells.select(F.sum("n")).scalar()
     return cells.select("label", "prediction", "n", F.round(F.col("n") * 100.0 / total, digits).alias("pct"))
 
