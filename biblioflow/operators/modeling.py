@@ -151,10 +151,11 @@ def stratified_split(df: DataFrame, label: str = "label", order: Column | None =
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("_o") - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")
     v = v.withColumn("_b", b)
     per = v.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = per.withColumn("_before", F.sum("_cnt").over(
-        Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_before"])
-    totals = per.groupBy(label).agg(F.sum("_cnt").alias("_n_c"))
-    info = cum.join(totals, label).select(label, "_b", "_before", F.round(F.col("_n_c") * test_fraction).cast("long").alias("_n_test"))
+    # rows of the class in lower ranges, and the class total, over the small (class, range) frame
+    before = F.sum("_cnt").over(Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    n_c = F.sum("_cnt").over(Window.partitionBy(label))
+    info = per.select(label, "_b", F.coalesce(before, F.lit(0)).alias("_before"),
+                      F.round(n_c * test_fraction).cast("long").alias("_n_test"))
     w = Window.partitionBy(label, "_b").orderBy("_o", *([F.col(id_col)] if id_col in df.columns else []))
     ranked = v.join(info, [label, "_b"], "left").withColumn("_rank", F.col("_before") + F.row_number().over(w))
     return ranked.withColumn("is_test", F.col("_rank") <= F.col("_n_test")).drop("_o", "_b", "_before", "_n_test", "_rank")
