@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from biblioflow import schemas as S
 from biblioflow.sources import readers as R
 from biblioflow.sources import sinks as B
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -138,3 +138,18 @@ def test_split_array_or_objects_shapes():
     assert objs == ['{"a":1}'] and err is not None
     assert R._split_array_or_objects('[{"a":1},]')[1] is not None
     assert R._split_array_or_objects('[{"a":1}] junk')[1] is not None
+
+
+def test_paper_feeds_land_once_per_tables_folder(spark):
+    from biblioflow.plans import catalog as K
+
+    first = K.landed_feed(spark, SF_SMALL, "nested-papers")
+    assert K.landed_feed(spark, SF_SMALL, "nested-papers") == first  # reused, not rebuilt
+    assert K.landed_feed(spark, SF_SMALL + "/", "nested-papers") == first
+    search = K.landed_feed(spark, SF_SMALL, "search-papers")
+    assert search != first
+    # one 1000-record-bounded file set per feed, every paper present once
+    n_orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert spark.read.text(first).count() == n_orders
+    assert spark.read.text(search).count() == n_orders
+    assert K.landed_feed(spark, "/root/testdata/sf0.01", "nested-papers") != first
