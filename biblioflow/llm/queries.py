@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.session import table, tuned
@@ -40,3 +42,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts of all documents; the row with the largest doc_id stays."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded, and its ids decoded again."""
+    both = decode(encode(table(spark, sf_dir, "documents")))
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
