@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
+from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.session import table, tuned
 
@@ -50,3 +51,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = decode(encode(table(spark, sf_dir, "documents")))
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 tokens, filled with lexical neighbours."""
+    return lexical_packing(table(spark, sf_dir, "documents"))
