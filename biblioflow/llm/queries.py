@@ -11,6 +11,7 @@ from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.sharding import byte_balanced_shards
+from biblioflow.llm.url_filter import filter_urls
 from biblioflow.session import table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 tokens, filled with lexical neighbours."""
     return lexical_packing(table(spark, sf_dir, "documents"))
+
+
+@query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules and the character models over every page's url."""
+    return filter_urls(table(spark, sf_dir, "pages"))
