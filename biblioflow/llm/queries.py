@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.packing import lexical_packing
+from biblioflow.llm.quality import fit_quality, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
 from biblioflow.session import table, tuned
@@ -64,3 +65,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules and the character models over every page's url."""
     return filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model fitted on rated documents, applied to all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return rate_quality(docs, fit_quality(docs, graded(table(spark, sf_dir, "labels"))))
