@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
+from biblioflow.llm.ngram_join import jaccard_components
 from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.quality import fit_quality, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
@@ -72,3 +73,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model fitted on rated documents, applied to all documents."""
     docs = table(spark, sf_dir, "documents")
     return rate_quality(docs, fit_quality(docs, graded(table(spark, sf_dir, "labels"))))
+
+
+@query("op5_ngram_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 85 % of their 4-word shingles."""
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
