@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from biblioflow.llm.pretokens import pretokens
 from biblioflow.llm.words import PIECE_BYTES, pieces, ship_by_value, span_hashes, text_column, worker_cache
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 SPECIAL = "<|endoftext|>"
 
 
@@ -108,6 +108,16 @@ def binaries(chunks: list[bytes]) -> pa.Array:
     return pa.array(chunks, pa.binary())
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes (first all lowest bytes, and so on)."""
+    return zstandard.ZstdCompressor(level=3).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def split_words(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(pre-tokens of all texts as large_binary, number of each text's)."""
     data, start, first = pretokens(col, SPECIAL)
@@ -170,21 +180,20 @@ def _dictionary_rows(limit: int, buckets: int):
             parts = [order[cut[b]:cut[b + 1]] for b in used]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(used), block, np.int64)), pa.array(used.astype(np.int32)),
-                binaries([size[p].astype("<u4").tobytes() for p in parts]),
-                binaries([ragged_take(data, off[:-1][p], size[p]).tobytes() for p in parts])], ["block", "bucket", "sizes", "words"])
+                binaries([packed(size[p].astype("<u4")) for p in parts]),
+                binaries([packed(ragged_take(data, off[:-1][p], size[p])) for p in parts])], ["block", "bucket", "sizes", "words"])
     return run
 
 
 def _position_rows(limit: int, buckets: int):
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=3)
         for block, ids, counts, dictionary, index in _blocks(batches, limit):
             rank, _, _, bucket = _ranked(dictionary, index, buckets)
             narrow = "<u2" if buckets < 1 << 16 else "<u4"
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int64()), pa.array([ids.cast(pa.int64()).to_pylist()], pa.list_(pa.int64())),
-                pa.array([counts.tolist()], pa.list_(pa.int64())), binaries([pack.compress(rank.astype("<u4").tobytes())]),
-                binaries([bucket.astype(narrow).tobytes()])], ["block", "doc_ids", "counts", "ranks", "buckets"])
+                pa.array([counts.tolist()], pa.list_(pa.int64())), binaries([packed(rank.astype("<u4"))]),
+                binaries([packed(bucket.astype(narrow))])], ["block", "doc_ids", "counts", "ranks", "buckets"])
     return run
 
 
@@ -192,11 +201,11 @@ def _encode_bucket(path: str):
     """All blocks' words of one hash bucket: each distinct word is encoded once."""
     def run(table: pa.Table) -> pa.Table:
         encode, kind = word_encoder(path), id_type(path)
-        sizes = [np.frombuffer(x.as_py(), "<u4") for x in table["sizes"]]
+        sizes = [unpacked(x.as_py(), "<u4") for x in table["sizes"]]
         every = np.concatenate(sizes).astype(np.int64)
         off = np.concatenate([[0], np.cumsum(every)])
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(every), [
-            None, pa.py_buffer(off), pa.py_buffer(b"".join(x.as_py() for x in table["words"]))])
+            None, pa.py_buffer(off), pa.py_buffer(np.concatenate([unpacked(x.as_py(), "u1") for x in table["words"]]))])
         coded = words.dictionary_encode()
         ids = [encode(w) for w in coded.dictionary.to_pylist()]
         size = np.array([len(x) for x in ids], np.int64)
@@ -206,8 +215,8 @@ def _encode_bucket(path: str):
         for s in sizes:
             here = index[at:at + len(s)]
             at += len(s)
-            out[0].append(size[here].astype("<u4").tobytes())
-            out[1].append(ragged_take(flat, start[here], size[here]).tobytes())
+            out[0].append(packed(size[here].astype("<u4")))
+            out[1].append(packed(ragged_take(flat, start[here], size[here])))
         return pa.table({"block": table["block"], "bucket": table["bucket"], "sizes": binaries(out[0]), "ids": binaries(out[1])})
     return run
 
@@ -217,21 +226,20 @@ def _join_back(path: str, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         kind, out = id_type(path), []
         found = dict(zip(right["bucket"].to_pylist(), zip(right["sizes"].to_pylist(), right["ids"].to_pylist())))
-        size = np.frombuffer(b"".join(found[b][0] for b in sorted(found)), "<u4").astype(np.int64)
-        flat = np.frombuffer(b"".join(found[b][1] for b in sorted(found)), kind)
-        unpack = zstandard.ZstdDecompressor()
+        size = np.concatenate([np.zeros(0, np.int64), *(unpacked(found[b][0], "<u4") for b in sorted(found))]).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, kind), *(unpacked(found[b][1], kind) for b in sorted(found))])
         for row in left.to_pylist():
-            bucket = np.frombuffer(row["buckets"], "<u2" if buckets < 1 << 16 else "<u4")
+            bucket = unpacked(row["buckets"], "<u2" if buckets < 1 << 16 else "<u4")
             if len(bucket) != len(size):
                 raise RuntimeError("a block's words were split differently in the two readings of the table")
             place = np.empty(len(bucket), np.int64)
             place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
             width, begin = size[place], (np.cumsum(size) - size)[place]
-            rank = np.frombuffer(unpack.decompress(row["ranks"]), "<u4")
+            rank = unpacked(row["ranks"], "<u4")
             upto = np.concatenate([[0], np.cumsum(row["counts"])]).astype(np.int64)
             at, n = 0, len(row["doc_ids"])
             while at < n:  # some documents at a time
-                to = max(at + 1, int(np.searchsorted(upto, upto[at] + (1 << 19), side="right")) - 1)
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + (1 << 17), side="right")) - 1)
                 w = rank[upto[at]:upto[to]]
                 ids = ragged_take(flat, begin[w], width[w]).astype("<u4")
                 edge = np.concatenate([[0], np.cumsum(width[w])])[upto[at:to + 1] - upto[at]]

@@ -11,6 +11,7 @@ from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.ngram_join import jaccard_components
 from biblioflow.llm.packing import lexical_packing
+from biblioflow.llm.paragraph_dedup import repeated_paragraphs
 from biblioflow.llm.quality import fit_quality, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
@@ -79,3 +80,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 85 % of their 4-word shingles."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
+
+
+@query("op8_paragraph_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of all documents that repeats an earlier one or a passage of it."""
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
