@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from biblioflow.llm.ann import forest_search
 from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.ngram_join import jaccard_components
@@ -86,3 +87,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph of all documents that repeats an earlier one or a passage of it."""
     return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query("op3_ann")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return forest_search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, 20)
