@@ -16,6 +16,7 @@ from biblioflow.llm.paragraph_dedup import repeated_paragraphs
 from biblioflow.llm.quality import fit_quality, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
+from biblioflow.llm.warc import archive_pages
 from biblioflow.session import table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return forest_search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, 20)
+
+
+@query("op2_warc")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC files and back."""
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
