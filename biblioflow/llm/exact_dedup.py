@@ -76,12 +76,12 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kept = exact_duplicates(docs, id_col, text_col, **options).where("kept")
     keys = ["_key_id", "_key_null", "_key_digest"]
 
-    def keyed(df: DataFrame, digest: Column) -> DataFrame:
-        return df.withColumns({"_key_id": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
-                               "_key_null": F.col(f"`{id_col}`").isNull(), "_key_digest": digest})
+    def keyed(df: DataFrame, digest: Column, *more: Column) -> DataFrame:
+        return df.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("_key_id"),
+                         F.col(f"`{id_col}`").isNull().alias("_key_null"), digest.alias("_key_digest"), *more)
 
-    wanted = keyed(kept, F.col("text_sha256")).select(*keys)
-    match = keyed(docs, text_digest(text_col)).join(wanted, keys)
+    wanted = keyed(kept, F.col("text_sha256"))
+    match = keyed(docs, text_digest(text_col), F.struct("*").alias("_row")).join(wanted, keys)
     # rows that repeat a kept id and text: the join's partitioning and sort serve this window too
     one = match.withColumn("_copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
-    return one.where("_copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one.where("_copy = 1").select("_row.*")

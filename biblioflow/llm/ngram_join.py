@@ -218,10 +218,11 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray | None, num: int, den
     return [find(x) for x in range(n)]
 
 
-def _verify(num: int, den: int):
+def _verify(k: int, num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         ids, unit, part = (np.asarray(table[c].combine_chunks()) for c in ("doc_id", "unit", "part"))
-        sets = [np.frombuffer(x.as_py(), "<u8") for x in table["shingles"]]
+        sets = [s for batch in table.to_batches() for _, col in pieces(batch, "text") for s in text_sets(col, k)]
         out = ([], [])
         order = np.lexsort((ids, unit))
         cuts = np.flatnonzero(np.concatenate([[True], unit[order][1:] != unit[order][:-1], [True]]))
@@ -237,47 +238,47 @@ def _verify(num: int, den: int):
     return run
 
 
-def _whole_sets(k: int):
-    def run(batches):
-        for batch in batches:
-            for rows, col in pieces(batch, "text"):
-                sets = [s.astype("<u8").tobytes() for s in text_sets(col, k)]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("comp"), rows.column("size"), pa.array([len(s) // 8 for s in sets], pa.int64()),
-                                                  pa.array(sets, pa.binary())], ["doc_id", "comp", "size", "n", "shingles"])
-    return run
+def blocks_of(classes: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """``doc_id, unit, part, bin``: where the classes (``doc_id, n, comp, size``) are compared.
 
-
-def verified_links(classes: DataFrame, texts: DataFrame, k: int, num: int, den: int, block: int) -> DataFrame:
-    """``a, b``: links whose components are those of all similar pairs of ``classes``
-    (``doc_id, comp, size``: a class's representative, its component, the classes there)."""
-    bins = max(1, (classes.agg(F.count(F.lit(1))).first()[0] * 4) // block)  # small components share bins
-    whole = (texts.join(classes, "doc_id").select("doc_id", "comp", "size", "text")
-             .mapInArrow(_whole_sets(k), "doc_id long, comp long, size long, n long, shingles binary"))
-    small = whole.where(F.col("size") <= block).select(
-        "doc_id", F.col("comp").alias("unit"), F.lit(-1).alias("part"), "shingles",
-        F.concat(F.lit("s:"), F.pmod(F.xxhash64("comp"), F.lit(bins))).alias("bin"))
-    # a larger component: bands of sizes, each dealt into parts of about ``block`` classes;
-    # a part meets itself, the other parts of its band and those of the next band
-    large = whole.where(F.col("size") > block).withColumn(
+    Small components share bins.  A component of over ``block`` classes is cut into bands of
+    sizes and a band into parts of about ``block`` classes; a part meets itself, the other
+    parts of its band and those of the next one, each meeting in a bin of its own."""
+    bins = max(1, (classes.agg(F.count(F.lit(1))).first()[0] * 8) // block)  # one number
+    small = classes.where(F.col("size") <= block).select(
+        "doc_id", F.col("comp").alias("unit"), F.lit(-1).alias("part"), F.concat(F.lit("s:"), F.pmod(F.xxhash64("comp"), F.lit(bins))).alias("bin"))
+    large = classes.where(F.col("size") > block).withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num)) + F.lit(1e-9)).cast("int"))
     count = classes_by_band(large, block)
     own = large.join(F.broadcast(count), ["comp", "band"]).withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     after = count.select("comp", (F.col("band") - 1).alias("band"), F.col("parts").alias("next_parts"))
     before = count.select("comp", (F.col("band") + 1).alias("band"), F.col("parts").alias("last_parts"))
     own = own.join(F.broadcast(after), ["comp", "band"], "left").join(F.broadcast(before), ["comp", "band"], "left")
+
+    def every(parts: str, meeting):
+        return F.when(F.col(parts).isNull(), F.array()).otherwise(
+            F.transform(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1), meeting))
+
     meets = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
+        every("parts", lambda j: F.struct(
             F.concat_ws(":", F.lit("b"), "comp", "band", F.least(j, F.col("slot")), F.greatest(j, F.col("slot"))).alias("bin"),
             F.when(j == F.col("slot"), -1).when(F.col("slot") < j, 0).otherwise(1).alias("part"))),
-        F.when(F.col("next_parts").isNull(), F.array()).otherwise(F.transform(
-            F.sequence(F.lit(0), F.coalesce("next_parts", F.lit(1)) - 1), lambda j: F.struct(
-                F.concat_ws(":", F.lit("n"), "comp", "band", F.col("slot"), j).alias("bin"), F.lit(0).alias("part")))),
-        F.when(F.col("last_parts").isNull(), F.array()).otherwise(F.transform(
-            F.sequence(F.lit(0), F.coalesce("last_parts", F.lit(1)) - 1), lambda j: F.struct(
-                F.concat_ws(":", F.lit("n"), "comp", F.col("band") - 1, j, F.col("slot")).alias("bin"), F.lit(1).alias("part")))))
-    large = own.select("doc_id", F.col("comp").alias("unit"), "shingles", F.explode(meets).alias("m")).select(
-        "doc_id", "unit", F.col("m.part").alias("part"), "shingles", F.col("m.bin").alias("bin"))
-    return small.unionByName(large).groupBy("bin").applyInArrow(_verify(num, den), "a long, b long")
+        every("next_parts", lambda j: F.struct(
+            F.concat_ws(":", F.lit("n"), "comp", "band", F.col("slot"), j).alias("bin"), F.lit(0).alias("part"))),
+        every("last_parts", lambda j: F.struct(
+            F.concat_ws(":", F.lit("n"), "comp", F.col("band") - 1, j, F.col("slot")).alias("bin"), F.lit(1).alias("part"))))
+    large = own.select("doc_id", F.col("comp").alias("unit"), F.explode(meets).alias("m")).select(
+        "doc_id", "unit", F.col("m.part").alias("part"), F.col("m.bin").alias("bin"))
+    return small.unionByName(large)
+
+
+def verified_links(classes: DataFrame, texts: DataFrame, k: int, num: int, den: int, block: int) -> DataFrame:
+    """``a, b``: links whose components are those of all similar pairs of ``classes``
+    (``doc_id, n, comp, size``: a class's representative, its set's size, its component and
+    the number of classes there)."""
+    placed = blocks_of(classes, num, den, block)
+    return (texts.join(placed, "doc_id").select("doc_id", "unit", "part", "bin", "text").groupBy("bin")
+            .applyInArrow(_verify(k, num, den), "a long, b long"))
 
 
 def classes_by_band(large: DataFrame, block: int) -> DataFrame:
@@ -309,10 +310,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = some.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("mark").alias("mark"),
                                       F.count(F.lit(1)).alias("copies")).where("doc_id IS NOT NULL")
     placed = classes.join(groups.select("gid", "n", "mark"), ["n", "mark"]).join(
-        linked.withColumnRenamed("node", "gid"), "gid", "left").select("doc_id", "key", "copies", F.coalesce("component", "gid").alias("comp"))
+        linked.withColumnRenamed("node", "gid"), "gid", "left").select("doc_id", "n", "key", "copies", F.coalesce("component", "gid").alias("comp"))
     placed = _written(placed, "classes")
     several = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    links = _written(verified_links(placed.select("doc_id", "comp").join(several, "comp"), texts, words, num, den, block), "links")
+    links = _written(verified_links(placed.select("doc_id", "n", "comp").join(several, "comp"), texts, words, num, den, block), "links")
     found = components(links)
 
     named = placed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -327,7 +328,8 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and rows without shingles or without id stay."""
     found = jaccard_components(docs, id_col, text_col, **options)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.struct("*").alias("_row"))
+    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 ship_by_value(__name__)

@@ -3,7 +3,7 @@
 A string column is one byte buffer plus offsets, so words of thousands of documents are
 found and hashed by a few numpy passes over that buffer; nothing here loops per character.
 A null counts as an empty text.  Batches are cut into pieces of bounded bytes
-(``pieces``), so a worker holds a few megabytes however long a batch is; a single text is
+(``pieces``), so a worker holds some megabytes however long a batch is; a single text is
 never cut.
 """
 
@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 _SEED = 20240229
 
 
@@ -92,7 +92,7 @@ def _tables(n: int):
         return table, lower
 
     def powers():
-        size = max(1 << 22, 1 << int(n).bit_length())
+        size = max(PIECE_BYTES + (1 << 16), 1 << int(n).bit_length() if n > PIECE_BYTES + (1 << 16) else 0)
         r = 0x9E3779B97F4A7C15 | 1
         inv = pow(r, -1, 2**64)
         out = []

@@ -1,0 +1,8 @@
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+for p in (ROOT, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))):
+    if p not in sys.path:
+        sys.path.insert(0, p)
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
