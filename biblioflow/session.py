@@ -28,9 +28,12 @@ SCALE_DEFAULTS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # size(NULL) is NULL (the ANSI default); pinned so results do not depend on ANSI mode
     "spark.sql.legacy.sizeOfNull": "false",
+    # batches to Python workers are cut by bytes, so rows with long texts don't fill a worker's memory
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 # settings that are pinned even when the session already has a value
-PINNED = ("spark.sql.session.timeZone", "spark.sql.optimizer.windowGroupLimitThreshold", "spark.sql.legacy.sizeOfNull")
+PINNED = ("spark.sql.session.timeZone", "spark.sql.optimizer.windowGroupLimitThreshold", "spark.sql.legacy.sizeOfNull",
+          "spark.sql.execution.arrow.maxBytesPerBatch")
 
 
 def build_session(master: str | None = None, app: str = "biblioflow", shuffle_partitions: int | None = None) -> SparkSession:
