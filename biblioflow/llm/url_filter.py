@@ -95,9 +95,13 @@ def calibrated_threshold(scored: DataFrame) -> DataFrame:
     bins = (scored.select("_good", F.floor((F.least(F.greatest("score", F.lit(-5.0)), F.lit(4.999)) + 5) * (BINS / 10)).alias("bin"))
             .groupBy("bin").agg(F.sum(F.col("_good").cast("long")).alias("a"), F.sum((~F.col("_good")).cast("long")).alias("b")))
     upto, every = Window.orderBy("bin"), Window.partitionBy(F.lit(0))
-    rated = bins.select("bin", ((F.sum("b").over(upto) / F.sum("b").over(every)) + 1 - F.sum("a").over(upto) / F.sum("a").over(every)).alias("rate"))
-    best = rated.agg(F.max_by("bin", F.struct("rate", F.col("bin"))).alias("bin"), F.max("rate").alias("rate"))
-    return best.select(F.when(F.col("rate").isNotNull(), (F.col("bin") + 1) / (BINS / 10) - 5).otherwise(0.0).alias("threshold"))
+    below = F.try_divide(F.sum("b").over(upto), F.sum("b").over(every))
+    above = 1 - F.try_divide(F.sum("a").over(upto), F.sum("a").over(every))
+    # in the middle between the bins on either side of the cut
+    middle = (F.col("bin") + 1 + F.coalesce(F.lead("bin").over(upto), F.col("bin") + 1)) / 2
+    rated = bins.select(middle.alias("cut"), (below + above).alias("rate"))
+    best = rated.agg(F.max_by("cut", F.struct("rate", "cut")).alias("cut"), F.max("rate").alias("rate"))
+    return best.select(F.when(F.col("rate").isNotNull(), F.col("cut") / (BINS / 10) - 5).otherwise(0.0).alias("threshold"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(RULES), id_col: str = "page_id",
