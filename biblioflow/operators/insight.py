@@ -163,6 +163,10 @@ def top_k(df: DataFrame, score: str, k: int, name: str | None = None, ascending:
     return df.orderBy(o, *tie).limit(k)
 
 
+#: Slices of a quota group that are cut down before the group is ranked.
+SLICES = 64
+
+
 # H4 ------------------------------------------------------------------------------------
 def quota_frame(spark: SparkSession, quotas: Mapping[int, Sequence[int]]) -> DataFrame:
     rows = [(int(y), int(cat), int(q)) for y, qs in quotas.items() for cat, q in enumerate(qs)]
@@ -173,13 +177,17 @@ def apply_quota(df: DataFrame, quotas: Mapping[int, Sequence[int]], order: Seque
                 year: str = "year", category: str = "category", doi: str = "doi") -> DataFrame:
     """First ``quota`` papers with a DOI per (year, category), in ``order``.
 
-    The literal bound ``max(quota)`` lets Spark plan a rank-limit (``WindowGroupLimit``)
-    before the shuffle, so each map task forwards at most that many rows per group; the
-    exact per-group quota is applied after.  The quota frame has one row per (year,
-    category) of the fixed table — a proven size bound — and is broadcast."""
+    Two rank limits: each group is dealt over SLICES slices, of which at most the literal
+    bound ``max(quota)`` rows stay (Spark plans a ``WindowGroupLimit`` before that shuffle),
+    so the window over a whole group sees at most SLICES times that many rows, however many
+    tasks and rows there are.  The quota frame has one row per (year, category) of the
+    fixed table, a proven size bound, and is broadcast."""
     spark = df.sparkSession
     cap = max(q for qs in quotas.values() for q in qs)
-    w = Window.partitionBy(year, category).orderBy(*[F.col(o) for o in order])
-    ranked = df.where(F.col(doi).isNotNull()).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= cap)
+    by = [F.col(o) for o in order]
+    dealt = df.where(F.col(doi).isNotNull()).withColumn("_slice", F.pmod(F.xxhash64(*by, F.col(doi)), F.lit(SLICES)))
+    part = F.row_number().over(Window.partitionBy(year, category, "_slice").orderBy(*by))
+    few = dealt.withColumn("_rn", part).where(F.col("_rn") <= cap).drop("_rn", "_slice")
+    ranked = few.withColumn("rn", F.row_number().over(Window.partitionBy(year, category).orderBy(*by)))
     q = F.broadcast(quota_frame(spark, quotas))
     return ranked.join(q, [year, category], "inner").where(F.col("rn") <= F.col("quota")).drop("quota")

@@ -9,8 +9,9 @@ parameters, not by data.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -54,10 +55,9 @@ def encoder_udf(encode: Callable, dim: int):
     """Hook for a user text encoder: ``encode(list[str]) -> 2-D array (n, dim)``, run as an
     Arrow-batched iterator pandas UDF (model loaded once per task, batches of rows)."""
     import numpy as np
-    import pandas as pd
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _enc(batches):
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             arr = np.asarray(encode(s.fillna("").tolist()), dtype="float32").reshape(len(s), dim)
             yield pd.Series(list(arr))
@@ -97,6 +97,15 @@ def feature_stages(text_vecs: Sequence[str], scalars: Sequence[str] = SCALAR_COL
     ]
 
 
+def standardise(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame) -> DataFrame:
+    """Population z-scores ``<col>_z`` (mean and ``stddev_pop`` of ``fitted_on``, one
+    aggregate; 0 where the column is constant there, NULL where the value is)."""
+    stats = fitted_on.agg(F.struct(*[f(c).alias(f"{c}_{k}") for c in cols for k, f in (("m", F.avg), ("s", F.stddev_pop))])).scalar()
+    df = df.withColumn("_stats", stats)
+    z = {f"{c}_z": F.coalesce(F.try_divide(F.col(c) - F.col(f"_stats.{c}_m"), F.col(f"_stats.{c}_s")), F.when(F.col(c).isNotNull(), 0.0)) for c in cols}
+    return df.withColumns(z).drop("_stats")
+
+
 def feature_names(df: DataFrame, text_cols: Sequence[str] = TEXT_COLS, num_features: int = 1 << 12,
                   scalars: Sequence[str] = SCALAR_COLS) -> DataFrame:
     """Generated names in vector order: ``title_i``, ``abstract_i``, then the scalars."""
@@ -123,10 +132,15 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weights: DataFrame | None = None) -> DataFrame:
-    """Attach the class weight to every row (equi-join on the label; the weight frame has
-    one row per class and AQE broadcasts it from its measured size)."""
+    """Attach the class weight to every row: the weights are one map (an entry per class) from
+    a scalar subquery, so the rows aren't shuffled by the label."""
     w = class_weights(df, label) if weights is None else weights
-    return df.join(w.select(label, "weight"), label, "left")
+    found = w.where(F.col(label).isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct(label, "weight")))).scalar()
+    return df.withColumn("_weights", found).withColumn("weight", F.try_element_at("_weights", F.col(label))).drop("_weights")
+
+
+#: Ranges of a given order in the stratified split.
+QUANTILES = 128
 
 
 # L7 ------------------------------------------------------------------------------------
@@ -135,20 +149,20 @@ def stratified_split(df: DataFrame, label: str = "label", order: Column | None =
     """Exact stratified split: per class, the first round(f * n_c) rows in ``order`` (default
     a seeded hash of ``id_col``) are test rows.
 
-    Exact rank without one task per class: the order value is cut into ``buckets``
-    equal-width ranges; rank = rows of the class in lower ranges (a k x buckets aggregate,
-    cumulated over that small frame) + row_number within (class, range).  Each window
-    partition holds ~n/buckets rows of one class."""
+    Exact rank without one task per class: the order value is cut into ranges; rank = rows of
+    the class in lower ranges (a k x ranges aggregate, cumulated over that small frame) +
+    row_number within (class, range).  The hash spans its range evenly, so ``buckets`` equal
+    ranges need no pass over the data; a given ``order`` is cut at QUANTILES approximate
+    quantiles, so clustered or outlying values still fill the ranges evenly.  (Any bounds
+    give the same ranks.)"""
     o = order if order is not None else F.xxhash64(F.col(id_col), F.lit(seed))
     v = df.withColumn("_o", o.cast("double"))
     if order is None:
-        # a 64-bit hash spans the whole long range: no passes over the data for the bounds
-        # (buckets only partition the ranking, so any bounds give the same ranks)
-        lo, hi = F.lit(-(2.0 ** 63)), F.lit(2.0 ** 63)
+        b = F.least(F.floor((F.col("_o") + 2.0 ** 63) / 2.0 ** 64 * buckets), F.lit(buckets - 1)).cast("int")
     else:
-        lo = v.select(F.min("_o")).scalar()
-        hi = v.select(F.max("_o")).scalar()
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("_o") - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")
+        cuts = v.select(F.percentile_approx("_o", [i / QUANTILES for i in range(1, QUANTILES)], 10_000)).scalar()
+        v = v.withColumn("_cuts", cuts)
+        b = F.when(F.col("_o").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda x: x < F.col("_o"))))
     v = v.withColumn("_b", b)
     per = v.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     # rows of the class in lower ranges, and the class total, over the small (class, range) frame
@@ -158,19 +172,17 @@ def stratified_split(df: DataFrame, label: str = "label", order: Column | None =
                       F.round(n_c * test_fraction).cast("long").alias("_n_test"))
     w = Window.partitionBy(label, "_b").orderBy("_o", *([F.col(id_col)] if id_col in df.columns else []))
     ranked = v.join(info, [label, "_b"], "left").withColumn("_rank", F.col("_before") + F.row_number().over(w))
-    return ranked.withColumn("is_test", F.col("_rank") <= F.col("_n_test")).drop("_o", "_b", "_before", "_n_test", "_rank")
+    return ranked.withColumn("is_test", F.col("_rank") <= F.col("_n_test")).drop("_o", "_b", "_cuts", "_before", "_n_test", "_rank")
 
 
 def three_way_split(df: DataFrame, label: str = "label", seed: int = 42, id_col: str = "doc_id",
                     materialize: bool = True) -> DataFrame:
     """train / validation / test: test = exact stratified 20 %, validation = exact 20 % of
     the rest (fit only on train; early stopping on validation; report on test).  The first
-    split is checkpointed so the second split's scalar subqueries read it, not its lineage."""
-    from biblioflow.session import cut_lineage
-
+    split is stored so the second split reads it, not its lineage."""
     s1 = stratified_split(df, label, None, 0.2, seed, id_col)
     if materialize:
-        s1 = cut_lineage(s1)
+        s1 = stored(s1, "split")
     rest = s1.where(~F.col("is_test")).drop("is_test")
     s2 = stratified_split(rest, label, None, 0.2, seed + 1, id_col).withColumnRenamed("is_test", "is_validation")
     test = s1.where(F.col("is_test")).drop("is_test").withColumn("is_validation", F.lit(False))
@@ -179,20 +191,18 @@ def three_way_split(df: DataFrame, label: str = "label", seed: int = 42, id_col:
 
 
 # L8 / L9 / L11 -------------------------------------------------------------------------
-def random_forest(weight: str | None = "weight", trees: int = 100, max_depth: int = 10, seed: int = 42) -> RandomForestClassifier:
+def random_forest(weight: str | None = "weight", trees: int = 100, max_depth: int = 30, seed: int = 42) -> RandomForestClassifier:
+    """Fully grown trees as far as Spark grows them (depth 30)."""
     rf = RandomForestClassifier(labelCol="label_d", featuresCol="features", numTrees=trees, maxDepth=max_depth,
-                                minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed)
+                                minInstancesPerNode=1, featureSubsetStrategy="sqrt", seed=seed)
     return rf.setWeightCol(weight) if weight else rf
 
 
-def gradient_boosting(weight: str | None = "weight", iters: int = 50, depth: int = 6, step: float = 0.1,
-                      validation: str | None = "is_validation", seed: int = 42) -> GBTClassifier:
+def gradient_boosting(weight: str | None = "weight", iters: int = 50, depth: int = 6, step: float = 0.1, seed: int = 42) -> GBTClassifier:
     kw = dict(labelCol="label_d", featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
               subsamplingRate=0.8, seed=seed)
     if weight:
         kw["weightCol"] = weight
-    if validation:
-        kw.update(validationIndicatorCol=validation, validationTol=0.001)
     return GBTClassifier(**kw)
 
 
@@ -201,31 +211,71 @@ def logistic(weight: str | None = "weight") -> LogisticRegression:
     return lr.setWeightCol(weight) if weight else lr
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back (columns stay
+    prunable, and a lost executor costs no recomputation)."""
+    from biblioflow.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def training_frame(spark: SparkSession, base: DataFrame, label: str = "label", id_col: str = "doc_id") -> DataFrame:
     """Split, NULL ref counts dropped (D7), scalar features, double label, class weights
-    computed on the training rows only.  The result is checkpointed into the shared folder:
-    estimators make many passes over it, and each pass must not re-run the split."""
-    from biblioflow.session import cut_lineage
+    computed on the training rows only.  The split runs over (id, label) alone; texts are
+    joined to it once, and the result is stored as Parquet for the estimators' passes."""
+    rows = base.na.drop(subset=["ref_count"])
+    split = stored(three_way_split(stored(rows.select(id_col, label), "labelled"), label, id_col=id_col), "split")
+    weights = class_weights(split.where(F.col("split") == "train"), label)
+    split = with_class_weights(split, label, weights).withColumn("label_d", F.col(label).cast("double"))
+    return stored(with_text_inputs(scalar_features(rows)).join(split.drop(label), id_col), "training")
 
-    df = cut_lineage(scalar_features(base.na.drop(subset=["ref_count"])))
-    df = with_text_inputs(three_way_split(df, label, id_col=id_col))
-    weights = class_weights(df.where(F.col("split") == "train"), label)
-    out = with_class_weights(df, label, weights).withColumn("label_d", F.col(label).cast("double"))
-    return cut_lineage(out)
+
+def fit_features(rows: DataFrame, num_features: int = 1 << 12, method: str = "tfidf") -> PipelineModel:
+    stages, vecs = text_stages(num_features=num_features, method=method)
+    return Pipeline(stages=stages + feature_stages(vecs)).fit(rows)
 
 
 def fit_model(train: DataFrame, classifier, num_features: int = 1 << 12, method: str = "tfidf") -> PipelineModel:
-    """Feature stages are fitted on training rows only; a classifier with a validation
-    indicator additionally sees the validation rows (for early stopping only).  Returns one
-    PipelineModel (features + classifier), so serving applies exactly the fitted scaling."""
-    stages, vecs = text_stages(num_features=num_features, method=method)
-    has_valid = classifier.hasParam("validationIndicatorCol") and classifier.isSet("validationIndicatorCol")
-    fit_rows = train.where(~F.col("is_validation")) if "is_validation" in train.columns else train
-    feats = Pipeline(stages=stages + feature_stages(vecs)).fit(fit_rows)
-    model = classifier.fit(feats.transform(train if has_valid else fit_rows))
+    """Feature stages and classifier fitted on all rows given (training and validation rows
+    for a final fit).  Returns one PipelineModel, so serving applies exactly the fitted
+    scaling."""
+    feats = fit_features(train, num_features, method)
+    model = classifier.fit(feats.transform(train))
     return persisted(train.sparkSession, PipelineModel(stages=feats.stages + [model]))
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The round (from 1) of least loss, looking no further than ``patience`` rounds without
+    a lower one."""
+    best = 0
+    for i, v in enumerate(losses):
+        if v < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_boosted(train: DataFrame, num_features: int = 1 << 12, iters: int = 50, patience: int = 10, id_col: str = "doc_id",
+                refit: bool = True) -> tuple[PipelineModel, list[float]]:
+    """Boosting with patience: all ``iters`` rounds are fitted on the training rows, the
+    validation rows' loss after each round chooses the best round, and the model is fitted
+    again to that round.  Returns it and the losses.  Rows are dealt by a hash of the id and
+    sorted, so the same rows give the same trees on any number of cores."""
+    feats = fit_features(train.where(~F.col("is_validation")), num_features)
+    every = stored(feats.transform(train).select(id_col, "is_validation", "label_d", "weight", "features"), "boosting")
+    rows = every.where(~F.col("is_validation")).repartition(8, id_col).sortWithinPartitions(id_col)
+    held = every.where("is_validation").repartition(8, id_col).sortWithinPartitions(id_col)
+    model = gradient_boosting(iters=iters).fit(rows)
+    losses = [float(v) for v in model.evaluateEachIteration(held)]
+    best = best_round(losses, patience)
+    if refit and best < iters:
+        model = gradient_boosting(iters=best).fit(rows)
+    return persisted(train.sparkSession, PipelineModel(stages=feats.stages + [model])), losses
+
+
 def persisted(spark: SparkSession, model: PipelineModel, path: str | None = None) -> PipelineModel:
     """Save to the shared folder and load back.  The loaded model is identical but carries
     no training summary (which holds a session reference that cannot be serialised into
@@ -355,18 +405,18 @@ def metric_table(report: DataFrame, positive: str = "1", digits: int = 4) -> Dat
 
 # L16 / L17 / L18 -----------------------------------------------------------------------
 def feature_importance(spark: SparkSession, model, names: DataFrame, k: int = 25) -> DataFrame:
-    """Importances (model-sized vector) joined to generated names, top-k by score."""
+    """Importances (model-sized vector) of all named features, those that no tree uses with
+    score 0; top-k by score, ties by name."""
     imp = model.featureImportances
     rows = [(int(i), float(v)) for i, v in zip(imp.indices, imp.values)]
     df = spark.createDataFrame(rows, "index long, score double")
-    return df.join(names, "index", "left").select("feature", "score").orderBy(F.desc("score"), "feature").limit(k)
+    scored = names.join(df, "index", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+    return scored.orderBy(F.desc("score"), "feature").limit(k)
 
 
-def learning_curve(spark: SparkSession, gbt_model, data: DataFrame) -> DataFrame:
-    """Loss (the model's own loss type) on held-out rows after each boosting round; ``data``
-    must carry the model's features and label columns."""
-    vals = gbt_model.evaluateEachIteration(data)
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(vals)], "round int, loss double")
+def learning_curve(spark: SparkSession, losses: Sequence[float]) -> DataFrame:
+    """Loss on held-out rows after each boosting round, one row per fitted round."""
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "round int, loss double")
 
 
 def training_report(report: DataFrame, confusion: DataFrame, importance: DataFrame, curve: DataFrame | None) -> DataFrame:

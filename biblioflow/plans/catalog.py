@@ -505,8 +505,14 @@ def _records_26(spark: SparkSession, sf: str) -> DataFrame:
     return C.conform_search_record(E.join_refcounts(search_records(spark, sf), X.refcount_feed(spark, sf)))
 
 
+#: Columns of ``records`` that search records don't fill.
+_UNFILLED = ("publisher", "author_keywords", "subject_code", "subject_name", "subject_abbrev", "author_details", "funding_details",
+             "language", "status_state", "delivered_date", "subject_area")
+
 _C4_SQL = f"""
-SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title, p.document_type, p.source_type, p.cover_date AS publication_date,
+SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title,
+  CASE WHEN p.paper_id % 19 = 4 THEN NULL ELSE 'Abstract of paper ' || CAST(p.paper_id AS VARCHAR) END AS abstract,
+  p.document_type, p.source_type, p.cover_date AS publication_date,
   p.source_title,
   CASE WHEN pe.first_seq % 5 = 0 THEN NULL ELSE 'G' || pe.first_auid END AS author_given_name,
   'S' || pe.first_auid AS author_surname, 'author/' || pe.first_auid AS author_url,
@@ -515,15 +521,13 @@ SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title, p.document_type,
   CASE WHEN p.paper_id % 3 = 0 THEN NULL ELSE p.paper_id % 2 = 0 END AS open_access,
   'Institute ' || pe.first_affid AS affiliation,
   coalesce(TRY_CAST(p.cited_by_raw AS INTEGER), 0) AS cited_by,
-  CAST(NULL AS VARCHAR) AS publisher, CAST(NULL AS VARCHAR) AS subject_code
+  {", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in _UNFILLED)}
 FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id LEFT JOIN {_REFS} r ON r.doi = p.doi"""
 
 
 @register("C4_conform_search_record", W(_C4_SQL, "papers", "people", "refcount_feed"))
 def q_c4(spark, sf):
-    return _records_26(spark, sf).select("doi", "title", "document_type", "source_type", "publication_date", "source_title",
-                                         "author_given_name", "author_surname", "author_url", "author_affiliation",
-                                         "ref_count", "open_access", "affiliation", "cited_by", "publisher", "subject_code")
+    return _records_26(spark, sf)
 
 
 @register("C5_first_element", W("""
@@ -662,7 +666,7 @@ _SUBJECTS = ("Condensed Matter", "Oncology", "Organic Chemistry", "Software")
     f"CASE WHEN {_MAIN} = '{s}' THEN 1 ELSE 0 END AS \"main_subject_area_{s}\"" for s in _SUBJECTS) + " FROM records"))
 def q_c16(spark, sf):
     r = FI.main_subject(records(spark, sf)).select("paper_id", "main_subject_area")
-    return C.one_hot(r, "main_subject_area").drop("main_subject_area")
+    return C.one_hot(r, "main_subject_area", _SUBJECTS).drop("main_subject_area")
 
 
 @register("C17_scatter_points", WR(f"SELECT ref_count, cited_by, {_MAIN} AS main_subject_area FROM records"))
@@ -1006,6 +1010,13 @@ def q_l7(spark, sf):
     return s.select("doc_id", "label", "is_test")
 
 
+@register("L7_stratified_split_seeded", W("""
+SELECT label, count(*) AS n, CAST(round(0.2 * count(*)) AS BIGINT) AS n_test FROM model_frame GROUP BY label""", "model_frame"))
+def q_l7_seeded(spark, sf):
+    s = L.stratified_split(X.model_frame(spark, sf), "label", id_col="doc_id")
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_test")).alias("n_test"))
+
+
 _REPORT_SQL = _PRED_SQL + """,
 cells AS (SELECT label, prediction, count(*) AS n FROM s GROUP BY 1, 2),
 cls AS (SELECT label AS c FROM cells UNION SELECT prediction FROM cells),
@@ -1078,6 +1089,21 @@ def q_a1(spark, sf):
     return C.flatten_nested_paper(good).select("doi", "title", "document_type")
 
 
+@register("A1_rejects_concatenated", W("""
+SELECT count(*) AS good, count(*) FILTER (WHERE paper_id % 7 = 3) AS rejected,
+  count(*) FILTER (WHERE paper_id % 7 = 3) AS with_text FROM papers""", "papers"))
+def q_a1_rejects(spark, sf):
+    """A broken object behind every seventh record: all records are read, every broken one is
+    reported with its text."""
+    base = scratch_path(spark, "a1-broken")
+    broken = F.concat(F.lit('\n{"paper": broken, "s": "}", "id": '), F.col("paper_id").cast("string"), F.lit("}"))
+    (X.search_paper_json(spark, sf).select(F.concat("json", F.when(F.col("paper_id") % 7 == 3, broken).otherwise(F.lit(""))).alias("value"))
+     .write.option("maxRecordsPerFile", X.FEED_CHUNK).text(base))
+    good, bad = R.read_concatenated_json(spark, base, S.SEARCH_PAPER, glob=None)
+    counts = bad.agg(F.count(F.lit(1)).alias("rejected"), F.count_if(F.col("bad_text").startswith('{"paper": broken')).alias("with_text"))
+    return good.agg(F.count(F.lit(1)).alias("good")).select("good", *[counts.select(c).scalar().alias(c) for c in ("rejected", "with_text")])
+
+
 _SEARCH_KEYS_SQL = "SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, cited_by_raw AS cited_by_text FROM papers"
 
 
@@ -1287,25 +1313,17 @@ _EVENT_SCHEMA = S.T.StructType([S.T.StructField("event_id", S.T.LongType()), S.T
                                 S.T.StructField("props", S.T.StringType())])
 
 
-@register("K2_microbatch_upsert", W("SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, ref_count FROM papers WHERE doi IS NOT NULL",
-                                    "papers"))
+@register("K2_microbatch_upsert", W(f"SELECT * FROM ({_C4_SQL}) WHERE doi IS NOT NULL", "papers", "people", "refcount_feed"))
 def q_k2(spark, sf):
-    """Search-record files streamed in micro-batches; each batch is conformed and upserted
-    (key ``doi``) via foreachBatch, rewriting only the table buckets the batch touches."""
-    src = landed_feed(spark, sf, "search-papers")  # 1000-record files, as the feed lands
+    """Search-record files streamed in micro-batches; each batch is joined to the reference
+    counts (E1), conformed (C4) and upserted (key ``doi``) via foreachBatch, rewriting only
+    the table buckets the batch touches; all 26 stored columns are compared."""
+    src = landed_feed(spark, sf, "search-papers")
     table_base, ck = (scratch_path(spark, n) for n in ("k2-table", "k2-ck"))
     stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 32).json(src)
-
-    def transform(batch: DataFrame) -> DataFrame:
-        conformed = C.conform(batch.select(fc.c("prism:doi").alias("doi"), fc.c("dc:title").alias("title"),
-                                           F.lit(None).cast("int").alias("ref_count")), S.RECORDS)
-        return conformed.where(F.col("doi").isNotNull())
-
-    K.upsert_stream(stream, transform, table_base, ck, "doi", ["title"]).awaitTermination()
-    got = K.current_table(spark, table_base).select("doi", "title")
-    # ref_count is attached from the reference feed after the load (E1)
-    refs = X.papers(spark, sf).select("doi", "ref_count")
-    return got.join(refs, "doi", "left")
+    refs = X.refcount_feed(spark, sf)
+    K.upsert_stream(stream, lambda batch: C.conform_search_record(E.join_refcounts(batch, refs)), table_base, ck, "doi", ["title"]).awaitTermination()
+    return K.current_table(spark, table_base)
 
 
 @register("K3_message_contract", """
@@ -1320,30 +1338,45 @@ def q_k3(spark, sf):
     return K.topic_counts(good, bad)
 
 
-@register("K4_replay_safe_ingest", "SELECT event_id, event_type, user_id FROM events")
+@register("K4_replay_safe_ingest", """
+SELECT event_id, event_type, CASE WHEN event_id % 2 = 0 THEN user_id + 1000 ELSE user_id + 5 END AS user_id,
+  CAST(CASE WHEN event_id % 2 = 0 THEN 3 ELSE 2 END AS INTEGER) AS rev FROM events""")
 def q_k4(spark, sf):
-    """Every message delivered twice (two producer runs into the feed); the keyed upsert
-    sink keeps one row per event."""
+    """Every message several times: the first copy, a newer one for even ids, then a late
+    copy that is older than that and newer than the first, and the first copy once more.
+    The table keeps the greatest revision of each event, whatever arrives last."""
     src, table_base, ck = (scratch_path(spark, n) for n in ("k4-in", "k4-table", "k4-ck"))
-    msgs = _event_messages(spark, sf)
-    msgs.write.json(f"{src}/run=1")
-    msgs.write.json(f"{src}/run=2")
-    stream = K.message_stream(spark, f"{src}/*", max_files=8)
+    ev = table(spark, sf, "events")
+
+    def deliver(run: int, rows: DataFrame, rev: int, add: int) -> None:
+        sent = rows.withColumn("user_id", F.col("user_id") + add).withColumn("rev", F.lit(rev))
+        sent.select(F.col("event_type").alias("topic"), F.col("event_id").cast("string").alias("key"),
+                    F.to_json(F.struct(*[F.col(c) for c in sent.columns])).alias("value")).write.json(f"{src}/run={run}")
+
+    deliver(1, ev, 1, 0)
+    deliver(2, ev.where("event_id % 2 = 0"), 3, 1000)
+    deliver(3, ev, 2, 5)
+    deliver(4, ev, 1, 0)
+    schema = S.T.StructType([*_EVENT_SCHEMA.fields, S.T.StructField("rev", S.T.IntegerType())])
 
     def transform(batch: DataFrame) -> DataFrame:
-        good, _bad = K.parse_messages(batch, _EVENT_SCHEMA)
-        return good.select(F.col("event_id"), "event_type", "user_id", "value")
+        good, _bad = K.parse_messages(batch, schema)
+        return good.select("event_id", "event_type", "user_id", "rev")
 
-    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["value"]).awaitTermination()
-    return K.current_table(spark, table_base).select("event_id", "event_type", "user_id")
+    stream = K.message_stream(spark, f"{src}/*", max_files=8)
+    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["rev"]).awaitTermination()
+    return K.current_table(spark, table_base)
 
 
-# ===== L: Spark ML jobs (no SQL oracle: rows + invariants in tests) =======================
+# ===== L: Spark ML jobs (the oracles state what holds of any right fit) ==================
 
 from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
-NUM_TEXT_FEATURES = 1 << 10
+NUM_TEXT_FEATURES = 1 << 12
+_ROUNDS = 50
+_LABELLED = "FROM model_frame WHERE ref_count IS NOT NULL"
+_N_TEST = f"(SELECT CAST(sum(round(0.2 * n_c)) AS BIGINT) FROM (SELECT count(*) AS n_c {_LABELLED} GROUP BY label))"
 
 
 def _training(spark: SparkSession, sf: str) -> DataFrame:
@@ -1354,121 +1387,152 @@ def _split(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("split") == name)
 
 
-@register("L1_text_features")
+_TOKENS = "len([x for x in regexp_split_to_array(lower(coalesce({}, '')), '\\W+') if x <> ''])"
+
+
+@register("L1_text_features", W(f"""
+SELECT doc_id, {_TOKENS.format("title")} AS title_terms, {_TOKENS.format("abstract")} AS abstract_terms FROM model_frame""", "model_frame"))
 def q_l1(spark, sf):
-    from biblioflow.session import cut_lineage
+    """Hashed term counts of every document add up to its tokens."""
+    df = L.with_text_inputs(X.model_frame(spark, sf))
+    stages, _ = L.text_stages(num_features=NUM_TEXT_FEATURES)
+    out = Pipeline(stages=[s for s in stages if not s.__class__.__name__ == "IDF"]).fit(df).transform(df)
+    total = lambda c: F.aggregate(vector_to_array(F.col(c)), F.lit(0.0), lambda a, x: a + x).cast("bigint")
+    return out.select("doc_id", total("title_tf").alias("title_terms"), total("abstract_tf").alias("abstract_terms"))
+
 
-    df = cut_lineage(L.with_text_inputs(X.model_frame(spark, sf)))
-    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
-    out = Pipeline(stages=stages).fit(df).transform(df)
-    nnz = lambda c: F.size(F.filter(vector_to_array(F.col(c)), lambda x: x != 0))
-    return out.select("doc_id", nnz("title_vec").alias("title_nnz"), nnz("abstract_vec").alias("abstract_nnz"))
+@register("L1_encoder_hook", W("""
+SELECT doc_id, length(coalesce(title, '')) AS chars, CAST(2 AS INTEGER) AS dims FROM model_frame""", "model_frame"))
+def q_l1_encoder(spark, sf):
+    """A user encoder plugged in (here: length and a constant)."""
+    def encode(texts):
+        return [[len(t), 1.0] for t in texts]
 
+    out = X.model_frame(spark, sf).withColumn("v", L.encoder_udf(encode, 2)(F.col("title")))
+    return out.select("doc_id", F.get("v", 0).cast("bigint").alias("chars"), F.size("v").alias("dims"))
 
-@register("L3_feature_vectors")
+
+@register("L3_feature_vectors", W(f"SELECT doc_id, {2 * NUM_TEXT_FEATURES + len(L.SCALAR_COLS)} AS n_features {_LABELLED}", "model_frame"))
 def q_l3(spark, sf):
     df = _training(spark, sf)
-    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
-    m = Pipeline(stages=stages + L.feature_stages(vecs)).fit(_split(df, "train"))
-    return m.transform(df).select("doc_id", "split", F.size(vector_to_array("features")).alias("n_features"))
+    return L.fit_features(_split(df, "train"), NUM_TEXT_FEATURES).transform(df).select("doc_id", F.size(vector_to_array("features")).alias("n_features"))
 
 
-@register("L4_standardised_scalars")
+@register("L4_standardised_scalars", W(f"""
+, t AS (SELECT doc_id, ref_count, length(abstract) AS abstract_len, length(title) AS title_len,
+        row_number() OVER (PARTITION BY label ORDER BY doc_id) <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test {_LABELLED}),
+m AS (SELECT avg(ref_count) AS rm, stddev_pop(ref_count) AS rs, avg(abstract_len) AS am, stddev_pop(abstract_len) AS asd,
+      avg(title_len) AS tm, stddev_pop(title_len) AS ts FROM t WHERE NOT is_test)
+SELECT doc_id, is_test, round((ref_count - rm) / rs, 6) AS ref_count_z, round((abstract_len - am) / asd, 6) AS abstract_len_z,
+  round((title_len - tm) / ts, 6) AS title_len_z FROM t, m""", "model_frame"))
 def q_l4(spark, sf):
-    df = _training(spark, sf)
-    stages, vecs = L.text_stages(num_features=NUM_TEXT_FEATURES)
-    m = Pipeline(stages=stages + L.feature_stages(vecs)).fit(_split(df, "train"))
-    a = vector_to_array("scalar_scaled")
-    return m.transform(df).select("doc_id", "split", *[F.get(a, i).alias(f"{c}_z") for i, c in enumerate(L.SCALAR_COLS)])
+    df = L.scalar_features(X.model_frame(spark, sf).na.drop(subset=["ref_count"]))
+    df = L.stratified_split(df, "label", order=F.col("doc_id"))
+    out = L.standardise(df, L.SCALAR_COLS, df.where(~F.col("is_test")))
+    return out.select("doc_id", "is_test", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in L.SCALAR_COLS])
 
 
 def _fit(spark: SparkSession, sf: str, clf):
-    """Fit on train rows (+ validation rows for early stopping)."""
+    """Fitted on training and validation rows."""
     df = _training(spark, sf)
     return df, L.fit_model(df.where(F.col("split") != "test"), clf, NUM_TEXT_FEATURES)
 
 
-@register("L8_random_forest")
+_SCORED_SQL = W(f"SELECT {_N_TEST} AS n_scored, true AS probabilities_ok, true AS predictions_ok", "model_frame")
+
+
+def _scored(scores: DataFrame) -> DataFrame:
+    """How many rows, and whether all probabilities and predictions are what they must be."""
+    fine = F.col("p0").between(0, 1) & F.col("p1").between(0, 1) & (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9)
+    return scores.agg(F.count(F.lit(1)).alias("n_scored"), F.bool_and(fine).alias("probabilities_ok"),
+                      F.bool_and(F.col("prediction").isin(0, 1)).alias("predictions_ok"))
+
+
+@register("L8_random_forest", _SCORED_SQL)
 def q_l8(spark, sf):
     df, m = _fit(spark, sf, L.random_forest())
-    return L.score(m, _split(df, "test"))
+    return _scored(L.score(m, _split(df, "test")))
+
+
+def _boosted(spark: SparkSession, sf: str, refit: bool = True):
+    df = _training(spark, sf)
+    m, losses = L.fit_boosted(df.where(F.col("split") != "test"), NUM_TEXT_FEATURES, iters=_ROUNDS, refit=refit)
+    return df, m, losses
 
 
-@register("L9_gradient_boosting")
+@register("L9_gradient_boosting", _SCORED_SQL)
 def q_l9(spark, sf):
-    df, m = _fit(spark, sf, L.gradient_boosting())
-    return L.score(m, _split(df, "test"))
+    df, m, _ = _boosted(spark, sf)
+    return _scored(L.score(m, _split(df, "test")))
 
 
-@register("L10_cross_validated_f1")
+@register("L10_cross_validated_f1", "SELECT 5 AS folds, true AS mean_ok, true AS bounds_ok")
 def q_l10(spark, sf):
     df = _training(spark, sf)
-    return L.cross_validated_f1(_split(df, "train"), L.random_forest(trees=30), folds=5, num_features=NUM_TEXT_FEATURES)
+    out = L.cross_validated_f1(df.where(F.col("split") != "test"), L.random_forest(), folds=5, num_features=NUM_TEXT_FEATURES)
+    return out.select("folds", F.col("f1_mean").between(0, 1).alias("mean_ok"), (
+        (F.col("f1_sd") >= 0) & (F.abs(F.col("f1_high") - F.col("f1_low") - 4 * F.col("f1_sd")) < 1e-9)
+        & (F.abs(F.col("f1_high") + F.col("f1_low") - 2 * F.col("f1_mean")) < 1e-9)).alias("bounds_ok"))
 
 
-@register("L11_leaderboard")
+@register("L11_leaderboard", """
+SELECT model, true AS metrics_ok FROM (VALUES ('random_forest'), ('gradient_boosting'), ('logistic_regression')) t(model)""")
 def q_l11(spark, sf):
     df = _training(spark, sf)
-    models = {"random_forest": L.random_forest(), "gradient_boosting": L.gradient_boosting(validation=None),
-              "logistic_regression": L.logistic()}
-    return L.leaderboard(_split(df, "train"), _split(df, "validation"), models, NUM_TEXT_FEATURES)
-
-
-def _saved_model(spark: SparkSession, sf: str):
-    df, m = _fit(spark, sf, L.logistic())
-    path = scratch_path(spark, "b9-model")
-    m.write().overwrite().save(path)
-    return df, m, PipelineModel.load(path)
+    models = {"random_forest": L.random_forest(), "gradient_boosting": L.gradient_boosting(iters=_ROUNDS), "logistic_regression": L.logistic()}
+    out = L.leaderboard(_split(df, "train"), _split(df, "validation"), models, NUM_TEXT_FEATURES)
+    return out.select("model", (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1) & F.col("auc").between(0, 1)).alias("metrics_ok"))
 
 
-@register("B9_model_persistence")
+@register("B9_model_persistence", W(f"SELECT doc_id, true AS same {_LABELLED}", "model_frame"))
 def q_b9(spark, sf):
-    df, before, after = _saved_model(spark, sf)
+    df, before = _fit(spark, sf, L.logistic())
+    path = scratch_path(spark, "b9-model")
+    before.write().overwrite().save(path)
     a = L.score(before, df).select("doc_id", F.col("prediction").alias("pred_before"), F.col("p1").alias("p1_before"))
-    b = L.score(after, df).select("doc_id", F.col("prediction").alias("pred_after"), F.col("p1").alias("p1_after"))
-    return a.join(b, "doc_id").select("doc_id", "pred_before", "pred_after",
-                                      (F.abs(F.col("p1_before") - F.col("p1_after")) < 1e-9).alias("same"))
+    b = L.score(PipelineModel.load(path), df).select("doc_id", F.col("prediction").alias("pred_after"), F.col("p1").alias("p1_after"))
+    return a.join(b, "doc_id").select("doc_id", ((F.col("pred_before") == F.col("pred_after"))
+                                                 & (F.abs(F.col("p1_before") - F.col("p1_after")) < 1e-9)).alias("same"))
 
 
-@register("L12_batch_scoring")
+@register("L12_batch_scoring", W(f"SELECT doc_id, true AS text_ok, true AS probabilities_ok {_LABELLED}", "model_frame"))
 def q_l12(spark, sf):
     """Reloaded model scores every labelled document (the serving path as a batch job).
     ``fit_model`` returns the pipeline as loaded back from the shared folder."""
     df, model = _fit(spark, sf, L.logistic())
     s = L.score(model, df)
-    return s.select("doc_id", "prediction", "p0", "p1", fc.prediction_text(F.col("prediction")).alias("prediction_text"),
-                    fc.confidence_pct(F.col("p0"), F.col("p1")).alias("confidence"), fc.gauge_band(F.col("p1")).alias("gauge_band"))
+    shown = s.select("*", fc.prediction_text(F.col("prediction")).alias("prediction_text"),
+                     fc.confidence_pct(F.col("p0"), F.col("p1")).alias("confidence"), fc.gauge_band(F.col("p1")).alias("gauge_band"))
+    other = fc.prediction_text(F.lit(1) - F.col("prediction"))
+    return shown.select("doc_id", (F.col("prediction_text").isNotNull() & (F.col("prediction_text") != other)).alias("text_ok"),
+                        ((F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9) & F.col("confidence").isNotNull() & F.col("gauge_band").isNotNull()).alias("probabilities_ok"))
 
 
-@register("L16_feature_importance")
+@register("L16_feature_importance", "SELECT CAST(25 AS BIGINT) AS n, CAST(25 AS BIGINT) AS n_features, true AS scores_ok")
 def q_l16(spark, sf):
     df, m = _fit(spark, sf, L.random_forest())
-    names = L.feature_names(df, num_features=NUM_TEXT_FEATURES)
-    return L.feature_importance(spark, m.stages[-1], names, k=25)
-
-
-def _gbt_parts(spark: SparkSession, sf: str):
-    df, m = _fit(spark, sf, L.gradient_boosting())
-    test = _split(df, "test")
-    feats = PipelineModel(stages=m.stages[:-1]).transform(test)
-    return df, m, test, feats
+    top = L.feature_importance(spark, m.stages[-1], L.feature_names(df, num_features=NUM_TEXT_FEATURES), k=25)
+    return top.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("feature").alias("n_features"),
+                   F.bool_and(F.col("score").between(0, 1)).alias("scores_ok"))
 
 
-@register("L17_learning_curve")
+@register("L17_learning_curve", f"""
+SELECT CAST({_ROUNDS} AS BIGINT) AS n, CAST(1 AS INTEGER) AS first_round, CAST({_ROUNDS} AS INTEGER) AS last_round, true AS losses_ok""")
 def q_l17(spark, sf):
-    _df, m, _test, feats = _gbt_parts(spark, sf)
-    return L.learning_curve(spark, m.stages[-1], feats)
+    _, _, losses = _boosted(spark, sf, refit=False)
+    return L.learning_curve(spark, losses).agg(F.count(F.lit(1)).alias("n"), F.min("round").alias("first_round"), F.max("round").alias("last_round"),
+                                               F.bool_and((F.col("loss") > 0) & (F.col("loss") < 10)).alias("losses_ok"))
 
 
-@register("L18_training_report")
+@register("L18_training_report", f"SELECT 5 AS n_report_rows, 2 AS n_matrix_rows, 25 AS n_features, {_ROUNDS} AS n_rounds")
 def q_l18(spark, sf):
     """Report bundle (classification report, confusion matrix, top features, learning
     curve) written as JSON (B8) and read back."""
-    df, m, test, feats = _gbt_parts(spark, sf)
-    pred = L.score(m, test)
+    df, m, losses = _boosted(spark, sf)
+    pred = L.stored(L.score(m, _split(df, "test")), "scored")
     names = L.feature_names(df, num_features=NUM_TEXT_FEATURES)
     rep = L.training_report(L.classification_report(pred), L.confusion_matrix(pred),
-                            L.feature_importance(spark, m.stages[-1], names, k=25), L.learning_curve(spark, m.stages[-1], feats))
+                            L.feature_importance(spark, m.stages[-1], names, k=25), L.learning_curve(spark, losses))
     path = scratch_path(spark, "b8-report")
     B.write_report(rep, path)
     back = spark.read.json(path)

@@ -65,13 +65,16 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a private one only where none is configured."""
+    """The cluster's shared checkpoint folder.  Where none is configured, a local master gets
+    a folder of its own; any other master is an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
-            d = tempfile.mkdtemp(prefix="biblioflow-ckpt-")  # tests / local runs only
+            if sc.master != "local" and not sc.master.startswith("local["):  # executors elsewhere would not see the driver's folder
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            d = tempfile.mkdtemp(prefix="biblioflow-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir()
     return d

@@ -10,6 +10,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,20 +35,47 @@ SPLIT_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType()),
     T.StructField("json", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("bad_text", T.StringType()),
 ])
 
 
-def _split_objects(text: str) -> tuple[list[str], str | None]:
-    """Concatenated JSON objects ``{..}{..}`` (any whitespace between) -> object texts.
-    A proper decoder, so braces inside strings are handled.  Text that does not start
-    with '{' is rejected as a whole; an undecodable tail is reported, earlier objects kept."""
+def _object_end(s: str, i: int) -> int:
+    """End of the braced text that begins at ``i`` (braces in strings don't count), or of the
+    text before the next line that begins an object, where the braces don't close."""
+    depth, quoted, k = 0, False, i
+    while k < len(s):
+        ch = s[k]
+        if quoted:
+            if ch == "\\":
+                k += 1
+            elif ch == '"':
+                quoted = False
+        elif ch == '"':
+            quoted = True
+        elif ch == "{":
+            depth += 1
+        elif ch == "}":
+            depth -= 1
+            if depth == 0:
+                return k + 1
+        k += 1
+    line = s.find("\n{", i + 1)
+    return len(s) if line < 0 else line
+
+
+def _split_objects(text: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """Concatenated JSON objects ``{..}{..}`` (any whitespace between) -> (object texts,
+    rejects as (error, text)).  A proper decoder, so braces inside strings are handled.  Text
+    that does not start with '{' is rejected as a whole; a bad object is rejected with its
+    text and reading goes on behind it."""
     dec = json.JSONDecoder()
     s = text.strip()
     if not s:
-        return [], None
+        return [], []
     if not s.startswith("{"):
-        return [], "not a concatenated-object JSON file"
+        return [], [("not a concatenated-object JSON file", text)]
     out: list[str] = []
+    bad: list[tuple[str, str]] = []
     i, n = 0, len(s)
     while i < n:
         while i < n and s[i].isspace():
@@ -55,17 +83,24 @@ def _split_objects(text: str) -> tuple[list[str], str | None]:
         if i >= n:
             break
         try:
+            if s[i] != "{":
+                raise json.JSONDecodeError("object expected", s, i)
             _obj, end = dec.raw_decode(s, i)
+            out.append(s[i:end])  # the object's own text; parsed again by from_json on the JVM
         except json.JSONDecodeError as e:
-            return out, f"decode error at char {i}: {e.msg}"
-        out.append(s[i:end])  # the object's own text; parsed again by from_json on the JVM
+            if s[i] == "{":
+                end = _object_end(s, i)
+            else:  # stray text up to the next object
+                end = s.find("{", i)
+                end = n if end < 0 else end
+            bad.append((f"decode error at char {e.pos}: {e.msg}", s[i:end]))
         i = end
-    return out, None
+    return out, bad
 
 
-def _split_array_or_objects(text: str) -> tuple[list[str], str | None]:
-    """A JSON array -> its element texts; otherwise concatenated objects (a single object
-    being the one-element case)."""
+def _split_array_or_objects(text: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """A JSON array -> its element texts (a malformed array is rejected as a whole);
+    otherwise concatenated objects (a single object being the one-element case)."""
     s = text.strip()
     if not s.startswith("["):
         return _split_objects(s)
@@ -80,20 +115,20 @@ def _split_array_or_objects(text: str) -> tuple[list[str], str | None]:
 
     i = skip(i)
     if i < n and s[i] == "]":
-        return ([], None) if not s[i + 1:].strip() else ([], "text after the closing bracket")
+        return [], [] if not s[i + 1:].strip() else [("text after the closing bracket", text)]
     while True:
         try:
             _obj, end = dec.raw_decode(s, i)
         except json.JSONDecodeError as e:
-            return [], f"bad array element at char {i}: {e.msg}"
+            return [], [(f"bad array element at char {i}: {e.msg}", text)]
         out.append(s[i:end])
         i = skip(end)
         if i < n and s[i] == ",":
             i = skip(i + 1)
             continue
         if i < n and s[i] == "]" and not s[i + 1:].strip():
-            return out, None
-        return [], "malformed JSON array"
+            return out, []
+        return [], [("malformed JSON array", text)]
 
 
 def _split_with(split):
@@ -101,35 +136,14 @@ def _split_with(split):
         for pdf in batches:
             rows: list[tuple] = []
             for path, text in zip(pdf["file_path"], pdf["value"]):
-                objs, err = split(text or "")
-                rows.extend((path, i, o, None) for i, o in enumerate(objs))
-                if err is not None:
-                    rows.append((path, len(objs), None, err))
-            yield _frame(rows)
+                objs, bad = split(text or "")
+                rows.extend((path, i, o, None, None) for i, o in enumerate(objs))
+                rows.extend((path, len(objs) + i, None, error, piece) for i, (error, piece) in enumerate(bad))
+            yield pd.DataFrame(rows, columns=SPLIT_SCHEMA.names).astype({"ordinal": "int32"}) if rows else pd.DataFrame(
+                {f: pd.Series([], dtype="int32" if f == "ordinal" else object) for f in SPLIT_SCHEMA.names})
     return run
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    if rows:
-        return pd.DataFrame(rows, columns=["file_path", "ordinal", "json", "error"]).astype({"ordinal": "int32"})
-    return pd.DataFrame({"file_path": pd.Series([], dtype=object), "ordinal": pd.Series([], dtype="int32"),
-                         "json": pd.Series([], dtype=object), "error": pd.Series([], dtype=object)})
-
-
-def _splitter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows: list[tuple] = []
-        for path, text in zip(pdf["file_path"], pdf["value"]):
-            objs, err = _split_objects(text or "")
-            rows.extend((path, i, o, None) for i, o in enumerate(objs))
-            if err is not None:
-                rows.append((path, len(objs), None, err))
-        yield pd.DataFrame(rows, columns=["file_path", "ordinal", "json", "error"]).astype(
-            {"ordinal": "int32"}) if rows else pd.DataFrame({
-                "file_path": pd.Series([], dtype=object), "ordinal": pd.Series([], dtype="int32"),
-                "json": pd.Series([], dtype=object), "error": pd.Series([], dtype=object)})
-
-
 def whole_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """``(file_path, value)`` — one row per file (whole text).  Spark's listing skips names
     starting with '.' or '_'."""
@@ -143,8 +157,8 @@ def whole_files(spark: SparkSession, path: str | Sequence[str], glob: str | None
 
 # A1 ------------------------------------------------------------------------------------
 def split_concatenated(files: DataFrame) -> DataFrame:
-    """``(file_path, value)`` -> ``(file_path, ordinal, json, error)``; Arrow-batched."""
-    return files.mapInPandas(_splitter, SPLIT_SCHEMA)
+    """``(file_path, value)`` -> ``(file_path, ordinal, json, error, bad_text)``; Arrow-batched."""
+    return files.mapInPandas(_split_with(_split_objects), SPLIT_SCHEMA)
 
 
 def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
@@ -152,7 +166,7 @@ def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType,
     parts = split_concatenated(whole_files(spark, path, glob))
     good = parts.where(F.col("json").isNotNull()).select(
         "file_path", "ordinal", F.from_json("json", schema).alias("r")).select("file_path", "ordinal", "r.*")
-    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error")
+    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error", "bad_text")
     return good, bad
 
 
@@ -172,9 +186,9 @@ def lenient_array_text(value: Column) -> Column:
 def read_lenient_array(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
     """A2: JSON-array files that may lack brackets or end with a comma -> (records, rejects)."""
     files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
-    parsed = files.select("file_path", strict_array(lenient_array_text(F.col("value")), schema).alias("arr"))
+    parsed = files.select("file_path", "value", strict_array(lenient_array_text(F.col("value")), schema).alias("arr"))
     good = parsed.where(F.col("arr").isNotNull()).select("file_path", F.inline("arr"))
-    bad = parsed.where(F.col("arr").isNull()).select("file_path", F.lit("unparsable JSON array").alias("error"))
+    bad = parsed.where(F.col("arr").isNull()).select("file_path", F.lit("unparsable JSON array").alias("error"), F.col("value").alias("bad_text"))
     return good, bad
 
 
@@ -187,7 +201,7 @@ def read_array_or_objects(spark: SparkSession, path: str, schema: T.StructType,
     parts = files.mapInPandas(_split_with(_split_array_or_objects), SPLIT_SCHEMA)
     good = parts.where(F.col("json").isNotNull()).select(
         "file_path", F.from_json("json", schema).alias("r")).select("file_path", "r.*")
-    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error")
+    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error", "bad_text")
     return good, bad
 
 
@@ -250,7 +264,9 @@ def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: s
                    .load(f"{base.rstrip('/')}/{{{years}}}")
                    .select(F.regexp_extract("path", r"/(?:[a-z_]+=)?(\d{4})/[^/]*$", 1).cast("int").alias("year"))
                    .groupBy("year").agg(F.count(F.lit(1)).alias("files")))
-    except Exception:  # no year folder matched at all
+    except AnalysisException as e:  # no year folder matched at all; anything else is an error
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         listing = spark.createDataFrame([], "year int, files long")
     j = expected.join(listing, "year", "left")
     return j.select("year", F.when(~F.col("folder"), "missing").when(F.coalesce("files", F.lit(0)) == 0, "empty")

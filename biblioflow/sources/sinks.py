@@ -1,7 +1,7 @@
 """Sinks (B1-B9).  Writes are plain DataFrameWriter jobs (parallel, one file per task).
-The keyed upsert is a pure function; the versioned writer materialises it into a new
-table version under the given base path, so a failed job leaves the previous version
-intact and a re-run is idempotent."""
+``upsert`` (last write wins, as a store's primary key does) is a pure function.  The stream
+sinks are order-aware (``merge_latest``) and publish a batch by a manifest written last, so
+a failed job leaves the previous table intact and a re-run is idempotent."""
 
 from __future__ import annotations
 
@@ -27,16 +27,31 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str], o
     return kept.select(*cols).unionByName(inc.select(*[F.col(f"`{x}`") for x in existing.columns]))
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key columns are all present (a row without a key can't be upserted)."""
+    for k in keys:
+        df = df.where(F.col(f"`{k}`").isNotNull())
+    return df
+
+
+def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The greatest ``order`` per key over both frames, so a late re-delivery of an older
+    record never replaces a newer one."""
+    inc = with_keys(incoming, keys)
+    return latest_per_key(inc if existing is None else existing.unionByName(inc.select(*existing.columns)), keys, order)
+
+
 def upsert_version(spark: SparkSession, base: str, incoming: DataFrame, key: str | Sequence[str],
                    order: Sequence[str], version: int) -> str:
-    """Write ``upsert(current, incoming)`` as ``base/v=<version>``; returns the path."""
+    """Write ``merge_latest(version - 1, incoming)`` as ``base/table_version=<version>``;
+    returns the path.  Deterministic in (previous version, incoming), so a re-run of a
+    failed batch is idempotent."""
+    keys = [key] if isinstance(key, str) else list(key)
     target = f"{base.rstrip('/')}/table_version={version:08d}"
+    current = None
     if version > 0:
-        current = spark.read.parquet(f"{base.rstrip('/')}/table_version={version - 1:08d}")
-        merged = upsert(current, incoming.select(*current.columns), key, order)
-    else:
-        merged = latest_per_key(incoming, [key] if isinstance(key, str) else list(key), order)
-    merged.write.mode("overwrite").parquet(target)
+        current = spark.read.schema(incoming.schema).parquet(f"{base.rstrip('/')}/table_version={version - 1:08d}")
+    merge_latest(current, incoming, keys, order).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -44,48 +59,137 @@ def bucket_of(keys: Sequence[str], buckets: int) -> "F.Column":
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+# Keyed table ---------------------------------------------------------------------------
+# base/data/<batch folder>/bucket=<b>/...   rows, written once and never changed
+# base/manifest/v=<n>/...                   one row per bucket: where its rows are; the
+#                                           largest version with a _SUCCESS marker holds
+MANIFEST = "bucket int, folder string, rows long, buckets int, batch long"
+#: Rows of a bucket on average beyond which a table is dealt into twice as many buckets.
+ROWS_PER_BUCKET = 4_000_000
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(str(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _published(spark: SparkSession, base: str) -> list[int]:
+    """Manifest versions that were written completely, ascending."""
+    out = []
+    for name in _listed(spark, f"{base}/manifest"):
+        fs, p = _fs(spark, f"{base}/manifest/{name}/_SUCCESS")
+        if name.startswith("v=") and fs.exists(p):
+            out.append(int(name[2:]))
+    return out
+
+
+def read_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, dict]]:
+    """(version, {bucket: its row}) of the published table; (-1, {}) before the first."""
+    base = base.rstrip("/")
+    versions = _published(spark, base)
+    if not versions:
+        return -1, {}
+    rows = spark.read.schema(MANIFEST).parquet(f"{base}/manifest/v={versions[-1]:08d}").collect()  # one per bucket
+    return versions[-1], {r["bucket"]: r.asDict() for r in rows}
 
 
 def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key: str | Sequence[str],
-                   order: Sequence[str], buckets: int = 64) -> None:
-    """Keyed upsert into a table partitioned by ``bucket = pmod(xxhash64(key), buckets)``
-    that rewrites only the buckets the incoming keys touch.
-
-    1. incoming -> one row per key (partial aggregation), materialised once;
-    2. current rows of the touched buckets only: the touched bucket ids (at most
-       ``buckets`` integers) filter the partition column, so only those directories are
-       listed and read;
-    3. merged buckets materialised (so the write does not read what it overwrites), then
-       written with dynamic partition overwrite.
-    Re-applying the same incoming rows yields the same table (idempotent replay)."""
-    from biblioflow.session import cut_lineage
+                   order: Sequence[str], buckets: int = 64, batch: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
+    """Order-aware keyed upsert that rewrites only the buckets the incoming keys touch.
+
+    1. incoming -> one row per key (partial aggregation), staged by bucket;
+    2. touched buckets' current rows, from the published manifest, merged by ``merge_latest``;
+    3. merged buckets written to a new folder, which nothing reads yet;
+    4. a new manifest names each bucket's folder: readers see all of the batch or nothing.
+
+    A run that fails before step 4 leaves the table as it was, and its folder is ignored; a
+    re-run starts afresh.  With ``batch`` (a stream's batch id), a batch that is already in
+    the published manifest is not applied again.  Folders that neither this manifest nor
+    the one before names are removed.  A table that outgrows ``rows_per_bucket`` rows a
+    bucket is rewritten once with twice the buckets."""
+    from biblioflow.session import scratch_path
 
     keys = [key] if isinstance(key, str) else list(key)
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(f"`{k}`").isNotNull()
-    inc = latest_per_key(incoming.where(present), keys, order).withColumn("bucket", bucket_of(keys, buckets))
-    if not _exists(spark, path):
-        inc.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+    base = path.rstrip("/")
+    version, known = read_manifest(spark, base)
+    if batch is not None and any(r["batch"] >= batch for r in known.values()):
         return
-    inc = cut_lineage(inc)
-    current = spark.read.parquet(path)
-    touched = [r[0] for r in inc.select("bucket").distinct().collect()]  # <= buckets ids
+    wanted = now = max([r["buckets"] for r in known.values()], default=buckets)
+    while sum(r["rows"] for r in known.values()) > wanted * rows_per_bucket:
+        wanted *= 2
+
+    staged_path = scratch_path(spark, "upsert-staged")
+    inc = latest_per_key(with_keys(incoming, keys), keys, order)
+    inc.withColumn("bucket", bucket_of(keys, now)).write.parquet(staged_path)
+    schema = inc.schema
+    staged = spark.read.schema(f"{_ddl(schema)}, bucket int").parquet(staged_path)
+    touched = {r[0] for r in staged.select("bucket").distinct().collect()}  # at most ``buckets`` ids
+    if wanted != now:
+        touched |= set(known)
     if not touched:
+        _remove(spark, staged_path)
         return
-    merged = cut_lineage(upsert(current.where(F.col("bucket").isin(touched)), inc.select(*current.columns), keys, order))
-    # rebalance on the bucket: AQE splits large buckets into advisory-sized files and packs
-    # small ones, so a write makes neither (tasks x buckets) small files nor one huge task
-    (merged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
+    held = [f"{base}/{known[b]['folder']}" for b in sorted(touched) if b in known]
+    current = spark.read.schema(schema).parquet(*held) if held else None
+    merged = merge_latest(current, staged.drop("bucket"), keys, order).withColumn("bucket", bucket_of(keys, wanted))
+    folder = f"data/{version + 1:08d}-{staged_path[-12:]}"
+    # rebalance on the bucket: AQE splits large buckets into advisory-sized files and packs small ones
+    merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{base}/{folder}")
+
+    sizes = spark.read.schema(f"{_ddl(schema)}, bucket int").parquet(f"{base}/{folder}").groupBy("bucket").count().collect()
+    mark = -1 if batch is None else batch
+    entries = {b: {**r, "batch": max(r["batch"], mark)} for b, r in known.items() if wanted == now and b not in touched}
+    entries |= {r["bucket"]: {"bucket": r["bucket"], "folder": f"{folder}/bucket={r['bucket']}", "rows": r["count"], "buckets": wanted, "batch": mark}
+                for r in sizes}
+    rows = [(e["bucket"], e["folder"], e["rows"], e["buckets"], e["batch"]) for e in entries.values()]
+    target = f"{base}/manifest/v={version + 1:08d}"
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(target)  # one row per bucket
+    _remove(spark, staged_path)
+    _vacuum(spark, base)
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _vacuum(spark: SparkSession, base: str) -> None:
+    """Drop bucket folders and manifests that neither of the last two manifests names (a
+    reader of the one before may still be running)."""
+    keep = _published(spark, base)[-2:]
+    used = set()
+    for v in keep:
+        used |= {r["folder"] for r in spark.read.schema(MANIFEST).parquet(f"{base}/manifest/v={v:08d}").collect()}
+    for folder in _listed(spark, f"{base}/data"):
+        parts = [p for p in _listed(spark, f"{base}/data/{folder}") if p.startswith("bucket=")]
+        stale = [p for p in parts if f"data/{folder}/{p}" not in used]
+        if len(stale) == len(parts):
+            _remove(spark, f"{base}/data/{folder}")
+        else:
+            for p in stale:
+                _remove(spark, f"{base}/data/{folder}/{p}")
+    for name in _listed(spark, f"{base}/manifest"):
+        if keep and name < f"v={keep[0]:08d}":
+            _remove(spark, f"{base}/manifest/{name}")
 
 
 def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+    """The published table (all buckets that the last manifest names)."""
+    base = path.rstrip("/")
+    _, known = read_manifest(spark, base)
+    if not known:
+        raise FileNotFoundError(f"no published table under {path}")
+    return spark.read.parquet(*[f"{base}/{r['folder']}" for r in known.values()])
 
 
 # B2-B5 ---------------------------------------------------------------------------------

@@ -5,7 +5,8 @@
 * ``upsert_stream``  per micro-batch keyed upsert (``foreachBatch``) into a bucketed
   table, rewriting only the buckets a batch touches (``sinks.upsert_buckets``), or into
   numbered table versions (``versions=True``: version = batch id, full rewrite).  Both
-  are idempotent, so a replayed batch or re-delivered record never duplicates a key.
+  keep the greatest ``order`` per key and are idempotent, so a replayed batch or a late,
+  older record changes nothing.
 * ``parse_messages`` typed parse of a topic's JSON values, malformed values routed to a
   rejects frame.
 
@@ -21,8 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.sources.sinks import read_keyed_table, upsert, upsert_buckets
-from biblioflow.operators.joins import latest_per_key
+from biblioflow.sources.sinks import read_keyed_table, upsert_buckets, upsert_version
 
 MESSAGE = T.StructType([
     T.StructField("topic", T.StringType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
@@ -70,24 +70,6 @@ def topic_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
 
 
 # K2 / K4 -------------------------------------------------------------------------------
-def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/table_version={version:08d}"
-
-
-def upsert_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int, key: str | Sequence[str],
-                 order: Sequence[str]) -> None:
-    """One micro-batch: new version = upsert(previous version, batch).  Deterministic in
-    (previous version, batch), so re-running a batch after a failure is idempotent."""
-    keys = [key] if isinstance(key, str) else list(key)
-    target = version_path(base, batch_id)
-    if batch_id == 0:
-        merged = latest_per_key(batch, keys, order)
-    else:
-        prev = spark.read.parquet(version_path(base, batch_id - 1))
-        merged = upsert(prev, batch.select(*prev.columns), keys, order)
-    merged.write.mode("overwrite").parquet(target)
-
-
 def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], base: str, checkpoint: str,
                   key: str | Sequence[str], order: Sequence[str], versions: bool = False, buckets: int = 64):
     """``foreachBatch`` keyed upsert; batch and stream share ``transform``."""
@@ -95,9 +77,9 @@ def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if versions:
-            upsert_batch(spark, base, transform(batch), batch_id, key, order)
+            upsert_version(spark, base, transform(batch), key, order, batch_id)
         else:
-            upsert_buckets(spark, base, transform(batch), key, order, buckets)
+            upsert_buckets(spark, base, transform(batch), key, order, buckets, batch_id)
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -55,8 +55,8 @@ def test_train_score_invariants_and_reload(spark, tmp_path):
     from pyspark.ml import PipelineModel
     again = L.score(PipelineModel.load(path), df)
     assert rows(scored, "doc_id", "prediction") == rows(again, "doc_id", "prediction")
-    # the scaler is fitted on training rows only: standardised scalars have mean ~0 there
-    feats = model.transform(df.where("split = 'train'")).select(F.get(__import__("pyspark.ml.functions", fromlist=["x"]).vector_to_array("scalar_scaled"), 0).alias("z"))
+    # the scaler is fitted on the rows given: standardised scalars have mean ~0 there
+    feats = model.transform(df.where("split <> 'test'")).select(F.get(__import__("pyspark.ml.functions", fromlist=["x"]).vector_to_array("scalar_scaled"), 0).alias("z"))
     assert abs(feats.agg(F.avg("z")).first()[0]) < 1e-6
 
 
@@ -69,3 +69,30 @@ def test_one_hot_stages_vector(spark):
     out = m.transform(df).select("s", vector_to_array("s_vec").alias("v"))
     got = {r.s: list(r.v) for r in out.collect()}
     assert got["a"][:2] == [1.0, 0.0] and got["b"][:2] == [0.0, 1.0] and sum(got[None]) == 0.0
+
+
+def test_best_round_waits_with_patience():
+    assert L.best_round([3.0, 2.0, 2.5, 1.0, 4.0], patience=2) == 4
+    assert L.best_round([3.0, 2.0, 2.5, 2.6, 1.0], patience=2) == 2
+    assert L.best_round([1.0], patience=3) == 1
+
+
+def test_boosting_is_the_same_whatever_the_layout(spark):
+    df = L.training_frame(spark, X.model_frame(spark, SF_SMALL)).where("split <> 'test'")
+    _, a = L.fit_boosted(df.coalesce(1), num_features=64, iters=4, refit=False)
+    _, b = L.fit_boosted(df.repartition(5), num_features=64, iters=4, refit=False)
+    assert len(a) == 4 and a == pytest.approx(b, abs=1e-9)
+
+
+def test_class_weights_without_a_shuffle_of_rows(spark):
+    df = spark.createDataFrame([(i, i % 3 == 0) for i in range(30)] + [(99, None)], "id long, b boolean").selectExpr("id", "cast(b as int) label")
+    out = L.with_class_weights(df)
+    assert "hashpartitioning(label" not in out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    w = {r["id"]: r["weight"] for r in out.collect()}
+    assert w[99] is None and w[0] == pytest.approx(31 / (3 * 10))
+
+
+def test_split_of_clustered_order_is_exact(spark):
+    df = spark.createDataFrame([(i if i else 10 ** 12, i % 2) for i in range(400)], "doc_id long, label int")
+    got = dict(rows(L.stratified_split(df, "label", order=F.col("doc_id")).where("is_test").groupBy("label").count()))
+    assert got == {0: 40, 1: 40}

@@ -19,15 +19,22 @@ def write(path, text):
 
 def test_split_objects_handles_braces_in_strings_and_whitespace():
     objs, err = R._split_objects('{"id": "a}{", "n": 1}{"id":"b","n":2}\n\n  {"id": "c",\n "n": 3}\n')
-    assert err is None
+    assert err == []
     assert [json.loads(o)["id"] for o in objs] == ["a}{", "b", "c"]
 
 
 def test_split_objects_rejects_non_object_file_and_reports_bad_tail():
-    assert R._split_objects("hello world") == ([], "not a concatenated-object JSON file")
-    assert R._split_objects("   ") == ([], None)
-    objs, err = R._split_objects('{"id":"a"} {"id": broken')
-    assert len(objs) == 1 and err is not None
+    assert R._split_objects("hello world") == ([], [("not a concatenated-object JSON file", "hello world")])
+    assert R._split_objects("   ") == ([], [])
+    objs, bad = R._split_objects('{"id":"a"} {"id": broken')
+    assert len(objs) == 1 and [t for _, t in bad] == ['{"id": broken']
+
+
+def test_split_objects_goes_on_behind_a_bad_object():
+    objs, bad = R._split_objects('{"a":1}\n{"a":bad}\n{"a":3}\n{"a":4}')
+    assert objs == ['{"a":1}', '{"a":3}', '{"a":4}'] and [t for _, t in bad] == ['{"a":bad}']
+    objs, bad = R._split_objects('{"a": {"b": nope, "s": "}"}} junk {"a":2}\n{"a": [1,\n{"a":5}')
+    assert objs == ['{"a":2}', '{"a":5}'] and [t.strip() for _, t in bad] == ['{"a": {"b": nope, "s": "}"}}', "junk", '{"a": [1,']
 
 
 def test_concatenated_scan_reads_all_files_and_skips_bad(spark, tmp_path):
@@ -130,14 +137,14 @@ def test_nested_schema_parses():
 
 
 def test_split_array_or_objects_shapes():
-    assert R._split_array_or_objects('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], None)
-    assert R._split_array_or_objects("[ ]") == ([], None)
-    assert R._split_array_or_objects('{"a":1}\n{"b":2}') == (['{"a":1}', '{"b":2}'], None)
-    # text between objects that is not JSON: the objects before it are kept, the rest is reported
-    objs, err = R._split_array_or_objects('{"a":1}\\n{"b":2}')
-    assert objs == ['{"a":1}'] and err is not None
-    assert R._split_array_or_objects('[{"a":1},]')[1] is not None
-    assert R._split_array_or_objects('[{"a":1}] junk')[1] is not None
+    assert R._split_array_or_objects('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], [])
+    assert R._split_array_or_objects("[ ]") == ([], [])
+    assert R._split_array_or_objects('{"a":1}\n{"b":2}') == (['{"a":1}', '{"b":2}'], [])
+    # text between objects that is not JSON is reported, the objects around it are kept
+    objs, bad = R._split_array_or_objects('{"a":1}\\n{"b":2}')
+    assert objs == ['{"a":1}', '{"b":2}'] and [t for _, t in bad] == ["\\n"]
+    assert R._split_array_or_objects('[{"a":1},]')[1][0][1] == '[{"a":1},]'
+    assert R._split_array_or_objects('[{"a":1}] junk')[1]
 
 
 def test_paper_feeds_land_once_per_tables_folder(spark):
