@@ -1,5 +1,6 @@
 """BPE and packing against the tokenizers library."""
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 from biblioflow.llm import bpe, packing
 from biblioflow.llm.pretokens import pretokens
 
