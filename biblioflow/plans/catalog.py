@@ -210,8 +210,11 @@ def q_d3(spark, sf):
 @register("D4_validate_counts", W("""
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE auid IS NULL) AS dropped_rows FROM author_profiles""", "author_profiles"))
 def q_d4(spark, sf):
-    a = X.author_profiles(spark, sf)
-    return a.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(F.col("auid").isNull()).alias("dropped_rows"))
+    """The counts that one pass over the rows observed."""
+    good, seen = D.validate_counted(X.author_profiles(spark, sf), "auid")
+    good.write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return spark.createDataFrame([(counts["input_rows"], counts["dropped_rows"])], "input_rows bigint, dropped_rows bigint")
 
 
 @register("D5_label_v2", W(f"""
@@ -594,7 +597,6 @@ def q_c9(spark, sf):
                     F.size("hierarchy_ids").alias("n_hierarchy_ids"))
 
 
-NESTED_LISTS = S.NESTED_PAPER  # affiliation kept as raw text for the typed reader; C10 reads it as a list
 _C10_SCHEMA = S.T.StructType([S.T.StructField("abstracts-retrieval-response", S.T.StructType([
     f if f.name != "affiliation" else S.T.StructField("affiliation", S.T.ArrayType(S.PAPER_AFFILIATION))
     for f in S.NESTED_PAPER["abstracts-retrieval-response"].dataType.fields]))])
@@ -608,8 +610,7 @@ SELECT p.doi AS "coredata_prism:doi", p.document_type AS "coredata_subtypeDescri
   CAST(p.ref_count AS VARCHAR) AS "item_bibrecord.tail.bibliography.@refcount"
 FROM papers p LEFT JOIN people pe ON pe.paper_id = p.paper_id""", "papers", "people"))
 def q_c10(spark, sf):
-    docs = X.nested_paper_json(spark, sf).select(F.from_json("json", _C10_SCHEMA).alias("d")).select("d.*")
-    flat = C.flatten_fields(docs)
+    flat = C.flatten_fields(R.read_json_fixed(spark, landed_feed(spark, sf, "nested-papers"), _C10_SCHEMA))
     return flat.select(*[F.col(f"`{n}`") for n in (
         "coredata_prism:doi", "coredata_subtypeDescription", "language_@xml:lang", "affiliation_@id", "affiliation_affilname",
         "authkeywords_author-keyword", "item_ait:process-info.ait:status.@state", "item_bibrecord.tail.bibliography.@refcount")])
@@ -1173,6 +1174,20 @@ def q_a6(spark, sf):
     return df.select(fc.c("prism:doi").alias("doi"), "year")
 
 
+@register("A6_plain_year_folders", W(f"""
+SELECT doi, CAST(year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} AS INTEGER) AS year FROM papers
+WHERE year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} BETWEEN 2015 AND 2018""", "papers"))
+def q_a6_plain(spark, sf):
+    """The feed's own layout, ``<base>/<year>/*.json``: only the folders asked for are listed."""
+    base = scratch_path(spark, "a6-plain")
+    js = X.search_paper_json(spark, sf).select("json", (F.col("year") + YEAR_SHIFT).alias("year"))
+    js = js.persist()
+    for y in range(2014, 2020):  # a folder for each year, as the scraper leaves them
+        js.where(F.col("year") == y).select(F.col("json").alias("value")).write.text(f"{base}/{y}")
+    js.unpersist()
+    return R.read_year_folders(spark, base, S.SEARCH_PAPER, 2015, 2018, glob="*.txt").select(fc.c("prism:doi").alias("doi"), "year")
+
+
 @register("A7_year_coverage", W(f"""
 SELECT CAST(y AS INTEGER) AS year, CASE WHEN y IN (SELECT year(TRY_CAST(cover_date AS DATE)) + {YEAR_SHIFT} FROM papers)
   THEN 'ok' ELSE 'missing' END AS status FROM range(2013, 2024) t(y)""", "papers"))
@@ -1245,6 +1260,58 @@ def q_b1(spark, sf):
     return B.upsert(existing, incoming, "auid", ["paper_id", "seq"])
 
 
+_AFFILIATION_OUT = ("affiliation_id", "preferred_name", "documents_count", "authors_count", "country", "city", "state", "street_address",
+                    "postal_code", "contact_url")
+
+
+@register("B1_author_metrics_load", W(_METRICS_SQL, "author_profiles"))
+def q_b1_metrics(spark, sf):
+    """Author metrics end to end: ``author_metrics_*`` folders of lenient arrays (A2), counted
+    validation (D4), flatten (C8), keyed upsert of two deliveries, all stored columns."""
+    base, target = scratch_path(spark, "author-metrics"), scratch_path(spark, "author-metrics-table")
+    rows = X.author_profiles(spark, sf).select("auid", "author_stat")
+    text = rows.select(F.concat(F.to_json(F.struct(*rows.columns)), F.lit(",")).alias("value"), F.pmod(F.xxhash64("auid"), F.lit(3)).alias("folder"))
+    for k in range(3):
+        text.where(F.col("folder") == k).select("value").write.option("maxRecordsPerFile", X.FEED_CHUNK).text(f"{base}/author_metrics_{k}")
+    for batch in range(2):  # the second delivery repeats the first
+        arrived, _bad = R.read_lenient_array(spark, f"{base}/author_metrics_*", S.AUTHOR_METRICS, glob=None)
+        good, _counts = D.validate_counted(arrived, "auid")
+        B.upsert_buckets(spark, target, C.flatten_author_metrics(good), "author_id", ["citations", "documents"], batch=batch)
+    return B.read_keyed_table(spark, target)
+
+
+@register("B1_affiliations_load", W("""
+SELECT affid AS affiliation_id, coalesce(preferred_name, 'Unknown') AS preferred_name,
+  CASE WHEN metrics_null THEN 0 ELSE coalesce(documents_count, 0) END AS documents_count,
+  CASE WHEN metrics_null THEN 0 ELSE authors_count END AS authors_count,
+  coalesce(country, 'Unknown') AS country, coalesce(city, 'Unknown') AS city, coalesce(state, 'Unknown') AS state,
+  'Unknown' AS street_address, coalesce(postal_code, 'Unknown') AS postal_code, coalesce(contact, 'Unknown') AS contact_url
+FROM affiliation_profiles WHERE affid IS NOT NULL""", "affiliation_profiles"))
+def q_b1_affiliations(spark, sf):
+    """Affiliations end to end: JSON lines (A5), flatten (C9), keyed upsert."""
+    base, target = scratch_path(spark, "affiliations"), scratch_path(spark, "affiliations-table")
+    B.write_json(X.affiliation_profiles(spark, sf), base)
+    rows = C.flatten_affiliation(R.read_json_fixed(spark, base, S.AFFILIATION))
+    B.upsert_buckets(spark, target, rows, "affiliation_id", ["documents_count"])
+    return B.read_keyed_table(spark, target).select(*_AFFILIATION_OUT)
+
+
+@register("B1_nested_papers_load", W(f"""
+SELECT * FROM (SELECT p.doi, p.document_type, p.source_type, s.subject_code, s.subject_name, a.auid, 'S' || a.auid AS author_surname,
+  row_number() OVER (PARTITION BY p.doi ORDER BY s.subject_code DESC NULLS LAST, s.subject_name DESC NULLS LAST, a.auid DESC NULLS LAST) AS rn
+  FROM papers p LEFT JOIN subjects s ON s.paper_id = p.paper_id LEFT JOIN authorships a ON a.paper_id = p.paper_id
+  WHERE p.doi IS NOT NULL AND ((p.document_type = {_CP} AND p.source_type = {_PR})
+    OR (p.document_type <> {_CP} AND p.source_type <> {_PR}))) WHERE rn = 1""".replace("SELECT * FROM (", "SELECT doi, document_type, source_type, subject_code, subject_name, auid, author_surname FROM (", 1),
+    "papers", "subjects", "authorships"))
+def q_b1_papers(spark, sf):
+    """Nested papers end to end: landed feed (A5), C1-C3, D1, D2, keyed upsert by DOI."""
+    target = scratch_path(spark, "papers-table")
+    rows = D.consistent_type_filter(D.key_present(C.flatten_papers(nested_docs(spark, sf)), "doi"))
+    cols = ["doi", "document_type", "source_type", "subject_code", "subject_name", "auid", "author_surname"]
+    B.upsert_buckets(spark, target, rows.select(*cols), "doi", ["subject_code", "subject_name", "auid"])
+    return B.read_keyed_table(spark, target)
+
+
 @register("B2_csv_write", WR(f"""
 SELECT {_MAIN} AS main_subject_area, count(*) AS n FROM records WHERE subject_area IS NOT NULL GROUP BY 1"""))
 def q_b2(spark, sf):

@@ -148,16 +148,6 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- JSON text of the paper feeds -------------------------------------------------------
 
-def _authors_by_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = authorships(spark, sf_dir)
-    person = F.struct(
-        F.col("seq").alias("seq"),
-        F.col("auid").alias("auid"),
-        F.col("affid").alias("affid"),
-    )
-    return a.groupBy("paper_id").agg(F.array_sort(F.collect_list(person)).alias("people"))
-
-
 def _subjects(p: DataFrame) -> tuple[Column, Column]:
     sa = F.col("subject_area")
     inner = F.btrim(sa, F.lit("[]"))
