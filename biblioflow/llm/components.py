@@ -3,8 +3,9 @@
 Each round replaces edges by stars around smaller ids; after a few rounds (about the square
 of the logarithm of a component's diameter) every node points at its component's smallest
 id.  A round is two aggregations and joins; its edges are written to the shared folder, so a
-lost executor costs one round at most.  A hub's edges are pre-aggregated before the shuffle
-and its join partition is one that Spark splits."""
+lost executor costs one round at most.  A hub's edges are pre-aggregated before they are
+shuffled; the least neighbours are written before they are joined back, so that both sides
+of that join are plain shuffles, whose skewed partitions Spark splits."""
 
 from __future__ import annotations
 
@@ -22,12 +23,12 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = _written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))  # every v is smaller than its u
+    least = _written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")  # every v is smaller than its u
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
