@@ -11,14 +11,15 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from biblioflow.session import tuned
 
     s = (SparkSession.builder.master("local[4]").appName("biblioflow-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate())
+         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     tuned(s)
     yield s

@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as entry_mod  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
-SLOW = ("L1_", "L3_", "L4_", "L8_", "L9_", "L10_", "L11_", "L12_", "L16_", "L17_", "L18_", "B9_")
+# model fits of half a minute and more: scripts/oracle_check.py and the driver's gate run them
+SLOW = ("L9_", "L10_", "L11_", "L16_", "L17_", "L18_")
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def test_every_oracle_has_a_query():
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n in entry_mod.oracle_sql() if not n.startswith(SLOW + ("op", "pipeline"))))
 def test_query_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
