@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from biblioflow.llm.components import _written, components
 from biblioflow.llm.words import buffers, mix, pieces, shingle_hashes, ship_by_value, span_hashes, word_spans
 
-COUNT_BUCKETS = 1 << 20
+COUNT_BUCKETS = 1 << 21
 #: Postings of one shingle that go to one task, about.
 HOT_POSTINGS = 50_000
 #: Classes whose sets are compared in one block.
-BLOCK = 2048
+BLOCK = 4096
 
 
 def text_sets(col: pa.Array, k: int):
@@ -53,13 +53,18 @@ def bucket_counts(rows: DataFrame, k: int, buckets: int = COUNT_BUCKETS) -> np.n
     part = buckets // 16
 
     def count(batches):
-        seen, any_row = np.zeros(buckets, np.int64), False
+        seen, held, size, any_row = np.zeros(buckets, np.uint32), [], 0, False
         for batch in batches:
             for _, col in pieces(batch, "text"):
                 any_row = True
-                every = [s & np.uint64(buckets - 1) for s in text_sets(col, k)]
-                seen += np.bincount(np.concatenate(every).astype(np.int64), minlength=buckets)
+                held += [(s & np.uint64(buckets - 1)).astype(np.uint32) for s in text_sets(col, k)]
+                size += sum(map(len, held[-len(col):]))
+                if size >= buckets:
+                    seen += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
+                    held, size = [], 0
         if any_row:
+            if held:
+                seen += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
             pack = zstandard.ZstdCompressor(level=1)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(16, dtype=np.int32)),
@@ -70,11 +75,13 @@ def bucket_counts(rows: DataFrame, k: int, buckets: int = COUNT_BUCKETS) -> np.n
         unpack, total = zstandard.ZstdDecompressor(), np.zeros(part, np.int64)
         for x in table["counts"]:
             total += np.frombuffer(unpack.decompress(x.as_py()), "<u4")
-        return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+        return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([np.minimum(total, 2 ** 32 - 1).astype("<u4").tobytes()], pa.binary())})
 
-    got = {r["part"]: np.frombuffer(r["counts"], "<i8") for r in rows.select("text").mapInArrow(count, "part int, counts binary")
+    got = {r["part"]: np.frombuffer(r["counts"], "<u4") for r in rows.select("text").mapInArrow(count, "part int, counts binary")
            .groupBy("part").applyInArrow(add, "part int, counts binary").collect()}  # ``buckets`` numbers
-    return np.concatenate([got[i] for i in range(16)]) if got else np.zeros(buckets, np.int64)
+    if not got:
+        return np.zeros(buckets, np.uint32)
+    return np.concatenate([got[i] for i in range(16)])
 
 
 def least_overlap(n: int, num: int, den: int) -> int:
@@ -122,7 +129,7 @@ def _post(counts, num: int, den: int, hot: int):
             gid = np.repeat(np.asarray(batch.column("gid")), size)
             band = np.repeat(size_band(np.asarray(batch.column("n")), num, den), size)
             often = seen[(flat.view(np.uint64) & np.uint64(len(seen) - 1)).astype(np.int64)]
-            salts = np.maximum(1, often // hot)
+            salts = np.maximum(1, often.astype(np.int64) // hot)
             salt = (mix(gid.view(np.uint64)) % salts.astype(np.uint64)).astype(np.int32)
             salt = np.where(salts > 1, salt, -1).astype(np.int32)  # -1: not dealt out
             yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(salt), pa.array(band), pa.array(gid)],
@@ -191,20 +198,25 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray | None, num: int, den
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return [0, 0] if den * both >= num * (size.sum() - both) else [0, 1]
     flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), size)
-    order = np.argsort(flat, kind="stable")
-    ranked, docs = flat[order], owner[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    term = np.empty(len(flat), np.int64)
-    term[order] = np.cumsum(new) - 1
-    cut = np.append(np.flatnonzero(new), len(flat))
-    upto = np.concatenate([[0], np.cumsum(size)])
+    ranked = np.sort(flat)
+    common = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])  # what one set holds alone adds to no overlap
+    del ranked
+    if len(common) == 0:
+        return root
+    place = np.searchsorted(common, flat).astype(np.int32)
+    known = common[np.minimum(place, len(common) - 1)] == flat
+    del flat
+    term = place[known]
+    owner = np.repeat(np.arange(n, dtype=np.int32), size)[known]
+    upto = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    docs = owner[np.argsort(term, kind="stable")]
+    cut = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(common)))])
+    del place, known, owner
     for x in range(n):
         t = term[upto[x]:upto[x + 1]]
-        first, run = cut[t], cut[t + 1] - cut[t]
-        t, first, run = t[run > 1], first[run > 1], run[run > 1]
         if len(t) == 0:
             continue
+        first, run = cut[t], cut[t + 1] - cut[t]
         at = np.repeat(first - (np.cumsum(run) - run), run) + np.arange(int(run.sum()))
         both = np.bincount(docs[at], minlength=n)
         alike = den * both >= num * (size + size[x] - both)
@@ -220,8 +232,7 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray | None, num: int, den
 
 def _verify(k: int, num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        ids, unit, part = (np.asarray(table[c].combine_chunks()) for c in ("doc_id", "unit", "part"))
+        ids, unit, part = (table[c].to_numpy() for c in ("doc_id", "unit", "part"))
         sets = [s for batch in table.to_batches() for _, col in pieces(batch, "text") for s in text_sets(col, k)]
         out = ([], [])
         order = np.lexsort((ids, unit))

@@ -56,6 +56,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
     """Consecutive slices of at most ``limit`` text bytes (at least one row each)."""
     if batch.num_rows == 0:
         return
+    worker_cache("memory pool", lambda: pa.set_memory_pool(pa.system_memory_pool()))  # gives freed memory back
     col = text_column(batch, column)
     _, off = buffers(col)
     at = 0
