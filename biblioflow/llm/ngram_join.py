@@ -35,7 +35,7 @@ COUNT_BUCKETS = 1 << 21
 #: Postings of one shingle that go to one task, about.
 HOT_POSTINGS = 50_000
 #: Classes whose sets are compared in one block.
-BLOCK = 4096
+BLOCK = 8192
 
 
 def text_sets(col: pa.Array, k: int):
