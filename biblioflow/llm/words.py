@@ -130,6 +130,17 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     return mix((run[end] - run[start]) * inverse[start])
 
 
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of every ``size`` consecutive words (given by their hashes), by differences
+    of one running sum like ``span_hashes``; runs over the border of two texts are included."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    _, _, power, inverse = _tables(len(words) + 1)
+    run = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[:len(words)], out=run[1:], dtype=np.uint64)
+    return mix((run[size:] - run[:-size]) * inverse[:len(words) - size + 1])
+
+
 def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets per text) of the k-word shingles of each text, in order; a text of
     fewer words is one shingle as a whole, a text without words has none."""

@@ -166,3 +166,18 @@ def test_passage_within_one_document(spark):
     got = repeated_paragraphs(frame(spark, [(5, line + "\n" + prose(rng, 40) + "\n" + line)])).collect()
     assert [(r["doc_id"], r["paragraph"], r["kept_doc_id"], r["kept_paragraph"]) for r in got] == [(5, 2, 5, 0)]
     assert Counter(remove_repeats(frame(spark, [(5, line + "\n" + line)])).first()["text"].split()) == Counter(line.split())
+
+
+def test_passages_over_line_ends(spark):
+    rng = random.Random(4)
+    words = prose(rng, 60).split()
+    lines = lambda n: "\n".join(" ".join(words[i:i + n]) for i in range(0, 60, n))
+    rows = [(1, prose(rng, 12) + "\n" + lines(10)), (2, prose(rng, 9) + " " + lines(7) + "\n" + prose(rng, 20)), (3, lines(60) + " " + prose(rng, 8)),
+            (4, prose(rng, 20) + "\n" + "\n".join(words[:29])), (5, lines(12) + "\n" + prose(rng, 5) + "\n" + lines(10))]
+    for parts in (1, 5):
+        got = repeated_paragraphs(frame(spark, rows).repartition(parts)).collect()
+        assert {r["doc_id"] for r in got} == {2, 3, 5} and {r["cluster_doc_id"] for r in got} == {1}
+        assert {(i, sum(r["words"] for r in got if r["doc_id"] == i)) for i in (2, 3, 5)} == {(2, 60), (3, 60), (5, 120)}
+        after = {r["doc_id"]: r["text"].split() for r in remove_repeats(frame(spark, rows).repartition(parts)).collect()}
+        assert all(after[i] == [w for w in dict(rows)[i].split() if w not in words] for i in (2, 3, 5))
+        assert all(after[i] == dict(rows)[i].split() for i in (1, 4))
