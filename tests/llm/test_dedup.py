@@ -10,7 +10,7 @@ import pytest
 from biblioflow.llm.components import components
 from biblioflow.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from biblioflow.llm.ngram_join import drop_similar, jaccard_components, similar_pairs
-from biblioflow.llm.paragraph_dedup import remove_repeats, repeated_paragraphs
+from biblioflow.llm.paragraph_dedup import remove_repeats, repeated_paragraphs, similar_lines
 
 CLASH = "doc_id long, text string, kept boolean, key string, n int, id int, _row string, size string, comp string, gid string"
 
@@ -181,3 +181,19 @@ def test_passages_over_line_ends(spark):
         after = {r["doc_id"]: r["text"].split() for r in remove_repeats(frame(spark, rows).repartition(parts)).collect()}
         assert all(after[i] == [w for w in dict(rows)[i].split() if w not in words] for i in (2, 3, 5))
         assert all(after[i] == dict(rows)[i].split() for i in (1, 4))
+
+
+@pytest.mark.parametrize("parts,block", [(6, 8192), (3, 8)])
+def test_similar_lines_match_brute_force_whatever_the_layout(spark, parts, block):
+    """Many edited copies of one line: a line's similar partner is often neither the smallest
+    of a band nor the one before."""
+    rng = random.Random(21)
+    base = prose(rng, 60).split()
+    copies = []
+    for _ in range(60):
+        at = rng.sample(range(60), rng.choice([1, 2, 3, 4]))
+        copies.append(" ".join(f"x{rng.randrange(10 ** 6)}" if j in at else w for j, w in enumerate(base)))
+    rows = list(enumerate(copies + copies[:5] + [prose(rng, 40) for _ in range(20)], 1))
+    found = similar_lines(frame(spark, rows).repartition(parts), 30, 80, 100, block).collect()
+    assert all(r["whole"] and r["spans"][0]["end"] == len(dict(rows)[r["a_doc"]]) for r in found)
+    assert {r["a_doc"]: r["b_doc"] for r in found} == {i: c for i, (_, c) in brute_components(rows, 5, 80, 100).items() if i != c}
