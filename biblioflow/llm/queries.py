@@ -13,7 +13,7 @@ from biblioflow.llm.exact_dedup import exact_duplicates
 from biblioflow.llm.ngram_join import jaccard_components
 from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.paragraph_dedup import repeated_paragraphs
-from biblioflow.llm.quality import fit_quality, graded, rate_quality
+from biblioflow.llm.quality import fit_selection, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
 from biblioflow.llm.warc import archive_pages
@@ -73,9 +73,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model fitted on rated documents, applied to all documents."""
+    """The model fitted on rated documents, applied to all documents; good and clean ones are
+    kept, by a threshold from held-out rated documents."""
     docs = table(spark, sf_dir, "documents")
-    return rate_quality(docs, fit_quality(docs, graded(table(spark, sf_dir, "labels"))))
+    model, keep = fit_selection(docs, graded(table(spark, sf_dir, "labels")))
+    return rate_quality(docs, model, min_grade=keep.min_grade, min_tail=keep.min_tail)
 
 
 @query("op5_ngram_join")

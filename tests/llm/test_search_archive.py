@@ -9,7 +9,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from biblioflow.llm import ann, quality, url_filter, warc
+import corpus_pipeline
+from biblioflow.llm import ann, quality, queries, url_filter, warc
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.session import scratch_path
 
@@ -279,3 +280,18 @@ def test_quality_edges(spark):
     got = quality.rate_quality(texts, model).collect()
     assert len(got) == 5 and len({r["tail"] for r in got if r["doc_id"] < 4}) == 1 and len({r["tail"] for r in got if r["doc_id"] == 4}) == 1
     assert quality.rate_quality(texts.limit(0), model).count() == 0
+
+
+def test_selection_drops_toxic_documents_and_keeps_clean_ones(spark, monkeypatch):
+    docs, labels = rated(spark)
+    model, keep = quality.fit_selection(docs, quality.graded(labels))
+    assert keep.min_grade == 2 and keep.clean_kept >= quality.CLEAN_KEPT
+    monkeypatch.setattr(queries, "table", lambda _, path, name: docs if name == "documents" else labels)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda _, path, name: labels)
+    kept = {r["doc_id"] for r in queries.QUERIES["op10_quality"](spark, "").where("kept").collect()}
+    assert {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, "").collect()} == kept
+    grade = {r["doc_id"]: r["grade"] for r in quality.graded(labels).collect()}
+    share = lambda g: np.mean([i in kept for i in grade if grade[i] == g])
+    assert share(2) > 0.95 and share(1) < 0.1 and share(0) < 0.05
+    none, keep = quality.fit_selection(docs, quality.graded(labels).limit(0))
+    assert none is None and quality.keep_quality(docs, none, min_grade=keep.min_grade, min_tail=keep.min_tail).count() == 400
