@@ -1,7 +1,8 @@
 """Packing documents into fixed windows by lexical retrieval.
 
-The corpus is split into shards (bounded runs of a task's rows).  Each shard holds an
-inverted index of its documents, weighted by BM25 with document frequencies and the mean
+The corpus is split into shards: documents are ordered by the least hash of their heaviest
+terms, so that documents with common heavy terms stand together, and a shard is a bounded
+run of that order.  Neighbours in other shards are not found.  Each shard holds an inverted index of its documents, weighted by BM25 with document frequencies and the mean
 length of the whole corpus.  A seed document opens a window; the index returns the unused
 documents that fit it best, which fill the window greedily; the document that overruns the
 window is cut and its rest opens the next one.  The end of a shard is cut into
@@ -21,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.llm.bpe import default_tokenizer, id_type, ragged_take, split_words, word_encoder
-from biblioflow.llm.words import PIECE_BYTES, buffers, pieces, ship_by_value, span_hashes, word_spans, worker_cache
+from biblioflow.llm.words import PIECE_BYTES, buffers, mix, pieces, ship_by_value, span_hashes, word_spans, worker_cache
 
 WINDOW = 2048
 END_ID = 1
 TERM_BUCKETS = 1 << 17
 SHARD_TOKENS = 1 << 20
 QUERY_TERMS = 12
+#: Terms of a document that its place among the shards depends on.
+HEAVY_TERMS = 12
 K1, B = 1.2, 0.75
 #: Words whose ids a worker keeps between tasks.
 KEPT_WORDS = 300_000
@@ -98,11 +101,28 @@ def token_ids(col: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nda
     return ragged_take(flat, (np.cumsum(size) - size)[index], size[index]), edge
 
 
+def content_keys(row, term, freq, length, idf, mean, several) -> np.ndarray:
+    """For each text the least hash of its HEAVY_TERMS heaviest terms that other documents hold
+    too: two texts agree with the probability that their sets of heavy terms are alike."""
+    weight = bm25(row, term, freq, length, idf, mean)
+    heavy = np.lexsort((-weight, row))
+    heavy = heavy[several[term[heavy]]]
+    rank = np.arange(len(heavy)) - np.searchsorted(row[heavy], row[heavy])
+    heavy = heavy[rank < HEAVY_TERMS]
+    key = np.full(len(length), 2 ** 64 - 1, np.uint64)
+    np.minimum.at(key, row[heavy], mix(term[heavy].astype(np.uint64)))
+    return key.view(np.int64)
+
+
+def bm25(row, term, freq, length, idf, mean) -> np.ndarray:
+    return idf[term] * freq * (K1 + 1) / (freq + K1 * (1 - B + B * length[row] / max(mean, 1e-9)))
+
+
 class ShardIndex:
     """Inverted index of a shard's documents with BM25 weights; documents are taken once."""
 
     def __init__(self, row, term, freq, length, idf, mean):
-        weight = idf[term] * freq * (K1 + 1) / (freq + K1 * (1 - B + B * length[row] / max(mean, 1e-9)))
+        weight = bm25(row, term, freq, length, idf, mean)
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = row[order], weight[order]
         self.terms, at = np.unique(term[order], return_index=True)
@@ -177,7 +197,7 @@ def lexical_packing(docs: DataFrame, tokenizer: str | None = None, id_col: str =
 
     A document is its ids and ``end_id``; null and empty texts are that id alone.  All
     sequences hold ``window`` ids but those at a shard's end, which hold a power of two.
-    Neighbours come from the seed's shard; equal scores go to the earlier row.  Repeated
+    Neighbours come from the seed's shard; equal scores go to the earlier row there.  Repeated
     rows are documents of their own; a document longer than a window goes on into the next;
     an empty table gives an empty result; other columns aren't read."""
     path = tokenizer or default_tokenizer()
@@ -185,12 +205,18 @@ def lexical_packing(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     seen, n_docs, n_words = corpus_statistics(rows)
     statistics = spark.sparkContext.broadcast(  # TERM_BUCKETS numbers
-        (np.log1p((n_docs - seen + 0.5) / (seen + 0.5)).astype(np.float32), n_words / max(n_docs, 1)))
+        (np.log1p((n_docs - seen + 0.5) / (seen + 0.5)).astype(np.float32), n_words / max(n_docs, 1), seen > 1))
+
+    def place(batches):
+        for batch in batches:
+            for part, col in pieces(batch, "text", PIECE_BYTES):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(content_keys(*term_rows(col, len(statistics.value[0])), *statistics.value))],
+                                                 ["doc_id", "text", "place"])
 
     def run(batches):
         from pyspark import TaskContext
 
-        idf, mean = statistics.value
+        idf, mean, _ = statistics.value
         base, shard = TaskContext.get().partitionId() << 40, 0
         held: list = []
         tokens = 0
@@ -226,7 +252,9 @@ def lexical_packing(docs: DataFrame, tokenizer: str | None = None, id_col: str =
             yield close()
 
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return rows.mapInArrow(run, kind + (", ids binary" if keep_ids else ""))
+    placed = rows.mapInArrow(place, "doc_id long, text string, place long")
+    order = ["place", F.xxhash64("doc_id", "text")]  # the second part divides a frequent place
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, kind + (", ids binary" if keep_ids else ""))
 
 
 ship_by_value(__name__)

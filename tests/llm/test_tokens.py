@@ -109,3 +109,15 @@ def test_piece_table_joins_every_id(tok):
     flat, start, size = bpe.piece_table(bpe.default_tokenizer())
     assert len(start) == tok.get_vocab_size() and flat[start[50256]:start[50256] + size[50256]].tobytes() == b"<|endoftext|>"
     assert hashlib.sha256(flat.tobytes()).hexdigest() and int(size.sum()) == len(flat)
+
+
+def test_documents_on_a_subject_share_shards_wherever_they_stand(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECE_BYTES", 2000)
+    rng = random.Random(3)
+    docs = [(s, " ".join([*rng.sample([f"s{s}w{j}" for j in range(14)], 13), *(f"c{rng.randrange(50)}" for _ in range(30))])) for s in range(40) for _ in range(6)]
+    rng.shuffle(docs)
+    subject = {i: s for i, (s, _) in enumerate(docs)}
+    table = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string").coalesce(1)
+    shard = {r["doc_id"]: r["sequence_id"] >> 24 for r in packing.lexical_packing(table, window=256, shard_tokens=4000).collect()}
+    pairs = [(a, b) for a in subject for b in subject if a < b and subject[a] == subject[b]]
+    assert len(set(shard.values())) > 5 and np.mean([shard[a] == shard[b] for a, b in pairs]) > 0.5
