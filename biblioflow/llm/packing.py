@@ -28,7 +28,8 @@ WINDOW = 2048
 END_ID = 1
 TERM_BUCKETS = 1 << 17
 SHARD_TOKENS = 1 << 20
-QUERY_TERMS = 12
+#: Terms that so large a share of all documents hold tell nothing and aren't asked for.
+COMMON = 0.9
 #: Terms of a document that its place among the shards depends on.
 HEAVY_TERMS = 12
 K1, B = 1.2, 0.75
@@ -128,12 +129,10 @@ class ShardIndex:
         self.terms, at = np.unique(term[order], return_index=True)
         self.cut = np.append(at, len(order))
         self.free = np.ones(len(length), bool)
-        # a document's query: its QUERY_TERMS heaviest terms
-        heavy = np.lexsort((-weight, row))
-        rank = np.arange(len(row)) - np.searchsorted(row, row)  # rows are in order
-        heavy = heavy[rank < QUERY_TERMS]
-        self.query = np.searchsorted(self.terms, term[heavy])
-        self.query_cut = np.searchsorted(row[heavy], np.arange(len(length) + 1))
+        # a document's query: all its terms but those that nearly all documents hold
+        asked = idf[term] > np.log1p((1 - COMMON) / COMMON)
+        self.query = np.searchsorted(self.terms, term[asked])
+        self.query_cut = np.searchsorted(row[asked], np.arange(len(length) + 1))
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused documents that share a query term with the seed, best first."""
@@ -149,16 +148,21 @@ class ShardIndex:
 
 def pack_shard(length: np.ndarray, index: ShardIndex, window: int) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of a shard, ``length`` in tokens."""
-    out, used, sequence, next_free, waiting = [], 0, 0, 0, []
+    out, used, sequence, next_free, waiting, last = [], 0, 0, 0, [], -1
     for _ in range(len(length)):
         doc = -1
-        while waiting and doc < 0:
+        while doc < 0:
+            if not waiting and used and last >= 0:  # the list is used up: its latest document asks
+                waiting, last = index.neighbours(last)[:window].tolist()[::-1], -1
+            if not waiting:
+                break
             doc = waiting.pop()
             doc = doc if index.free[doc] else -1
-        if doc < 0:  # nothing fits: the next unused document is the seed
+        if doc < 0:  # nothing fits: the next unused document
             while not index.free[next_free]:
                 next_free += 1
             doc = next_free
+        last = doc
         index.free[doc] = False
         start, total = 0, int(length[doc])
         seed = used == 0
@@ -168,9 +172,7 @@ def pack_shard(length: np.ndarray, index: ShardIndex, window: int) -> list[tuple
             start, used = start + take, used + take
             if used == window:
                 sequence, used, seed = sequence + 1, 0, start < total
-        if seed and used:  # this document (or its rest) opened the window
-            waiting = index.neighbours(doc)[:window].tolist()[::-1]
-        elif not used:
+        if seed or not used:  # this document (or its rest) opened the window, or that is still empty
             waiting = []
     return cut_tail(out, sequence, used)
 

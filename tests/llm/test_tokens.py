@@ -121,3 +121,16 @@ def test_documents_on_a_subject_share_shards_wherever_they_stand(spark, monkeypa
     shard = {r["doc_id"]: r["sequence_id"] >> 24 for r in packing.lexical_packing(table, window=256, shard_tokens=4000).collect()}
     pairs = [(a, b) for a in subject for b in subject if a < b and subject[a] == subject[b]]
     assert len(set(shard.values())) > 5 and np.mean([shard[a] == shard[b] for a, b in pairs]) > 0.5
+
+
+def test_neighbours_by_any_term_and_by_the_latest_document(spark):
+    """0 and 7 share a light term only, 7 and 15 another one; all others share nothing."""
+    own = lambda i: " ".join(f"d{i}w{j} " * 3 for j in range(14))
+    texts = [own(i) + {0: " apple", 7: " apple pear", 15: " pear"}.get(i, "") for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    terms = packing.term_rows(pa.array(texts, pa.large_string()), 1 << 17)
+    seen = np.bincount(terms[1], minlength=1 << 17)
+    index = packing.ShardIndex(*terms, np.log1p((20 - seen + 0.5) / (seen + 0.5)), terms[3].mean())
+    placed = [p[0] for p in packing.pack_shard(np.full(20, 100), index, 1000)]
+    assert placed[:3] == [0, 7, 15] and sorted(placed) == list(range(20))
+    assert packing.lexical_packing(docs).select("doc_id").distinct().count() == 20
