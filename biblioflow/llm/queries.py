@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from biblioflow.llm.ann import forest_search
 from biblioflow.llm.bpe import decode, encode
 from biblioflow.llm.exact_dedup import exact_duplicates
+from biblioflow.llm.mixing import mix_sources
 from biblioflow.llm.ngram_join import jaccard_components
 from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.paragraph_dedup import repeated_paragraphs
@@ -17,6 +18,7 @@ from biblioflow.llm.quality import fit_selection, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
 from biblioflow.llm.warc import archive_pages
+from biblioflow.llm.whitening import whiten
 from biblioflow.session import table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +104,36 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through ARC and WARC files and back."""
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_mixing", r"""
+    WITH rows AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                         md5('mix:' || coalesce(cast(doc_id AS varchar), '')) AS key FROM documents),
+    sources AS (SELECT source, cast(sum(size) AS bigint) AS source_size,
+                       [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM rows GROUP BY source),
+    priced AS (SELECT *, 2 * source_size AS cap, (2 * source_size)::double / weight AS ratio FROM sources),
+    levels AS (SELECT *, 1.5::double * sum(source_size) OVER () AS budget,
+                      sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS weights_left,
+                      coalesce(sum(cap) OVER w, 0) AS cap_before
+               FROM priced WINDOW w AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    flagged AS (SELECT *, (budget - cap_before) / weights_left > ratio AS bounded FROM levels),
+    targets AS (SELECT source, source_size, CASE WHEN bounded THEN cap::double ELSE least(cap::double,
+                       (budget - coalesce(sum(CASE WHEN bounded THEN cap END) OVER (), 0)) * weight / (sum(CASE WHEN NOT bounded THEN weight END) OVER ())) END AS target
+                FROM flagged),
+    placed AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target)::bigint // source_size ELSE 0 END AS epochs,
+                      coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+               FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+           (epochs * size + greatest(0, least(size, floor(target)::bigint - epochs * source_size - before)))::bigint AS taken
+    FROM placed""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a mix of their sources by the weights 3, 1, 2, of 150 % of all words and
+    at most two epochs of a source."""
+    plan = mix_sources(table(spark, sf_dir, "documents"), (3, 1, 2), share=1.5, max_epochs=2)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding whitened along the first 8 components of all of them."""
+    return whiten(table(spark, sf_dir, "embeddings"), 8)
