@@ -75,11 +75,11 @@ def test_budgets_are_met_to_the_word_and_reruns_agree(spark):
     two = mix_sources(frame(spark, rows).coalesce(1), (3, 1, 2), share=1.5).collect()
     assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, two), key=repr)
     assert all(r["taken"] == r["epochs"] * r["size"] + r["cut"] <= 2 * r["size"] for r in one)
-    by = {}
+    source, taken, target = {(i, len(WORDS.findall(t or ""))): s for i, t, s in rows}, {}, {}
     for r in one:
-        by.setdefault((r["source_size"], r["target"]), 0)
-        by[(r["source_size"], r["target"])] += r["taken"]
-    assert all(0 <= t - n < 1 for (_, t), n in by.items())
+        s = source[r["doc_id"], r["size"]]
+        taken[s], target[s] = taken.get(s, 0) + r["taken"], r["target"]
+    assert all(0 <= target[s] - n < 1 for s, n in taken.items())
 
 
 def test_mixed_rows_hold_the_words_that_the_plan_takes(spark):
