@@ -14,6 +14,7 @@ from biblioflow.llm.mixing import mix_sources
 from biblioflow.llm.ngram_join import jaccard_components
 from biblioflow.llm.packing import lexical_packing
 from biblioflow.llm.paragraph_dedup import repeated_paragraphs
+from biblioflow.llm.prefix_trie import prefix_trie
 from biblioflow.llm.quality import fit_selection, graded, rate_quality
 from biblioflow.llm.sharding import byte_balanced_shards
 from biblioflow.llm.url_filter import filter_urls
@@ -24,6 +25,31 @@ from biblioflow.session import table, tuned
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Rebuilt conversations as prefixes: ``heads`` (crc32 of the decimal id, bit by bit), ``paths`` (c, d, key, parent's key, ...).
+_TRIE_SQL = """
+    WITH RECURSIVE said AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+    turns AS (SELECT c, r, x, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)[:32], length(x)) AS p FROM said),
+    crc AS (SELECT c, c::varchar AS s, 0 AS i, 4294967295::bigint AS v FROM (SELECT DISTINCT c FROM said)
+            UNION ALL
+            SELECT c, s, i + 1, CASE WHEN w & 1 = 1 THEN xor(w >> 1, 3988292384) ELSE w >> 1 END
+            FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(s, i // 8 + 1, 1))::bigint) ELSE v END AS w FROM crc) WHERE i < 8 * length(s)),
+    heads AS (SELECT c, xor(v, 4294967295) % 6 AS h FROM crc WHERE i = 8 * length(s)),
+    shown AS (SELECT heads.c, h, count(t.p) AS n FROM heads LEFT JOIN turns t ON t.c = heads.c - heads.c % 100 AND t.p <= h GROUP BY ALL),
+    rebuilt AS (SELECT shown.c, t.p AS d, r, x FROM shown JOIN turns t ON t.c = shown.c - shown.c % 100 AND t.p <= h
+                UNION ALL SELECT t.c, t.p - h + n, r, x FROM shown JOIN turns t ON t.c = shown.c AND t.p > h
+                UNION ALL SELECT c, 0, '', '' FROM shown),
+    paths AS (SELECT *, lag(key) OVER w AS up, lead(d) OVER w IS NULL AS ends
+              FROM (SELECT c, d, length(x) AS len, sha256(string_agg(strlen(r) || ':' || strlen(x) || ':' || r || x, '') OVER (PARTITION BY c ORDER BY d)) AS key FROM rebuilt)
+              WINDOW w AS (PARTITION BY c ORDER BY d)),
+    nodes AS (SELECT d, key, max(up) AS up, min(c) AS c, count(*) AS n, max(len) AS len, count(*) FILTER (WHERE ends) AS n_ends,
+                     sha256(coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM paths GROUP BY d, key),
+    below AS (SELECT p.d, p.key, sum((n - 1) * nodes.len) AS saved, count(*) FILTER (WHERE n = n_ends) AS leaves
+              FROM nodes JOIN paths p ON p.c = nodes.c AND p.d <= nodes.d GROUP BY p.d, p.key),
+    born AS (SELECT d - 1 AS d, up AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL)
+    SELECT nodes.c AS conv_id, nodes.d::bigint AS depth, parent.c AS parent_conv_id, nodes.n AS n_convs, coalesce(born.n, 0) AS n_children,
+           leaves AS n_leaves, saved::bigint AS saved_tokens, nodes.ends_sha256
+    FROM nodes JOIN below USING (d, key) LEFT JOIN born USING (d, key) LEFT JOIN nodes parent ON parent.d = nodes.d - 1 AND parent.key = nodes.up"""
+
 
 def query(name: str, sql: str | None = None):
     def add(fn):
@@ -137,3 +163,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable embedding whitened along the first 8 components of all of them."""
     return whiten(table(spark, sf_dir, "embeddings"), 8)
+
+
+@query("op13_prefix_trie", _TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations' prefixes."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
