@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as entry_mod  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
-# model fits of half a minute and more: scripts/oracle_check.py and the driver's gate run them
+# model fits of half a minute and more: here with fewer rounds and trees
 SLOW = ("L9_", "L10_", "L11_", "L16_", "L17_", "L18_")
 
 
@@ -43,3 +43,18 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(got) == len(exp)
     assert digest(df.columns, got) == digest(ocols, exp)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry_mod.oracle_sql() if n.startswith(SLOW)))
+def test_long_fit_matches_oracle_in_a_session_with_observations(spark, con, name, monkeypatch):
+    from functools import partial
+
+    from biblioflow.operators import modeling as L
+    from biblioflow.plans import catalog
+
+    entry_mod.queries()["D4_validate_counts"](spark, SF_SMALL).collect()
+    monkeypatch.setattr(L, "random_forest", partial(L.random_forest, trees=4, max_depth=5))
+    monkeypatch.setattr(L, "gradient_boosting", partial(L.gradient_boosting, iters=3))
+    monkeypatch.setattr(catalog, "ROUND_LIMIT", 12)
+    monkeypatch.setattr(catalog, "PATIENCE", 4)
+    test_query_matches_oracle(spark, con, name)
