@@ -383,7 +383,7 @@ def boost(rows: DataFrame, iters: int = 500, patience: int = 100, step: float =
     state = stored(rows.withColumn("margin", F.lit(0.0)).repartition(parts, id_col).sortWithinPartitions(id_col), "margins")
     trees, losses, best = [], [], 0
     while len(trees) < iters and (not losses or len(losses) < best + patience):
-        more = min(CHUNK_ROUNDS, iters - len(trees), (best if losses else CHUNK_ROUNDS) + patience - len(trees))
+        more = min(CHUNK_ROUNDS, iters - len(trees), (best or 1) + patience - len(trees))
         margins = []
         for k in range(more):
             gradient = 4 * sign / (1 + F.exp(2 * sign * F.col("margin")))

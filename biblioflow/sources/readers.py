@@ -6,203 +6,59 @@ rejects frame instead of failing the job.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def _ship_by_value() -> None:
-    """Functions of this module run inside Python workers (``mapInPandas``); pickle them by
-    value so executors need not have the package installed."""
-    try:
-        import sys
-
-        from pyspark import cloudpickle
-
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # pragma: no cover - older cloudpickle: ship with --py-files instead
-        pass
-
-
-_ship_by_value()
-
-SPLIT_SCHEMA = T.StructType([
-    T.StructField("file_path", T.StringType()),
-    T.StructField("ordinal", T.IntegerType()),
-    T.StructField("json", T.StringType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("bad_text", T.StringType()),
-])
-
-
-def _object_end(s: str, i: int) -> int:
-    """End of the braced text that begins at ``i`` (braces in strings don't count), or of the
-    text before the next line that begins an object, where the braces don't close."""
-    depth, quoted, k = 0, False, i
-    while k < len(s):
-        ch = s[k]
-        if quoted:
-            if ch == "\\":
-                k += 1
-            elif ch == '"':
-                quoted = False
-        elif ch == '"':
-            quoted = True
-        elif ch == "{":
-            depth += 1
-        elif ch == "}":
-            depth -= 1
-            if depth == 0:
-                return k + 1
-        k += 1
-    line = s.find("\n{", i + 1)
-    return len(s) if line < 0 else line
-
-
-def _split_objects(text: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """Concatenated JSON objects ``{..}{..}`` (any whitespace between) -> (object texts,
-    rejects as (error, text)).  A proper decoder, so braces inside strings are handled.  Text
-    that does not start with '{' is rejected as a whole; a bad object is rejected with its
-    text and reading goes on behind it."""
-    dec = json.JSONDecoder()
-    s = text.strip()
-    if not s:
-        return [], []
-    if not s.startswith("{"):
-        return [], [("not a concatenated-object JSON file", text)]
-    out: list[str] = []
-    bad: list[tuple[str, str]] = []
-    i, n = 0, len(s)
-    while i < n:
-        while i < n and s[i].isspace():
-            i += 1
-        if i >= n:
-            break
-        try:
-            if s[i] != "{":
-                raise json.JSONDecodeError("object expected", s, i)
-            _obj, end = dec.raw_decode(s, i)
-            out.append(s[i:end])  # the object's own text; parsed again by from_json on the JVM
-        except json.JSONDecodeError as e:
-            if s[i] == "{":
-                end = _object_end(s, i)
-            else:  # stray text up to the next object
-                end = s.find("{", i)
-                end = n if end < 0 else end
-            bad.append((f"decode error at char {e.pos}: {e.msg}", s[i:end]))
-        i = end
-    return out, bad
-
-
-def _split_array_or_objects(text: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """A JSON array -> its element texts (a malformed array is rejected as a whole);
-    otherwise concatenated objects (a single object being the one-element case)."""
-    s = text.strip()
-    if not s.startswith("["):
-        return _split_objects(s)
-    dec = json.JSONDecoder()
-    out: list[str] = []
-    i, n = 1, len(s)
-
-    def skip(k: int) -> int:
-        while k < n and s[k].isspace():
-            k += 1
-        return k
-
-    i = skip(i)
-    if i < n and s[i] == "]":
-        return [], [] if not s[i + 1:].strip() else [("text after the closing bracket", text)]
-    while True:
-        try:
-            _obj, end = dec.raw_decode(s, i)
-        except json.JSONDecodeError as e:
-            return [], [(f"bad array element at char {i}: {e.msg}", text)]
-        out.append(s[i:end])
-        i = skip(end)
-        if i < n and s[i] == ",":
-            i = skip(i + 1)
-            continue
-        if i < n and s[i] == "]" and not s[i + 1:].strip():
-            return out, []
-        return [], [("malformed JSON array", text)]
-
-
-def _split_with(split):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[tuple] = []
-            for path, text in zip(pdf["file_path"], pdf["value"]):
-                objs, bad = split(text or "")
-                rows.extend((path, i, o, None, None) for i, o in enumerate(objs))
-                rows.extend((path, len(objs) + i, None, error, piece) for i, (error, piece) in enumerate(bad))
-            yield pd.DataFrame(rows, columns=SPLIT_SCHEMA.names).astype({"ordinal": "int32"}) if rows else pd.DataFrame(
-                {f: pd.Series([], dtype="int32" if f == "ordinal" else object) for f in SPLIT_SCHEMA.names})
-    return run
-
-
-def whole_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """``(file_path, value)`` — one row per file (whole text).  Spark's listing skips names
-    starting with '.' or '_'."""
-    r = spark.read
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    paths = [path] if isinstance(path, str) else list(path)
-    # ``text(..., wholetext=True)``: the keyword overrides any reader option
-    return r.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-
-
-# A1 ------------------------------------------------------------------------------------
-def split_concatenated(files: DataFrame) -> DataFrame:
-    """``(file_path, value)`` -> ``(file_path, ordinal, json, error, bad_text)``; Arrow-batched."""
-    return files.mapInPandas(_split_with(_split_objects), SPLIT_SCHEMA)
-
-
-def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
-    """A1: files of concatenated objects -> (records, rejects)."""
-    parts = split_concatenated(whole_files(spark, path, glob))
-    good = parts.where(F.col("json").isNotNull()).select(
-        "file_path", "ordinal", F.from_json("json", schema).alias("r")).select("file_path", "ordinal", "r.*")
-    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error", "bad_text")
-    return good, bad
-
-
-# A2 ------------------------------------------------------------------------------------
-def strict_array(text: Column, schema: T.StructType) -> Column:
-    """``from_json`` as array<schema>, NULL unless the whole text is one valid JSON array
-    (``from_json`` alone may return the elements before a syntax error)."""
-    return F.when(F.json_array_length(text).isNotNull(), F.from_json(text, T.ArrayType(schema)))
-
-
-def lenient_array_text(value: Column) -> Column:
-    """Trim, drop a trailing comma, wrap in [ ] when the brackets are missing."""
-    t = F.regexp_replace(F.trim(value), r",\s*$", "")
-    return F.when(t.startswith("["), t).otherwise(F.concat(F.lit("["), t, F.lit("]")))
-
-
-def read_lenient_array(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
-    """A2: JSON-array files that may lack brackets or end with a comma -> (records, rejects)."""
-    files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
-    parsed = files.select("file_path", "value", strict_array(lenient_array_text(F.col("value")), schema).alias("arr"))
-    good = parsed.where(F.col("arr").isNotNull()).select("file_path", F.inline("arr"))
-    bad = parsed.where(F.col("arr").isNull()).select("file_path", F.lit("unparsable JSON array").alias("error"), F.col("value").alias("bad_text"))
-    return good, bad
-
-
-# A3 ------------------------------------------------------------------------------------
-def read_array_or_objects(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = "*.json"):
-    """A3: a file is a JSON array, a single object, or concatenated objects.  One pass per
-    file splits it into element texts (Python, Arrow batches); the JVM parses each element
-    once with ``from_json``."""
-    files = whole_files(spark, path, glob).where(F.length(F.trim("value")) > 0)
-    parts = files.mapInPandas(_split_with(_split_array_or_objects), SPLIT_SCHEMA)
-    good = parts.where(F.col("json").isNotNull()).select(
-        "file_path", F.from_json("json", schema).alias("r")).select("file_path", "r.*")
-    bad = parts.where(F.col("error").isNotNull()).select("file_path", "error", "bad_text")
-    return good, bad
+from biblioflow.session import scratch_path
+from biblioflow.sources.pieces import EITHER, ELEMENTS, OBJECTS, cut_files, file_lines, joined_fragments
+
+# A1 / A2 / A3 ---------------------------------------------------------------------------
+def tagged(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (with a column ``verdict``) written once, a folder per verdict, and read back:
+    good rows and rejects come from one pass over the input, and each reads its own folder."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    rows.write.partitionBy("verdict").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _read_pieces(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None, mode: str) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of JSON files cut into objects (``pieces``)."""
+    record = F.from_json("json", schema).alias("r")
+
+    def judged(df: DataFrame, *more: str) -> DataFrame:
+        verdict = F.when(F.col("part").isNotNull(), "part").when(F.col("error").isNotNull(), "bad").otherwise("good")
+        return df.withColumn("verdict", verdict).select(
+            "file_path", "block_start", "ordinal", F.when(F.col("verdict") == "good", record).alias("r"), "error", "bad_text", *more, "verdict")
+
+    cut = tagged(judged(cut_files(file_lines(spark, path, glob), mode), F.when(F.col("part").isNotNull(), F.col("json")).alias("json"), "part", "mode"), "pieces")
+    joined = joined_fragments(cut.where("verdict = 'part'")).withColumn("part", F.lit(None).cast("string"))
+    both = cut.where("verdict <> 'part'").drop("json", "part", "mode").unionByName(tagged(judged(joined), "joined-pieces"))
+    good = both.where("verdict = 'good'").select("file_path", "block_start", "ordinal", "r.*")
+    return good, both.where("verdict = 'bad'").select("file_path", "block_start", "ordinal", "error", "bad_text")
+
+
+def read_concatenated_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None = "*.json"):
+    """A1: files of concatenated objects -> (records, rejects).  A file is read by as many tasks
+    as it has ranges.  ``block_start`` and ``ordinal`` give a file's order.  A file that
+    doesn't begin with '{' is rejected, a reject for each range it is read in; a bad object
+    is rejected with its text, and reading goes on behind it."""
+    return _read_pieces(spark, path, schema, glob, OBJECTS)
+
+
+def read_lenient_array(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None = "*.json"):
+    """A2: JSON-array files that may lack brackets or end with a comma -> (records, rejects).
+    Elements are cut apart one by one, so one bad element is one reject."""
+    return _read_pieces(spark, path, schema, glob, ELEMENTS)
+
+
+def read_array_or_objects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None = "*.json"):
+    """A3: a file is a JSON array, a single object, or concatenated objects -> (records, rejects)."""
+    return _read_pieces(spark, path, schema, glob, EITHER)
 
 
 # A4 ------------------------------------------------------------------------------------
@@ -275,26 +131,28 @@ def year_coverage(spark: SparkSession, base: str, first: int, last: int, glob: s
 
 # A8 ------------------------------------------------------------------------------------
 def read_json_with_rejects(spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = True):
-    """PERMISSIVE parse with a corrupt-record column; returns (good, rejects).
+    """PERMISSIVE parse with a corrupt-record column; returns (good, rejects), both from one
+    pass over the files (``tagged``).
 
     Files are scanned as text (one row per line, or per file when ``multiline``) and parsed
     with ``from_json``: the same distributed scan as the JSON source, without its ban on
-    queries that only touch the corrupt-record column."""
+    queries that only touch the corrupt-record column.  Blank lines and empty files are
+    skipped, not rejected."""
     src = spark.read.text(path, wholetext=multiline).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    src = src.where(F.length(F.trim("value")) > 0)  # blank lines / empty files are skipped, not rejected
+    src = src.where(F.length(F.trim("value")) > 0)
     s = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = src.select("file_path", F.from_json("value", s, opts).alias("r"))
-    bad_cond = F.col("r._corrupt_record").isNotNull()
-    good = parsed.where(~bad_cond).select("file_path", *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
-    bad = parsed.where(bad_cond).select("file_path", F.col("r._corrupt_record").alias("_corrupt_record"))
-    return good, bad
+    rows = tagged(parsed.withColumn("verdict", F.when(F.col("r._corrupt_record").isNull(), "good").otherwise("bad")), "json-lines")
+    good = rows.where("verdict = 'good'").select("file_path", *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    return good, rows.where("verdict = 'bad'").select("file_path", F.col("r._corrupt_record").alias("_corrupt_record"))
 
 
 def processed_skipped(good: DataFrame, bad: DataFrame) -> DataFrame:
-    g = good.agg(F.countDistinct("file_path").alias("processed"))
-    b = bad.agg(F.countDistinct("file_path").alias("skipped"))
-    return g.select("processed", b.select("skipped").scalar().alias("skipped"))
+    """Files with good rows and files with rejects."""
+    seen = good.select("file_path", F.lit(True).alias("good")).unionByName(bad.select("file_path", F.lit(False).alias("good")))
+    files = seen.groupBy("file_path").agg(F.bool_or("good").alias("good"), F.bool_and("good").alias("clean"))
+    return files.agg(F.count_if("good").alias("processed"), F.count_if(~F.col("clean")).alias("skipped"))
 
 
 # A9 / A11 ------------------------------------------------------------------------------

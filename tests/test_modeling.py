@@ -109,7 +109,7 @@ def test_boosting_learns_and_goes_on_from_stored_margins(spark, monkeypatch):
     model, losses = L.boost(df, iters=25, patience=5, step=0.3, depth=2, min_leaf=2)
     assert accuracy(model, df) >= 0.97 and min(losses) < losses[0] / 3
     # its own margins are those of Spark's booster for the same trees
-    assert model.evaluateEachIteration(df.where("is_validation")) == pytest.approx(losses[:model.getNumTrees], abs=1e-9)
+    assert model.evaluateEachIteration(df.where("is_validation").withColumn("label", F.col("label_d"))) == pytest.approx(losses[:model.getNumTrees], abs=1e-9)
     monkeypatch.setattr(L, "CHUNK_ROUNDS", 4)
     again, other = L.boost(df, iters=25, patience=5, step=0.3, depth=2, min_leaf=2)
     assert other == pytest.approx(losses, abs=1e-9) and again.getNumTrees == model.getNumTrees

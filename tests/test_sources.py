@@ -1,9 +1,14 @@
 import json
 import os
+import random
+from functools import partial
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import types as T
 
 from biblioflow import schemas as S
+from biblioflow.sources import pieces as P
 from biblioflow.sources import readers as R
 from biblioflow.sources import sinks as B
 from conftest import SF_SMALL, rows
@@ -11,29 +16,32 @@ from conftest import SF_SMALL, rows
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
 
 
+split_either = partial(P.split_text, mode=P.EITHER)
+
+
 def write(path, text):
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as f:
+    with open(path, "w", newline="") as f:
         f.write(text)
 
 
 def test_split_objects_handles_braces_in_strings_and_whitespace():
-    objs, err = R._split_objects('{"id": "a}{", "n": 1}{"id":"b","n":2}\n\n  {"id": "c",\n "n": 3}\n')
+    objs, err = P.split_text('{"id": "a}{", "n": 1}{"id":"b","n":2}\n\n  {"id": "c",\n "n": 3}\n')
     assert err == []
     assert [json.loads(o)["id"] for o in objs] == ["a}{", "b", "c"]
 
 
 def test_split_objects_rejects_non_object_file_and_reports_bad_tail():
-    assert R._split_objects("hello world") == ([], [("not a concatenated-object JSON file", "hello world")])
-    assert R._split_objects("   ") == ([], [])
-    objs, bad = R._split_objects('{"id":"a"} {"id": broken')
+    assert P.split_text("hello world") == ([], [("not a concatenated-object JSON file", "hello world")])
+    assert P.split_text("   ") == ([], [])
+    objs, bad = P.split_text('{"id":"a"} {"id": broken')
     assert len(objs) == 1 and [t for _, t in bad] == ['{"id": broken']
 
 
 def test_split_objects_goes_on_behind_a_bad_object():
-    objs, bad = R._split_objects('{"a":1}\n{"a":bad}\n{"a":3}\n{"a":4}')
+    objs, bad = P.split_text('{"a":1}\n{"a":bad}\n{"a":3}\n{"a":4}')
     assert objs == ['{"a":1}', '{"a":3}', '{"a":4}'] and [t for _, t in bad] == ['{"a":bad}']
-    objs, bad = R._split_objects('{"a": {"b": nope, "s": "}"}} junk {"a":2}\n{"a": [1,\n{"a":5}')
+    objs, bad = P.split_text('{"a": {"b": nope, "s": "}"}} junk {"a":2}\n{"a": [1,\n{"a":5}')
     assert objs == ['{"a":2}', '{"a":5}'] and [t.strip() for _, t in bad] == ['{"a": {"b": nope, "s": "}"}}', "junk", '{"a": [1,']
 
 
@@ -137,14 +145,100 @@ def test_nested_schema_parses():
 
 
 def test_split_array_or_objects_shapes():
-    assert R._split_array_or_objects('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], [])
-    assert R._split_array_or_objects("[ ]") == ([], [])
-    assert R._split_array_or_objects('{"a":1}\n{"b":2}') == (['{"a":1}', '{"b":2}'], [])
+    assert split_either('[{"a": "],["}, {"b": 2} ]') == (['{"a": "],["}', '{"b": 2}'], [])
+    assert split_either("[ ]") == ([], [])
+    assert split_either('{"a":1}\n{"b":2}') == (['{"a":1}', '{"b":2}'], [])
     # text between objects that is not JSON is reported, the objects around it are kept
-    objs, bad = R._split_array_or_objects('{"a":1}\\n{"b":2}')
+    objs, bad = split_either('{"a":1}\\n{"b":2}')
     assert objs == ['{"a":1}', '{"b":2}'] and [t for _, t in bad] == ["\\n"]
-    assert R._split_array_or_objects('[{"a":1},]')[1][0][1] == '[{"a":1},]'
-    assert R._split_array_or_objects('[{"a":1}] junk')[1]
+    # a trailing comma or text behind the bracket costs no element
+    assert split_either('[{"a":1},]') == (['{"a":1}'], [])
+    objs, bad = split_either('[{"a":1}] junk')
+    assert objs == ['{"a":1}'] and [t for _, t in bad] == ["junk"]
+
+
+def test_a_bad_element_is_one_reject():
+    objs, bad = P.split_text('[{"a":1},\n {"a": nope, "s": "],}"},\n 17,\n {"a":2}, {"b": [1, 2},\n {"a":3}]', P.ELEMENTS)
+    assert objs == ['{"a":1}', '{"a":2}', '{"a":3}']
+    assert [t for _, t in bad] == ['{"a": nope, "s": "],}"}', "17", '{"b": [1, 2}']
+    # an element that is never closed ends before the next one at its depth
+    objs, bad = P.split_text('[\n  {"a": 1},\n  {"b": {\n    "c": 2,\n  {"a": 3},\n  {"a": 4}\n]', P.ELEMENTS)
+    assert objs == ['{"a": 1}', '{"a": 3}', '{"a": 4}'] and len(bad) == 1 and bad[0][1].startswith('{"b": {')
+
+
+def test_braces_of_lines():
+    lines = ['{"a": "}{"}', '{"a": {', "}", "}}{", r'{"s": "\\"}', r'{"s": "\"}"', "", None, '"{', '{"x": "no end', "}"]
+    closed, left = P.braces(pa.array(lines, pa.string()))
+    assert list(zip(closed.tolist(), left.tolist())) == [(0, 0), (0, 2), (1, 0), (2, 1), (0, 0), (0, 1), (0, 0), (0, 0), (0, 0), (0, 1), (1, 0)]
+    part = pa.array(["{", '\\', '"}', "{}"], pa.string()).slice(1)
+    assert [x.tolist() for x in P.braces(part)] == [[0, 0, 0], [0, 0, 0]]
+
+
+def messy(rng, n, array=False, broken=True):
+    """Objects in many layouts, and what breaks files."""
+    out = []
+    for i in range(n):
+        value = {"id": f"r{i}", "n": i, "deep": {"s": "}{\\\"[", "l": [{"k": i}, {"k": "é"}]}, "t": "x" * rng.randrange(60)}
+        text = json.dumps(value, indent=rng.choice([None, None, 1, 2]), ensure_ascii=rng.random() < 0.5)
+        if broken and rng.random() < 0.08:
+            text = rng.choice(['{"id": broken}', '{"id": "b", "n": {', '{"id": "b", "s": "open', "stray", '{"id": "b"]}', '{\n "id": "b",\n "n":\n}'])
+        if array:
+            text = "\n".join("  " + line for line in text.split("\n")) + ","
+        out.append(text)
+    body = "".join(t + rng.choice(["\n", "\n", "\n\n", "\r\n"]) for t in out)
+    return f"[\n{body}]\n" if array else body
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_file_of_many_ranges_reads_as_one(spark, tmp_path, seed):
+    """One file in several tasks: the same objects and rejects as in one piece."""
+    rng = random.Random(seed)
+    array, broken = seed % 2 == 1, seed < 4
+    texts = {f"f{k}": messy(rng, n, array, broken) for k, n in enumerate((700, 3, 250))}
+    texts["prose"] = "no json here\n" * 900
+    texts["blank"] = " \n" * 40
+    d = str(tmp_path / "big")
+    for name, text in texts.items():
+        write(f"{d}/{name}.json", text)
+    mode, read = (P.ELEMENTS, R.read_lenient_array) if array else (P.OBJECTS, R.read_concatenated_json)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        lines = P.file_lines(spark, d, "*.json")
+        assert lines.where("file_path like '%f0.json'").select("block_start").distinct().count() > 5
+        good, bad = read(spark, d, REC)
+        got = rows(good.where("file_path not like '%prose%'"), "id", "n")
+        rejected = sorted(r["bad_text"] for r in bad.where("file_path not like '%prose%'").collect())
+        prose = bad.where("file_path like '%prose%'").collect()
+        order = [r["n"] for r in good.where("file_path like '%f0.json'").orderBy("block_start", "ordinal").collect()]
+        both = P.cut_files(lines, mode, max_broadcast=0)  # and where the ranges' facts are too many to broadcast
+        assert both.where("json is not null and part is null").count() <= good.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want, bad_texts, first = [], [], []
+    for name, text in texts.items():
+        if name != "prose":
+            objs, bad_ones = P.split_text(text, mode)
+            records = [json.loads(o) for o in objs]
+            want += [(r.get("id"), r.get("n")) for r in records]
+            bad_texts += [t for _, t in bad_ones]
+            first = [r.get("n") for r in records] if name == "f0" else first
+    assert got == sorted(want, key=repr) and rejected == sorted(bad_texts) and order == first
+    assert "".join(r["bad_text"] for r in prose).replace("\n", "") == "no json here" * 900 if mode == P.OBJECTS else prose
+    assert broken == bool(rejected)
+
+
+def test_a_file_that_is_one_long_unclosed_object(spark, tmp_path):
+    d = str(tmp_path / "open")
+    text = '{"id": "never", "n": {\n' + "".join(f'{{"id": "r{i}", "n": {i}}}\n' for i in range(900))
+    write(f"{d}/a.json", text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        good, bad = R.read_concatenated_json(spark, d, REC)
+        assert good.count() == 900 and [r["bad_text"] for r in bad.collect()] == ['{"id": "never", "n": {']
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_paper_feeds_land_once_per_tables_folder(spark):
