@@ -1276,7 +1276,7 @@ def q_b1_metrics(spark, sf):
     for batch in range(2):  # the second delivery repeats the first
         arrived, _bad = R.read_lenient_array(spark, f"{base}/author_metrics_*", S.AUTHOR_METRICS, glob=None)
         good, _counts = D.validate_counted(arrived, "auid")
-        B.upsert_buckets(spark, target, C.flatten_author_metrics(good), "author_id", ["citations", "documents"], batch=batch)
+        B.upsert_buckets(spark, target, C.flatten_author_metrics(good), "author_id", ["citations", "documents"], version=batch)
     return B.read_keyed_table(spark, target)
 
 
@@ -1292,7 +1292,7 @@ def q_b1_affiliations(spark, sf):
     base, target = scratch_path(spark, "affiliations"), scratch_path(spark, "affiliations-table")
     B.write_json(X.affiliation_profiles(spark, sf), base)
     rows = C.flatten_affiliation(R.read_json_fixed(spark, base, S.AFFILIATION))
-    B.upsert_buckets(spark, target, rows, "affiliation_id", ["documents_count"])
+    B.upsert_buckets(spark, target, rows, "affiliation_id", ["documents_count"], version=0)
     return B.read_keyed_table(spark, target).select(*_AFFILIATION_OUT)
 
 
@@ -1308,7 +1308,7 @@ def q_b1_papers(spark, sf):
     target = scratch_path(spark, "papers-table")
     rows = D.consistent_type_filter(D.key_present(C.flatten_papers(nested_docs(spark, sf)), "doi"))
     cols = ["doi", "document_type", "source_type", "subject_code", "subject_name", "auid", "author_surname"]
-    B.upsert_buckets(spark, target, rows.select(*cols), "doi", ["subject_code", "subject_name", "auid"])
+    B.upsert_buckets(spark, target, rows.select(*cols), "doi", ["subject_code", "subject_name", "auid"], version=0)
     return B.read_keyed_table(spark, target)
 
 
@@ -1388,7 +1388,7 @@ def q_k2(spark, sf):
     src = landed_feed(spark, sf, "search-papers")
     table_base, ck = (scratch_path(spark, n) for n in ("k2-table", "k2-ck"))
     stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 32).json(src)
-    refs = X.refcount_feed(spark, sf)
+    refs = L.stored(X.refcount_feed(spark, sf), "refcounts")  # read by every batch
     K.upsert_stream(stream, lambda batch: C.conform_search_record(E.join_refcounts(batch, refs)), table_base, ck, "doi", ["title"]).awaitTermination()
     return K.current_table(spark, table_base)
 

@@ -361,25 +361,80 @@ def cut_files(lines: DataFrame, mode: str, max_broadcast: int = MAX_BROADCAST_RA
     spark = lines.sparkSession
     path = scratch_path(spark, "file-ranges")
     ranges(lines).write.parquet(path)
-    known = spark.read.parquet(path)
+    found = with_facts(lines, spark.read.parquet(path), max_broadcast)
+    return found.select("file_path", "block_start", "whole", "last", "value", *_FACTS).mapInArrow(_cutter(mode), PIECES)
+
+
+def with_facts(lines: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST_RANGES) -> DataFrame:
+    """``lines`` with the facts of their range, in their order."""
     keys = ["file_path", "block_start"]
-    many = known.count()
-    if many <= max_broadcast:  # rows keep their order
-        found = lines.join(F.broadcast(known), keys, "left")
-    else:
-        found = lines.withColumn("_seq", F.monotonically_increasing_id()).join(known, keys, "left").repartition(*keys).sortWithinPartitions(*keys, "_seq")
-    return found.select(*keys, "whole", "last", "value", *_FACTS).mapInArrow(_cutter(mode), PIECES)
+    if known.count() <= max_broadcast:
+        return lines.join(F.broadcast(known), keys, "left")
+    dealt = lines.withColumn("_seq", F.monotonically_increasing_id()).join(known, keys, "left")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "_seq").drop("_seq")
 
 
-def joined_fragments(fragments: DataFrame) -> DataFrame:
-    """Objects and rejects of the fragments: a tail and the heads of the ranges behind it."""
+def fragment_texts(fragments: DataFrame) -> DataFrame:
+    """``file_path, block_start, ordinal, mode, text``: a tail and the heads of the ranges behind it."""
     tail = (F.col("part") == "tail").cast("long")
-    # within a range its head comes before its tail
-    order = F.col("block_start") * 2 + tail
+    order = F.col("block_start") * 2 + tail  # within a range its head comes before its tail
     up = Window.partitionBy("file_path").orderBy("_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     narrow = fragments.select("file_path", order.alias("_order"), tail.alias("_tail")).withColumn("_piece", F.sum("_tail").over(up)).drop("_tail")
     named = fragments.withColumn("_order", order).join(narrow, ["file_path", "_order"])
     whole = named.groupBy("file_path", "_piece").agg(F.array_sort(F.collect_list(F.struct("_order", "block_start", "ordinal", "json", "mode"))).alias("p"))
-    texts = whole.select("file_path", F.col("p")[0]["block_start"].alias("block_start"), F.col("p")[0]["ordinal"].alias("ordinal"),
-                         F.col("p")[0]["mode"].alias("mode"), F.array_join(F.transform("p", lambda x: x["json"]), "\n").alias("text"))
-    return texts.mapInPandas(_split_joined, PIECES.removesuffix(", part string, mode string"))
+    at = F.col("p")[0]
+    return whole.select("file_path", at["block_start"].alias("block_start"), at["ordinal"].alias("ordinal"), at["mode"].alias("mode"),
+                        F.array_join(F.transform("p", lambda x: x["json"]), "\n").alias("text"))
+
+
+def joined_fragments(fragments: DataFrame) -> DataFrame:
+    """Objects and rejects of the fragments."""
+    return fragment_texts(fragments).mapInPandas(_split_joined, PIECES.removesuffix(", part string, mode string"))
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CSV records of ranges: lines up to one after which quotes are even."""
+    names = ["file_path", "block_start", "ordinal", "json", "part"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+    key, held, odd, done, head, last = None, [], False, 0, False, True
+
+    def rest():
+        if held:
+            part = None if last and not head else "head" if head else "tail"
+            yield key[0], key[1], done, "\n".join(held), part
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], names)
+
+    for batch in batches:
+        rows = []
+        cols = [batch.column(c).to_pylist() for c in ("file_path", "block_start", "last", "_open", "value")]
+        for path, block, is_last, opened, line in zip(*cols):
+            if (path, block) != key:
+                rows += rest()
+                key, held, odd, done, last = (path, block), [], bool(opened), 0, is_last
+                head = odd
+            held.append(line)
+            odd ^= line.count('"') % 2 == 1
+            if not odd:
+                rows.append((path, block, done, "\n".join(held), "head" if head else None))
+                done, held, head = done + 1, [], False
+        yield out(rows)
+    yield out(list(rest()))
+
+
+def csv_records(lines: DataFrame, max_broadcast: int = MAX_BROADCAST_RANGES) -> DataFrame:
+    """``file_path, block_start, ordinal, json (the record's text), part`` of ``file_lines``: a record
+    ends with the first line after which its quotes are even, so fields may hold line
+    breaks.  Whether a range begins inside quotes is the parity of all before it."""
+    from biblioflow.session import scratch_path
+
+    spark = lines.sparkSession
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    part = lines.where("not whole").groupBy("file_path", "block_start").agg((F.sum(quotes) % 2).alias("_odd"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    path = scratch_path(spark, "csv-ranges")
+    part.select("file_path", "block_start", (F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2 == 1).alias("_open")).write.parquet(path)
+    found = with_facts(lines, spark.read.parquet(path), max_broadcast)
+    return found.select("file_path", "block_start", "last", "_open", "value").mapInArrow(
+        _records, "file_path string, block_start long, ordinal int, json string, part string")

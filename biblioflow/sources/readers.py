@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from biblioflow.session import scratch_path
-from biblioflow.sources.pieces import EITHER, ELEMENTS, OBJECTS, cut_files, file_lines, joined_fragments
+from biblioflow.sources.pieces import EITHER, ELEMENTS, OBJECTS, csv_records, cut_files, file_lines, fragment_texts, joined_fragments
 
 # A1 / A2 / A3 ---------------------------------------------------------------------------
 def tagged(rows: DataFrame, name: str) -> DataFrame:
@@ -162,9 +162,23 @@ def read_table(spark: SparkSession, path: str, limit: int | None = None) -> Data
 
 
 # A10 -----------------------------------------------------------------------------------
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False) -> DataFrame:
+    """CSV with a header and doubled quotes.  By default a record is a line, and Spark splits
+    files anywhere.  With ``multiline`` quoted fields may hold line breaks: records are put
+    together from lines by their quotes, range by range (``csv_records``), so large files
+    are read by several tasks too; columns are taken by position.  Without a schema types are
+    inferred, for ``multiline`` by Spark's own reader, one task a file."""
+    r = spark.read.option("header", True).option("escape", '"')
+    if not multiline:
+        return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
+    if schema is None:
+        schema = r.option("inferSchema", True).option("multiLine", True).csv(path).schema
+    rows = tagged(csv_records(file_lines(spark, path)).withColumn("verdict", F.when(F.col("part").isNull(), "good").otherwise("part")), "csv-records")
+    joined = fragment_texts(rows.where("verdict = 'part'").withColumn("mode", F.lit(None).cast("string")))
+    every = rows.where("verdict = 'good'").select("block_start", "ordinal", "json").unionByName(joined.select("block_start", "ordinal", F.col("text").alias("json")))
+    text = F.regexp_replace("json", r"\r$", "")
+    records = every.where("not (block_start = 0 and ordinal = 0)").where(text != "")  # without headers and blank lines
+    return records.select(F.from_csv(text, schema.toDDL(), {"escape": '"', "quote": '"', "multiLine": "true"}).alias("r")).select("r.*")
 
 
 # A12 -----------------------------------------------------------------------------------

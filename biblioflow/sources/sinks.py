@@ -1,7 +1,7 @@
 """Sinks (B1-B9).  Writes are plain DataFrameWriter jobs (parallel, one file per task).
 ``upsert`` (last write wins, as a store's primary key does) is a pure function.  The stream
-sinks are order-aware (``merge_latest``) and publish a batch by a manifest written last, so
-a failed job leaves the previous table intact and a re-run is idempotent."""
+sinks are order-aware (``merge_latest``) and write each batch as a version of its own, so a
+failed job leaves the earlier ones intact and a re-run is idempotent."""
 
 from __future__ import annotations
 
@@ -9,8 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from biblioflow.operators.joins import latest_per_key
+from biblioflow.session import scratch_path
 
 
 # B1 ------------------------------------------------------------------------------------
@@ -41,16 +43,25 @@ def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: Sequence
     return latest_per_key(inc if existing is None else existing.unionByName(inc.select(*existing.columns)), keys, order)
 
 
+# Keyed tables --------------------------------------------------------------------------
+# A keyed table is plain Parquet, partitioned by ``table_version`` and, if dealt by key hash,
+# ``bucket_of_<n>``.  A batch writes one version and never touches an earlier one.
+
+def _folder(version: int) -> str:
+    return f"table_version={version:08d}"
+
+
 def upsert_version(spark: SparkSession, base: str, incoming: DataFrame, key: str | Sequence[str],
                    order: Sequence[str], version: int) -> str:
-    """Write ``merge_latest(version - 1, incoming)`` as ``base/table_version=<version>``;
-    returns the path.  Deterministic in (previous version, incoming), so a re-run of a
-    failed batch is idempotent."""
+    """Write ``merge_latest(version - 1, incoming)`` as a whole version; returns the path.
+    Deterministic in (previous version, incoming), so a re-run of a failed batch is
+    idempotent."""
     keys = [key] if isinstance(key, str) else list(key)
-    target = f"{base.rstrip('/')}/table_version={version:08d}"
+    base = base.rstrip("/")
+    target = f"{base}/{_folder(version)}"
     current = None
     if version > 0:
-        current = spark.read.schema(incoming.schema).parquet(f"{base.rstrip('/')}/table_version={version - 1:08d}")
+        current = spark.read.schema(incoming.schema).parquet(f"{base}/{_folder(version - 1)}")
     merge_latest(current, incoming, keys, order).write.mode("overwrite").parquet(target)
     return target
 
@@ -59,137 +70,60 @@ def bucket_of(keys: Sequence[str], buckets: int) -> "F.Column":
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-# Keyed table ---------------------------------------------------------------------------
-# base/data/<batch folder>/bucket=<b>/...   rows, written once and never changed
-# base/manifest/v=<n>/...                   one row per bucket: where its rows are; the
-#                                           largest version with a _SUCCESS marker holds
-MANIFEST = "bucket int, folder string, rows long, buckets int, batch long"
-#: Rows of a bucket on average beyond which a table is dealt into twice as many buckets.
-ROWS_PER_BUCKET = 4_000_000
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _listed(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return sorted(str(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
-
-
-def _published(spark: SparkSession, base: str) -> list[int]:
-    """Manifest versions that were written completely, ascending."""
-    out = []
-    for name in _listed(spark, f"{base}/manifest"):
-        fs, p = _fs(spark, f"{base}/manifest/{name}/_SUCCESS")
-        if name.startswith("v=") and fs.exists(p):
-            out.append(int(name[2:]))
-    return out
-
-
-def read_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, dict]]:
-    """(version, {bucket: its row}) of the published table; (-1, {}) before the first."""
-    base = base.rstrip("/")
-    versions = _published(spark, base)
-    if not versions:
-        return -1, {}
-    rows = spark.read.schema(MANIFEST).parquet(f"{base}/manifest/v={versions[-1]:08d}").collect()  # one per bucket
-    return versions[-1], {r["bucket"]: r.asDict() for r in rows}
-
-
-def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key: str | Sequence[str],
-                   order: Sequence[str], buckets: int = 64, batch: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
-    """Order-aware keyed upsert that rewrites only the buckets the incoming keys touch.
-
-    1. incoming -> one row per key (partial aggregation), staged by bucket;
-    2. touched buckets' current rows, from the published manifest, merged by ``merge_latest``;
-    3. merged buckets written to a new folder, which nothing reads yet;
-    4. a new manifest names each bucket's folder: readers see all of the batch or nothing.
-
-    A run that fails before step 4 leaves the table as it was, and its folder is ignored; a
-    re-run starts afresh.  With ``batch`` (a stream's batch id), a batch that is already in
-    the published manifest is not applied again.  Folders that neither this manifest nor
-    the one before names are removed.  A table that outgrows ``rows_per_bucket`` rows a
-    bucket is rewritten once with twice the buckets."""
-    from biblioflow.session import scratch_path
-
+def _current(rows: DataFrame, bucket: str, below: int | None = None) -> DataFrame:
+    """Of each bucket the rows of its latest version, by a filter on partition columns: at most
+    one term a bucket, from the partition values (no column is read for them)."""
+    seen = rows.select("table_version", bucket)
+    if below is not None:
+        seen = seen.where(F.col("table_version") < below)
+    by_version: dict[int, list[int]] = {}
+    for b, v in seen.groupBy(bucket).agg(F.max("table_version").alias("v")).collect():  # one row per bucket
+        by_version.setdefault(v, []).append(b)
+    wanted = F.lit(False)
+    for v, found in sorted(by_version.items()):
+        wanted = wanted | ((F.col("table_version") == v) & F.col(bucket).isin(found))
+    return rows.where(wanted)
+
+
+def upsert_buckets(spark: SparkSession, base: str, incoming: DataFrame, key: str | Sequence[str],
+                   order: Sequence[str], version: int, buckets: int = 64) -> str:
+    """Order-aware keyed upsert that writes only the buckets which the incoming keys touch.
+
+    1. incoming rows, staged with their bucket;
+    2. the touched buckets' latest rows before ``version`` (partition filters), merged with
+       them by ``merge_latest``;
+    3. one partitioned write of the merged buckets as ``table_version=<version>``.
+
+    Versions are numbered by the caller (a stream's batch ids).  A batch that failed, or is
+    delivered again, is run again under its own number: it reads earlier versions only and
+    overwrites its own, so it ends as if it had run once.  A bucket's earlier versions stay
+    on disk, as snapshots; a table is made small again by upserting its current rows into a
+    new folder, which is also how ``buckets`` is changed (a table keeps the number it began
+    with; another one is an error)."""
     keys = [key] if isinstance(key, str) else list(key)
-    base = path.rstrip("/")
-    version, known = read_manifest(spark, base)
-    if batch is not None and any(r["batch"] >= batch for r in known.values()):
-        return
-    wanted = now = max([r["buckets"] for r in known.values()], default=buckets)
-    while sum(r["rows"] for r in known.values()) > wanted * rows_per_bucket:
-        wanted *= 2
-
+    bucket = f"bucket_of_{buckets}"
     staged_path = scratch_path(spark, "upsert-staged")
-    inc = latest_per_key(with_keys(incoming, keys), keys, order)
-    inc.withColumn("bucket", bucket_of(keys, now)).write.parquet(staged_path)
-    schema = inc.schema
-    staged = spark.read.schema(f"{_ddl(schema)}, bucket int").parquet(staged_path)
-    touched = {r[0] for r in staged.select("bucket").distinct().collect()}  # at most ``buckets`` ids
-    if wanted != now:
-        touched |= set(known)
-    if not touched:
-        _remove(spark, staged_path)
-        return
-    held = [f"{base}/{known[b]['folder']}" for b in sorted(touched) if b in known]
-    current = spark.read.schema(schema).parquet(*held) if held else None
-    merged = merge_latest(current, staged.drop("bucket"), keys, order).withColumn("bucket", bucket_of(keys, wanted))
-    folder = f"data/{version + 1:08d}-{staged_path[-12:]}"
+    with_keys(incoming, keys).withColumn(bucket, bucket_of(keys, buckets)).write.parquet(staged_path)
+    staged = spark.read.schema(f"{incoming.schema.toDDL()}, {bucket} int").parquet(staged_path)
+    touched = [r[0] for r in staged.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
+    target = f"{base.rstrip('/')}/{_folder(version)}"
+    current = None
+    if version > 0:
+        rows = spark.read.schema(f"{incoming.schema.toDDL()}, table_version int, {bucket} int").parquet(base)
+        if rows.where(F.col(bucket).isNull()).limit(1).count():  # its folders are named by another number
+            raise ValueError(f"the table under {base} is not dealt into {buckets} buckets")
+        current = _current(rows.where(F.col(bucket).isin(touched)), bucket, below=version).select(*incoming.columns, bucket)
+    merged = merge_latest(current, staged, keys, order)
     # rebalance on the bucket: AQE splits large buckets into advisory-sized files and packs small ones
-    merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{base}/{folder}")
-
-    sizes = spark.read.schema(f"{_ddl(schema)}, bucket int").parquet(f"{base}/{folder}").groupBy("bucket").count().collect()
-    mark = -1 if batch is None else batch
-    entries = {b: {**r, "batch": max(r["batch"], mark)} for b, r in known.items() if wanted == now and b not in touched}
-    entries |= {r["bucket"]: {"bucket": r["bucket"], "folder": f"{folder}/bucket={r['bucket']}", "rows": r["count"], "buckets": wanted, "batch": mark}
-                for r in sizes}
-    rows = [(e["bucket"], e["folder"], e["rows"], e["buckets"], e["batch"]) for e in entries.values()]
-    target = f"{base}/manifest/v={version + 1:08d}"
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(target)  # one row per bucket
-    _remove(spark, staged_path)
-    _vacuum(spark, base)
-
-
-def _ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
-def _vacuum(spark: SparkSession, base: str) -> None:
-    """Drop bucket folders and manifests that neither of the last two manifests names (a
-    reader of the one before may still be running)."""
-    keep = _published(spark, base)[-2:]
-    used = set()
-    for v in keep:
-        used |= {r["folder"] for r in spark.read.schema(MANIFEST).parquet(f"{base}/manifest/v={v:08d}").collect()}
-    for folder in _listed(spark, f"{base}/data"):
-        parts = [p for p in _listed(spark, f"{base}/data/{folder}") if p.startswith("bucket=")]
-        stale = [p for p in parts if f"data/{folder}/{p}" not in used]
-        if len(stale) == len(parts):
-            _remove(spark, f"{base}/data/{folder}")
-        else:
-            for p in stale:
-                _remove(spark, f"{base}/data/{folder}/{p}")
-    for name in _listed(spark, f"{base}/manifest"):
-        if keep and name < f"v={keep[0]:08d}":
-            _remove(spark, f"{base}/manifest/{name}")
-
-
-def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    """The published table (all buckets that the last manifest names)."""
-    base = path.rstrip("/")
-    _, known = read_manifest(spark, base)
-    if not known:
-        raise FileNotFoundError(f"no published table under {path}")
-    return spark.read.parquet(*[f"{base}/{r['folder']}" for r in known.values()])
+    merged.hint("rebalance", bucket).write.mode("overwrite").partitionBy(bucket).parquet(target)
+    return target
+
+
+def read_keyed_table(spark: SparkSession, base: str) -> DataFrame:
+    """The current rows of a table written by ``upsert_buckets``."""
+    rows = spark.read.parquet(base)
+    bucket = next(c for c in rows.columns if c.startswith("bucket_of_"))
+    return _current(rows, bucket).drop("table_version", bucket)
 
 
 # B2-B5 ---------------------------------------------------------------------------------

@@ -2,11 +2,11 @@
 
 * ``ingest_topics``  topic messages -> append-only files partitioned by topic (exactly-once
   file sink; the checkpoint replaces offset bookkeeping).
-* ``upsert_stream``  per micro-batch keyed upsert (``foreachBatch``) into a bucketed
-  table, rewriting only the buckets a batch touches (``sinks.upsert_buckets``), or into
-  numbered table versions (``versions=True``: version = batch id, full rewrite).  Both
-  keep the greatest ``order`` per key and are idempotent, so a replayed batch or a late,
-  older record changes nothing.
+* ``upsert_stream``  per micro-batch keyed upsert (``foreachBatch``) into a table dealt by
+  key hash, writing only the buckets a batch touches (``sinks.upsert_buckets``), or the
+  whole table (``versions=True``); the version is the batch id.  Both keep the greatest
+  ``order`` per key and are idempotent, so a replayed batch or a late, older record changes
+  nothing.
 * ``parse_messages`` typed parse of a topic's JSON values, malformed values routed to a
   rejects frame.
 
@@ -70,23 +70,29 @@ def topic_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
 
 
 # K2 / K4 -------------------------------------------------------------------------------
-def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], base: str, checkpoint: str,
-                  key: str | Sequence[str], order: Sequence[str], versions: bool = False, buckets: int = 64):
-    """``foreachBatch`` keyed upsert; batch and stream share ``transform``."""
+def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]], base: str, checkpoint: str,
+                  key: str | Sequence[str], order: Sequence[str], versions: bool = False, buckets: int = 64, rejects: str | None = None):
+    """``foreachBatch`` keyed upsert; batch and stream share ``transform``.  If that gives
+    (rows, rejects), a batch's rejects are written as ``<rejects>/batch=<id>`` (a replayed
+    batch writes its own folder again)."""
     spark = stream.sparkSession
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        found = transform(batch)
+        rows, bad = found if isinstance(found, tuple) else (found, None)
         if versions:
-            upsert_version(spark, base, transform(batch), key, order, batch_id)
+            upsert_version(spark, base, rows, key, order, batch_id)
         else:
-            upsert_buckets(spark, base, transform(batch), key, order, buckets, batch_id)
+            upsert_buckets(spark, base, rows, key, order, batch_id, buckets)
+        if bad is not None and rejects:
+            bad.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def current_table(spark: SparkSession, base: str) -> DataFrame:
-    """The bucketed table written by ``upsert_stream`` (default mode)."""
+    """The table dealt by key hash that ``upsert_stream`` writes (default mode)."""
     return read_keyed_table(spark, base)
 
 

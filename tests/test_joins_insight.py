@@ -90,55 +90,51 @@ def test_coverage_matrix_and_graph(spark):
     assert rows(nodes) == [("Article", "document_type"), ("S1", "subject")]
 
 
-def test_bucket_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+def test_bucket_upsert_writes_only_touched_buckets(spark, tmp_path):
+    import os
+
     path = str(tmp_path / "keyed")
     first = spark.createDataFrame([(f"k{i}", 0, "old") for i in range(200)], "k string, v int, p string")
-    B.upsert_buckets(spark, path, first, "k", ["v"], buckets=8)
-    _, before = B.read_manifest(spark, path)
-    assert set(before) == set(range(8)) and sum(r["rows"] for r in before.values()) == 200
+    B.upsert_buckets(spark, path, first, "k", ["v"], version=0, buckets=8)
+    written = lambda v: {int(d.split("=")[1]) for d in os.listdir(f"{path}/table_version={v:08d}") if d.startswith("bucket_of_8=")}
+    assert written(0) == set(range(8))
     inc = spark.createDataFrame([("k7", 5, "new"), ("k7", 1, "older"), ("new", 1, "n"), (None, 9, "no key")], "k string, v int, p string")
     touched = {r[0] for r in inc.where("k IS NOT NULL").select(B.bucket_of(["k"], 8)).collect()}
-    B.upsert_buckets(spark, path, inc, "k", ["v"], buckets=8)
-    _, after = B.read_manifest(spark, path)
-    assert {b for b in after if after[b]["folder"] != before[b]["folder"]} == touched
+    B.upsert_buckets(spark, path, inc, "k", ["v"], version=1, buckets=8)
+    assert written(1) == touched
     out = B.read_keyed_table(spark, path)
     got = dict(rows(out, "k", "p"))
-    assert got["k7"] == "new" and got["new"] == "n" and got["k8"] == "old" and out.count() == 201 and "bucket" not in out.columns
+    assert got["k7"] == "new" and got["new"] == "n" and got["k8"] == "old" and out.count() == 201 and out.columns == ["k", "v", "p"]
     expected = rows(out)
-    B.upsert_buckets(spark, path, inc, "k", ["v"], buckets=8)  # the same batch again
+    B.upsert_buckets(spark, path, inc, "k", ["v"], version=1, buckets=8)  # the same batch again
+    B.upsert_buckets(spark, path, inc.limit(0), "k", ["v"], version=2, buckets=8)  # and one without rows
     assert rows(B.read_keyed_table(spark, path)) == expected
+    plan = B.read_keyed_table(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket_of_8" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(ValueError):
+        B.upsert_buckets(spark, path, inc, "k", ["v"], version=3, buckets=16)
+    small = str(tmp_path / "small")  # how a table gets other buckets, and loses old versions
+    B.upsert_buckets(spark, small, B.read_keyed_table(spark, path), "k", ["v"], version=0, buckets=16)
+    assert rows(B.read_keyed_table(spark, small)) == expected
 
 
 def test_bucket_upsert_keeps_the_newest_of_late_deliveries(spark, tmp_path):
     path = str(tmp_path / "late")
-    send = lambda v, batch=None: B.upsert_buckets(spark, path, spark.createDataFrame([(1, v)], "k int, v int"), "k", ["v"], buckets=2, batch=batch)
-    for v in (10, 5, 7):
-        send(v)
+    for n, v in enumerate((10, 5, 7)):
+        B.upsert_buckets(spark, path, spark.createDataFrame([(1, v)], "k int, v int"), "k", ["v"], version=n, buckets=2)
     assert rows(B.read_keyed_table(spark, path)) == [(1, 10)]
-    send(11, batch=4)
-    send(12, batch=4)  # a batch that was published is not applied again
-    assert rows(B.read_keyed_table(spark, path)) == [(1, 11)]
     base = str(tmp_path / "versions")
     for n, v in enumerate((10, 5)):
         B.upsert_version(spark, base, spark.createDataFrame([(1, v), (None, 3)], "k int, v int"), "k", ["v"], n)
     assert rows(spark.read.parquet(f"{base}/table_version=00000001")) == [(1, 10)]
 
 
-def test_bucket_upsert_restarts_after_a_failed_write_and_cleans_up(spark, tmp_path):
-    import os
-
+def test_bucket_upsert_runs_a_failed_batch_again(spark, tmp_path):
+    """What a failed run left in its own version is overwritten and never merged."""
     path = str(tmp_path / "failed")
-    os.makedirs(f"{path}/data/00000000-dead/bucket=0")  # what a run that died before its manifest left
-    os.makedirs(f"{path}/manifest/v=00000000")
     frame = lambda n, v: spark.createDataFrame([(i, v) for i in range(n)], "k int, v int")
-    with pytest.raises(FileNotFoundError):
-        B.read_keyed_table(spark, path)
-    B.upsert_buckets(spark, path, frame(20, 1), "k", ["v"], buckets=2, batch=0)
-    assert B.read_keyed_table(spark, path).count() == 20
-    for v in range(2, 6):
-        B.upsert_buckets(spark, path, frame(20, v), "k", ["v"], buckets=2, batch=v)
-    assert sorted(tuple(r) for r in B.read_keyed_table(spark, path).collect()) == [(i, 5) for i in range(20)]
-    assert len(os.listdir(f"{path}/data")) == 2 and len([m for m in os.listdir(f"{path}/manifest") if m.startswith("v=")]) == 2
-    B.upsert_buckets(spark, path, frame(40, 6), "k", ["v"], buckets=2, rows_per_bucket=5)
-    _, known = B.read_manifest(spark, path)
-    assert {r["buckets"] for r in known.values()} == {4} and sorted(tuple(r) for r in B.read_keyed_table(spark, path).collect()) == [(i, 6) for i in range(40)]
+    B.upsert_buckets(spark, path, frame(20, 1), "k", ["v"], version=0, buckets=2)
+    half = frame(20, 9).withColumn("bucket_of_2", B.bucket_of(["k"], 2)).where("bucket_of_2 = 0")
+    half.write.partitionBy("bucket_of_2").parquet(f"{path}/table_version=00000001")
+    B.upsert_buckets(spark, path, frame(20, 2), "k", ["v"], version=1, buckets=2)
+    assert sorted(tuple(r) for r in B.read_keyed_table(spark, path).collect()) == [(i, 2) for i in range(20)]

@@ -116,10 +116,35 @@ def test_rejects_permissive(spark, tmp_path):
 
 
 def test_csv_round_trip_with_quotes_and_newlines(spark, tmp_path):
-    df = spark.createDataFrame([("a", 'say "hi"\nthen go'), ("b", None)], "k string, v string")
+    df = spark.createDataFrame([("a", 'say "hi"\nthen go'), ("b", None), ("c", 'x,"",\r\n\n"y')], "k string, v string")
     B.write_csv(df, str(tmp_path / "csv"))
-    back = R.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    back = R.read_csv(spark, str(tmp_path / "csv"), df.schema, multiline=True)
     assert rows(back) == rows(df)
+    lines = df.where("k = 'b'")
+    B.write_csv(lines, str(tmp_path / "lines"))
+    assert rows(R.read_csv(spark, str(tmp_path / "lines"), df.schema)) == rows(lines)
+    assert rows(R.read_csv(spark, str(tmp_path / "lines"))) == rows(lines)
+
+
+def test_one_csv_file_in_several_tasks(spark, tmp_path):
+    rng = random.Random(8)
+    data = [(i, rng.choice(["plain", 'with "quotes"', "line\nbreak", "a,b", "", "\n\n", "é" * 40]), f"t{i}" * rng.randrange(9)) for i in range(1500)]
+    df = spark.createDataFrame(data, "i int, a string, b string").coalesce(1)
+    path = str(tmp_path / "big")
+    B.write_csv(df, path)
+    want = rows(spark.read.schema(df.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path))
+    assert len(want) == 1500
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert P.file_lines(spark, path).select("block_start").distinct().count() > 5
+        assert rows(R.read_csv(spark, path, df.schema, multiline=True)) == want
+        plain = df.where("a not like '%\n%'")
+        B.write_csv(plain, str(tmp_path / "plain"))
+        back = R.read_csv(spark, str(tmp_path / "plain"), df.schema)
+        assert back.rdd.getNumPartitions() > 5 and back.count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_lines_and_embeddings(spark, tmp_path):
