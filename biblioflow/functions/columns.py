@@ -5,6 +5,7 @@ the ``try_`` variant and every element access uses ``get`` (NULL instead of an e
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -104,10 +105,15 @@ def char_len(col: Column) -> Column:
     return F.char_length(col)
 
 
+#: What ``str.strip()`` takes off.
+WHITE_SPACE = "".join(chr(c) for c in range(sys.maxunicode) if chr(c).isspace())
+
+
 # I9 ------------------------------------------------------------------------------------
 def first_item_dashboard(col: Column) -> Column:
-    """``strip('[]').split(',')[0].strip()``; NULL -> NULL, '' -> ''."""
-    return F.trim(F.get(F.split(F.btrim(col, F.lit("[]")), ",", -1), 0))
+    """``strip('[]').split(',')[0].strip()``; NULL -> NULL, '' -> ''.  ``strip()`` takes all
+    white space off, not only blanks."""
+    return F.btrim(F.get(F.split(F.btrim(col, F.lit("[]")), ",", -1), 0), F.lit(WHITE_SPACE))
 
 
 def first_item_modelling(col: Column) -> Column:

@@ -93,8 +93,9 @@ def enrich_abstract_keywords(papers: DataFrame, extra: DataFrame, key: str = "ei
 # E5 / G3 -------------------------------------------------------------------------------
 def new_papers(papers: DataFrame, known: DataFrame, doi: str = "doi", known_doi: str = "doi") -> DataFrame:
     """Papers with a DOI that is not already held.  Left-anti join, so duplicates in
-    ``papers`` are kept (``subtract`` would de-duplicate)."""
-    k = known.select(F.col(f"`{known_doi}`").alias("_known")).where(F.col("_known").isNotNull())
+    ``papers`` are kept (``subtract`` would de-duplicate).  The known side is reduced to
+    distinct keys first, map-side too, so a key that it repeats a million times is one row."""
+    k = known.select(F.col(f"`{known_doi}`").alias("_known")).where(F.col("_known").isNotNull()).distinct()
     p = papers.where(F.col(f"`{doi}`").isNotNull())
     return p.join(k, F.col(f"`{doi}`") == F.col("_known"), "left_anti")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from biblioflow import schemas as S
 from biblioflow.functions import columns as fc
-from biblioflow.functions.terms import YEAR_QUOTAS
+from biblioflow.functions.terms import CONFERENCE_INDICATORS, EXCLUSION_TERMS, MIN_REFERENCES, PROCEEDING_PHRASE, YEAR_QUOTAS
 from biblioflow.operators import filters as D
 from biblioflow.operators import insight as FI
 from biblioflow.operators import reshape as C
@@ -134,7 +134,8 @@ def q_flagship(spark, sf):
 
 # ===== C: reshaping =======================================================================
 
-_AUTH_N = "(SELECT paper_id, count(*) AS n FROM authorships GROUP BY paper_id)"
+_AUTH_N = """(SELECT paper_id, count(*) AS n, list_sort(list(DISTINCT affid || ' Institute ' || affid) FILTER (WHERE affid IS NOT NULL)) AS affiliations
+  FROM authorships GROUP BY paper_id)"""
 
 
 @register("C1_flatten_nested", W(f"""
@@ -146,14 +147,17 @@ SELECT p.doi, 'Title ' || CAST(p.paper_id AS VARCHAR) AS title, p.document_type,
   CASE WHEN p.subject_area IS NULL THEN NULL WHEN p.paper_id % 3 = 0 THEN 2 ELSE 1 END AS n_subjects,
   a.n AS n_authors,
   CASE WHEN p.paper_id % 4 = 0 THEN NULL ELSE 'kw' || CAST(p.paper_id % 9 AS VARCHAR) END AS keyword,
-  'eng' AS language, 'core' AS status_state
+  'eng' AS language, 'core' AS status_state,
+  CASE WHEN p.paper_id % 19 <> 4 THEN 'Abstract of paper ' || CAST(p.paper_id AS VARCHAR) END AS abstract,
+  nullif(a.affiliations, []) AS affiliations, CAST(NULL AS VARCHAR) AS funding_details
 FROM papers p LEFT JOIN {_AUTH_N} a ON a.paper_id = p.paper_id""", "papers", "authorships"))
 def q_c1(spark, sf):
     f = flat_papers(spark, sf)
     return f.select("doi", "title", "document_type", "source_type", "publication_date", "source_title", "publisher",
                     "cited_by", "open_access", "ref_count", "delivered_date",
                     F.size("subject_areas").alias("n_subjects"), F.size("authors").cast("bigint").alias("n_authors"),
-                    F.get("author_keywords", 0).alias("keyword"), "language", "status_state")
+                    F.get("author_keywords", 0).alias("keyword"), "language", "status_state", "abstract",
+                    F.array_sort(F.transform("affiliation", lambda x: F.concat_ws(" ", x["@id"], x["affilname"]))).alias("affiliations"), "funding_details")
 
 
 _C2_SQL = """
@@ -224,17 +228,15 @@ def q_d5(spark, sf):
     return D.label_v2(X.papers(spark, sf)).select("paper_id", "is_full_conference")
 
 
-_V1_SQL = """
-SELECT paper_id,
-  coalesce(lower(source_title) LIKE '%workshop%' OR lower(source_title) LIKE '%symposium%' OR lower(source_title) LIKE '%seminar%'
-    OR lower(source_title) LIKE '%colloquium%' OR lower(source_title) LIKE '%tutorial%' OR lower(source_title) LIKE '%short paper%'
-    OR lower(source_title) LIKE '%poster%' OR lower(source_title) LIKE '%abstract only%' OR lower(source_title) LIKE '%extended abstract%'
-    OR lower(source_title) LIKE '%work in progress%', false) AS has_exclusion_term,
-  coalesce(lower(source_type) LIKE '%conference proceeding%', false) AS has_conference_proceeding,
-  coalesce(lower(source_title) LIKE '%international conference on%' OR lower(source_title) LIKE '%proceedings of the%'
-    OR lower(source_title) LIKE '%annual conference%' OR lower(source_title) LIKE '%international conference in%'
-    OR lower(source_title) LIKE '%international conference of%', false) AS has_conference_indicator,
-  coalesce(ref_count >= 5, false) AS has_minimum_references,
+def _like_any(column: str, phrases) -> str:
+    return "coalesce(" + " OR ".join(f"lower({column}) LIKE '%{x}%'" for x in phrases) + ", false)"
+
+
+_V1_SQL = f"""
+SELECT paper_id, {_like_any("source_title", EXCLUSION_TERMS)} AS has_exclusion_term,
+  {_like_any("source_type", (PROCEEDING_PHRASE,))} AS has_conference_proceeding,
+  {_like_any("source_title", CONFERENCE_INDICATORS)} AS has_conference_indicator,
+  coalesce(ref_count >= {MIN_REFERENCES}, false) AS has_minimum_references,
   ref_count, document_type, source_type, source_title
 FROM papers"""
 _V1_LABEL = f"""v1 AS ({_V1_SQL}), lab AS (SELECT *, NOT has_exclusion_term AND has_conference_proceeding AND has_conference_indicator
@@ -1091,18 +1093,22 @@ def q_a1(spark, sf):
 
 
 @register("A1_rejects_concatenated", W("""
-SELECT count(*) AS good, count(*) FILTER (WHERE paper_id % 7 = 3) AS rejected,
-  count(*) FILTER (WHERE paper_id % 7 = 3) AS with_text FROM papers""", "papers"))
+SELECT 'good' AS verdict, doi AS value, count(*) AS n FROM papers GROUP BY ALL
+UNION ALL SELECT 'bad', '{"paper": broken, "s": "}", "id": ' || paper_id || '}', 1 FROM papers WHERE paper_id % 7 = 3""", "papers"))
 def q_a1_rejects(spark, sf):
     """A broken object behind every seventh record: all records are read, every broken one is
     reported with its text."""
     base = scratch_path(spark, "a1-broken")
     broken = F.concat(F.lit('\n{"paper": broken, "s": "}", "id": '), F.col("paper_id").cast("string"), F.lit("}"))
     (X.search_paper_json(spark, sf).select(F.concat("json", F.when(F.col("paper_id") % 7 == 3, broken).otherwise(F.lit(""))).alias("value"))
-     .write.option("maxRecordsPerFile", X.FEED_CHUNK).text(base))
-    good, bad = R.read_concatenated_json(spark, base, S.SEARCH_PAPER, glob=None)
-    counts = bad.agg(F.count(F.lit(1)).alias("rejected"), F.count_if(F.col("bad_text").startswith('{"paper": broken')).alias("with_text"))
-    return good.agg(F.count(F.lit(1)).alias("good")).select("good", *[counts.select(c).scalar().alias(c) for c in ("rejected", "with_text")])
+     .write.text(base))
+    return _verdicts(*R.read_concatenated_json(spark, base, S.SEARCH_PAPER, glob=None), fc.c("prism:doi"))
+
+
+def _verdicts(good: DataFrame, bad: DataFrame, value: Column, text: str = "bad_text") -> DataFrame:
+    """Good values and rejected texts, counted."""
+    both = good.select(F.lit("good").alias("verdict"), value.alias("value")).unionByName(bad.select(F.lit("bad").alias("verdict"), F.col(text).alias("value")))
+    return both.groupBy("verdict", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SEARCH_KEYS_SQL = "SELECT doi, 'Title ' || CAST(paper_id AS VARCHAR) AS title, cited_by_raw AS cited_by_text FROM papers"
@@ -1122,20 +1128,40 @@ def q_a2(spark, sf):
     return _search_out(good)
 
 
+@register("A2_rejected_elements", W("""
+SELECT 'good' AS verdict, doi AS value, count(*) AS n FROM papers GROUP BY ALL
+UNION ALL SELECT 'bad', '{"element": ' || paper_id || ', "s": [}', 1 FROM papers WHERE paper_id % 11 = 5""", "papers"))
+def q_a2_rejects(spark, sf):
+    """Arrays with brackets in which some elements are broken: each is one reject, with its text."""
+    base = scratch_path(spark, "a2-broken")
+    broken = F.concat(F.lit(',\n  {"element": '), F.col("paper_id").cast("string"), F.lit(', "s": [}'))
+    element = F.concat("json", F.when(F.col("paper_id") % 11 == 5, broken).otherwise(F.lit("")))
+    _array_files(X.search_paper_json(spark, sf).select("paper_id", element.alias("json"))).write.text(base)
+    good, bad = R.read_lenient_array(spark, base, S.SEARCH_PAPER, glob=None)
+    return _verdicts(good.where(fc.c("eid").isNotNull()), bad, fc.c("prism:doi"))
+
+
+def _array_files(rows: DataFrame, files: int = 4) -> DataFrame:
+    """Lines of ``files`` JSON arrays, one per partition: an opening bracket, the elements (a
+    comma behind each, an empty one as the last), a closing bracket."""
+    spark = rows.sparkSession
+    lines = rows.select(F.pmod(F.xxhash64("paper_id"), F.lit(files)).cast("int").alias("file"), F.lit(1).alias("place"), "paper_id", F.col("json").alias("value"))
+    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.array(F.lit(0), F.lit(2))).alias("place"), F.lit(None).cast("long").alias("paper_id"))
+    ends = ends.withColumn("value", F.when(F.col("place") == 0, "[").otherwise('{"eid": null}\n]'))
+    whole = lines.withColumn("value", F.concat("value", F.lit(","))).unionByName(ends)
+    return whole.repartitionByRange(files, "file").sortWithinPartitions("file", "place", "paper_id").select("value")
+
+
 @register("A3_array_or_objects_scan", W(_SEARCH_KEYS_SQL, "papers"))
 def q_a3(spark, sf):
-    """Even ids as proper JSON-array files (one array per 500-id block), odd ids as
-    newline-separated objects (falls back to the object splitter)."""
+    """Even ids in a few large JSON-array files, odd ids as newline-separated objects (which
+    the first character of a file tells apart)."""
     base = scratch_path(spark, "a3-mixed")
     js = X.search_paper_json(spark, sf)
-    even = js.where(F.col("paper_id") % 2 == 0).groupBy((F.col("paper_id") / 500).cast("long").alias("blk")).agg(
-        F.concat(F.lit("["), F.concat_ws(",", F.collect_list("json")), F.lit("]")).alias("value"))
-    even.write.partitionBy("blk").text(f"{base}/arrays")  # one array per file
-    js.where(F.col("paper_id") % 2 == 1).select(F.col("json").alias("value")).write.option(
-        "maxRecordsPerFile", X.FEED_CHUNK).text(f"{base}/objects")
-    arrays, _ = R.read_array_or_objects(spark, f"{base}/arrays", S.SEARCH_PAPER, glob=None)
-    objects, _ = R.read_array_or_objects(spark, f"{base}/objects", S.SEARCH_PAPER, glob=None)
-    return _search_out(arrays.unionByName(objects))
+    _array_files(js.where(F.col("paper_id") % 2 == 0)).write.text(f"{base}/arrays")
+    js.where(F.col("paper_id") % 2 == 1).select(F.col("json").alias("value")).write.text(f"{base}/objects")
+    found, _ = R.read_array_or_objects(spark, [f"{base}/arrays", f"{base}/objects"], S.SEARCH_PAPER, glob=None)
+    return _search_out(found.where(fc.c("eid").isNotNull()))
 
 
 @register("A4_inferred_schema_scan", W(_SEARCH_KEYS_SQL, "papers"))
@@ -1209,6 +1235,33 @@ def q_a8(spark, sf):
     return _search_out(good)
 
 
+_LINES = "SELECT unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM documents"
+
+
+@register("A8_rejected_lines", W(f"""
+SELECT 'good' AS verdict, doi AS value, count(*) AS n FROM papers GROUP BY ALL
+UNION ALL SELECT 'bad', line, count(*) FROM ({_LINES}) WHERE trim(line) <> '' GROUP BY ALL""", "papers"))
+def q_a8_rejects(spark, sf):
+    """Good rows and rejects of the same scan: the rejects' texts are the prose's lines."""
+    base = scratch_path(spark, "a8-prose")
+    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(base)
+    good, bad = R.read_json_with_rejects(spark, [landed_feed(spark, sf, "search-papers"), base], S.SEARCH_PAPER, multiline=False)
+    return _verdicts(good, bad, fc.c("prism:doi"), "_corrupt_record")
+
+
+@register("A8_processed_skipped", W(f"""
+SELECT count(*) AS processed, count(*) FILTER (WHERE y % 3 = 0) AS skipped
+FROM (SELECT DISTINCT year(TRY_CAST(cover_date AS DATE)) AS y FROM papers WHERE TRY_CAST(cover_date AS DATE) IS NOT NULL)""", "papers"))
+def q_a8_counts(spark, sf):
+    """One file per year, a line of prose at the end of every third: files processed, and files
+    with something skipped."""
+    base = scratch_path(spark, "a8-years")
+    js = X.search_paper_json(spark, sf).where(F.col("year").isNotNull()).select("year", F.col("json").alias("value"))
+    prose = js.where(F.col("year") % 3 == 0).select("year", F.lit("and so on").alias("value")).distinct()
+    js.unionByName(prose).repartition("year").write.partitionBy("year").text(base)
+    return R.processed_skipped(*R.read_json_with_rejects(spark, base, S.SEARCH_PAPER, multiline=False))
+
+
 @register("A9_table_scan", W("SELECT paper_id, doi, document_type, source_type, ref_count FROM papers", "papers"))
 def q_a9(spark, sf):
     base = scratch_path(spark, "a9-records")
@@ -1224,6 +1277,15 @@ def q_a10(spark, sf):
     return R.read_csv(spark, base, p.schema)
 
 
+@register("A10_csv_line_breaks", "SELECT doc_id, text, n_chars FROM documents")
+def q_a10_breaks(spark, sf):
+    """Whole texts, line breaks and quotes included, through CSV files that several tasks read."""
+    base = scratch_path(spark, "a10-breaks")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    B.write_csv(docs, base)
+    return R.read_csv(spark, base, docs.schema, multiline=True)
+
+
 @register("A11_parquet_scan", W("SELECT paper_id, seq, auid, affid FROM authorships", "authorships"))
 def q_a11(spark, sf):
     base = scratch_path(spark, "a11-parquet")
@@ -1427,14 +1489,31 @@ def q_k4(spark, sf):
     schema = S.T.StructType([*_EVENT_SCHEMA.fields, S.T.StructField("rev", S.T.IntegerType())])
 
     def transform(batch: DataFrame) -> DataFrame:
-        good, _bad = K.parse_messages(batch, schema)
-        return good.select("event_id", "event_type", "user_id", "rev")
+        return K.parse_messages(batch, schema)[0].select("event_id", "event_type", "user_id", "rev")
 
     stream = K.message_stream(spark, f"{src}/*", max_files=8)
     K.upsert_stream(stream, transform, table_base, ck, "event_id", ["rev"]).awaitTermination()
     return K.current_table(spark, table_base)
 
 
+@register("K4_rejected_messages", """
+SELECT event_type AS topic, CAST(event_id AS VARCHAR) AS key, 'cut {' || event_id AS value FROM events WHERE event_id % 17 = 3""")
+def q_k4_rejects(spark, sf):
+    """What the batches of a keyed stream reject is kept, a folder per batch."""
+    src, table_base, bad, ck = (scratch_path(spark, n) for n in ("k4r-in", "k4r-table", "k4r-bad", "k4r-ck"))
+    msgs = _event_messages(spark, sf)
+    cut = F.concat(F.lit("cut {"), F.col("key"))
+    msgs.withColumn("value", F.when(F.col("key").cast("long") % 17 == 3, cut).otherwise(F.col("value"))).write.json(src)
+
+    def transform(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good, rejected = K.parse_messages(batch, _EVENT_SCHEMA)
+        return good.select("event_id", "event_type", "user_id"), rejected
+
+    stream = K.message_stream(spark, src, max_files=4)
+    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["user_id"], rejects=bad).awaitTermination()
+    return spark.read.parquet(bad).select("topic", "key", "value")
+
+
 # ===== L: Spark ML jobs (the oracles state what holds of any right fit) ==================
 
 from pyspark.ml import PipelineModel  # noqa: E402
@@ -1681,6 +1760,17 @@ def q_a12(spark, sf):
     return good.select("topic", "key", "event_id", "user_id")
 
 
+@register("A12_rejected_records", """
+SELECT event_type AS topic, CASE WHEN event_id % 13 = 4 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS key,
+  CASE WHEN event_id % 13 = 0 THEN 'cut {' || event_id END AS value FROM events WHERE event_id % 13 IN (0, 4)""")
+def q_a12_rejects(spark, sf):
+    """Values that are no JSON come back with their text, records without a key without one."""
+    rows = _kafka_rows(spark, sf)
+    rows = rows.withColumn("value", F.when(F.col("offset") % 13 == 0, F.concat(F.lit("cut {"), F.col("offset").cast("string")).cast("binary")).otherwise(F.col("value")))
+    rows = rows.withColumn("key", F.when(F.col("offset") % 13 != 4, F.col("key")))
+    return K.parse_messages(K.from_kafka(rows), _EVENT_SCHEMA)[1]
+
+
 @register("B7_per_topic_files", """
 SELECT event_type AS topic, count(DISTINCT event_id) AS n_keys, count(*) AS n FROM events
 WHERE event_type IN ('purchase', 'signup') GROUP BY 1""")
