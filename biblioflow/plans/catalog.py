@@ -1451,7 +1451,8 @@ def q_k2(spark, sf):
     table_base, ck = (scratch_path(spark, n) for n in ("k2-table", "k2-ck"))
     stream = spark.readStream.schema(S.SEARCH_PAPER).option("maxFilesPerTrigger", 32).json(src)
     refs = L.stored(X.refcount_feed(spark, sf), "refcounts")  # read by every batch
-    K.upsert_stream(stream, lambda batch: C.conform_search_record(E.join_refcounts(batch, refs)), table_base, ck, "doi", ["title"]).awaitTermination()
+    K.upsert_stream(stream, lambda batch: C.conform_search_record(E.join_refcounts(batch, refs)), table_base, ck, "doi", ["title"],
+                    buckets=16).awaitTermination()
     return K.current_table(spark, table_base)
 
 
@@ -1492,7 +1493,7 @@ def q_k4(spark, sf):
         return K.parse_messages(batch, schema)[0].select("event_id", "event_type", "user_id", "rev")
 
     stream = K.message_stream(spark, f"{src}/*", max_files=8)
-    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["rev"]).awaitTermination()
+    K.upsert_stream(stream, transform, table_base, ck, "event_id", ["rev"], buckets=16).awaitTermination()
     return K.current_table(spark, table_base)
 
 
