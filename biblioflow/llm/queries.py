@@ -63,7 +63,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op4_sharding")
+@query("op4_sharding", """
+    WITH bits AS (SELECT range AS i, range AS v0 FROM range(256)),
+    steps AS (SELECT i, list_reduce([v0::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM bits),
+    byte_table AS (SELECT list(v ORDER BY i) AS t FROM steps),
+    body AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    bytes AS (SELECT doc_id, strlen(text) + 16 AS size,
+                     list_concat([4294967295::bigint], list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::bigint)) AS b FROM body),
+    sized AS (SELECT doc_id, size, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM bytes, byte_table),
+    placed AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, crc, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM sized),
+    cut AS (SELECT *, least(39, ((2 * upto - size)::hugeint * 40 // (2 * total)))::int AS shard FROM placed)
+    SELECT doc_id, size::bigint AS size, crc::bigint AS text_crc32, 'bytes' AS law, shard,
+           row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, crc, size) - 1 AS slot, NULL::int AS grown_shard
+    FROM cut""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 contiguous shards of near-equal bytes."""
     return byte_balanced_shards(table(spark, sf_dir, "documents"), 40)
@@ -108,7 +120,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_quality(docs, model, min_grade=keep.min_grade, min_tail=keep.min_tail)
 
 
-@query("op5_ngram_join")
+@query("op5_ngram_join", r"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s FROM words),
+    flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+    SELECT doc_id, len(s) AS n_shingles, least AS component_id FROM sets JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) USING (doc_id)""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 85 % of their 4-word shingles."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
@@ -126,7 +146,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, 20)
 
 
-@query("op2_warc")
+@query("op2_warc", """
+    WITH t AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS top FROM t)
+    SELECT page_id, strlen(body) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (((('0x' || substr(h, ((i // 4) * 5 + 1)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)), '') AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM m""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through ARC and WARC files and back."""
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
