@@ -33,6 +33,8 @@ COMMON = 0.9
 #: Terms of a document that its place among the shards depends on.
 HEAVY_TERMS = 12
 K1, B = 1.2, 0.75
+#: Documents, about, whose places say where partitions begin, for each of them.
+BORDER_SAMPLE = 64
 #: Words whose ids a worker keeps between tasks.
 KEPT_WORDS = 300_000
 
@@ -209,11 +211,10 @@ def lexical_packing(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     statistics = spark.sparkContext.broadcast(  # TERM_BUCKETS numbers
         (np.log1p((n_docs - seen + 0.5) / (seen + 0.5)).astype(np.float32), n_words / max(n_docs, 1), seen > 1))
 
-    def place(batches):
-        for batch in batches:
-            for part, col in pieces(batch, "text", PIECE_BYTES):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(content_keys(*term_rows(col, len(statistics.value[0])), *statistics.value))],
-                                                 ["doc_id", "text", "place"])
+    def place(text: pa.Array) -> pa.Array:
+        out = [content_keys(*term_rows(col, len(statistics.value[0])), *statistics.value)
+               for _, col in pieces(pa.RecordBatch.from_arrays([text], ["text"]), "text", PIECE_BYTES)]
+        return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64), pa.int64())
 
     def run(batches):
         from pyspark import TaskContext
@@ -254,9 +255,30 @@ def lexical_packing(docs: DataFrame, tokenizer: str | None = None, id_col: str =
             yield close()
 
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    placed = rows.mapInArrow(place, "doc_id long, text string, place long")
-    order = ["place", F.xxhash64("doc_id", "text")]  # the second part divides a frequent place
-    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, kind + (", ids binary" if keep_ids else ""))
+    # rows are dealt by (place, hash), so that the second part divides a frequent place, at the
+    # quantiles of a bounded sample; only the layout of shards depends on it
+    rows = rows.withColumn("mix", F.xxhash64("doc_id", "text"))
+    keys = F.arrow_udf(place, "long")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    share = min(1.0, BORDER_SAMPLE * parts / max(n_docs, 1))
+    sample = rows.where((F.col("mix").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64) < share)
+    found = sorted(tuple(r) for r in sample.select(keys("text").alias("place"), F.xxhash64("mix").alias("again")).collect())  # BORDER_SAMPLE rows a partition, about
+    cuts = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
+    borders = spark.sparkContext.broadcast(np.array(cuts, np.int64).reshape(-1, 2))  # one row per partition
+
+    def part_of(at: pa.Array, again: pa.Array) -> pa.Array:
+        a, b = np.asarray(at), np.asarray(again)
+        first, second = borders.value.T
+        low, high = np.searchsorted(first, a, side="left"), np.searchsorted(first, a, side="right")
+        part = low
+        for i in np.flatnonzero(high > low).tolist():  # a place that is a border itself
+            part[i] = low[i] + np.searchsorted(second[low[i]:high[i]], b[i], side="right")
+        return pa.array(part.astype(np.int32))
+
+    placed = rows.withColumn("place", keys("text")).withColumn("again", F.xxhash64("mix"))
+    placed = placed.withColumn("part", F.arrow_udf(part_of, "int")("place", "again"))
+    dealt = placed.repartitionById(parts, "part").sortWithinPartitions("place", "again")
+    return dealt.select("doc_id", "text").mapInArrow(run, kind + (", ids binary" if keep_ids else ""))
 
 
 ship_by_value(__name__)
