@@ -42,6 +42,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def scored_text(url: Column) -> Column:
+    """What the models see: everything after the first ``://`` (A-Z of the host as a-z), or the
+    whole text where there is none; null: empty."""
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), F.concat(host_of(url), rest)).otherwise(url), F.lit(""))
+
+
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
     """(rule text, verdict) of the longest rule that fits host (or a subdomain) and path."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -108,10 +115,12 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(
                 url_col: str = "url", *, order: int = ORDER, hot_share: float = 0.001, folds: int = 5) -> DataFrame:
     """One row per input row: ``<id_col>, host, path, rule, verdict, score, threshold``.
 
-    A null url or one without ``://`` has an empty host and path, so no rule fits it; it is
-    scored as the empty text.  ``score`` is null where a rule decides.  If the examples of a
-    class are missing, every undecided URL is allowed.  Equal URLs get equal verdicts;
-    repeated rows stay; an empty table gives an empty result; other columns aren't read."""
+    A null url or one without ``://`` has an empty host and path, so no rule fits it.  The
+    models see whole urls, query and fragment too (``scored_text``), however long; a null
+    url is scored as the empty text.  ``score`` is null where a rule decides; of rules of equal
+    length the one named last is asked first.  If the examples of a class are missing, every
+    undecided URL is allowed.  Equal URLs get equal verdicts; repeated rows stay; an empty
+    table gives an empty result; other columns aren't read."""
     spark = pages.sparkSession
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -120,10 +129,10 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(
         return spark.read.parquet(path)
 
     url = F.col(f"`{url_col}`").cast("string")
-    parsed = pages.select(F.col(f"`{id_col}`").alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    parsed = pages.select(F.col(f"`{id_col}`").alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"), scored_text(url).alias("_seen"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     rows = kept(parsed.withColumns({"rule": rule, "_ruled": verdict, "_row": F.monotonically_increasing_id(),
-                                    "_padded": F.concat(F.lit(START * order), "host", "path", F.lit(STOP))}), "urls")
+                                    "_padded": F.concat(F.lit(START * order), "_seen", F.lit(STOP))}), "urls")
     example = rows.where("_ruled IS NOT NULL").withColumn("_good", F.col("_ruled") == "allow")
     unseen = F.pmod(F.xxhash64("_padded"), F.lit(folds)) == 0  # the calibration fold
     counts = kept(gram_counts(example.where(~unseen), order), "url-grams")

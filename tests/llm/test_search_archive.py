@@ -203,15 +203,24 @@ def test_models_tell_urls_apart(spark):
     assert np.mean(right) > 0.95 and {got[9000 + i]["verdict"] for i in range(500)} == {"allow"}
 
 
+def whole_url(url):
+    if url is None or "://" not in url:
+        return url or ""
+    host, _ = split_url(url)
+    return host + url.split("://", 1)[1][len(host):]
+
+
 def test_scores_match_a_plain_model(spark):
-    rows = [(i, f"http://{'ab' * (i % 4)}x.com/{'fr' if i % 3 else 'de'}/{i % 7}") for i in range(60)] + [(100 + i, f"http://abx.net/{t}") for i, t in enumerate(["fr/1", "de/2", "", "zz"])]
+    rows = [(i, f"http://{'aB' * (i % 4)}x.com/{'fr' if i % 3 else 'de'}/{i % 7}{'?Q=fr#a' if i % 5 == 0 else ''}") for i in range(60)]
+    rows += [(100 + i, u) for i, u in enumerate(["http://abx.net/fr/1", "http://abx.net/de/2", "http://ABX.net/", "http://abx.net/zz", "http://x.net/?Q=fr#a", "http://x.net/?Q=de",
+                                                 "abx.net/fr/1", "ABX.net/de", None, "", "x?y#://z"])]
     df = url_filter.filter_urls(url_frame(spark, rows), folds=10 ** 9)  # no calibration fold: all examples are counted
     got = {r["page_id"]: r["score"] for r in df.collect()}
     n = url_filter.ORDER
     counts = [defaultdict(Counter), defaultdict(Counter)]
     for i, u in rows[:60]:
         host, path = split_url(u)
-        text = url_filter.START * n + host + path + url_filter.STOP
+        text = url_filter.START * n + whole_url(u) + url_filter.STOP
         for j in range(n, len(text)):
             for k in range(n + 1):
                 counts[0 if rule_of(host, path)[1] == "allow" else 1][text[j - k:j]][text[j]] += 1
@@ -225,7 +234,7 @@ def test_scores_match_a_plain_model(spark):
         return out
 
     for i, u in rows[60:]:
-        text = url_filter.START * n + "".join(split_url(u)) + url_filter.STOP
+        text = url_filter.START * n + whole_url(u) + url_filter.STOP
         ratio = [math.log(p(counts[0], text[j - n:j], text[j]) / p(counts[1], text[j - n:j], text[j])) for j in range(n, len(text))]
         assert got[i] == pytest.approx(sum(ratio) / len(ratio), abs=1e-9)
 
