@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.llm.words import buffers, pieces, ship_by_value, span_hashes, word_spans
+from biblioflow.llm.words import buffers, pieces, release, ship_by_value, span_hashes, word_spans
 
 WORD_BUCKETS = 1 << 14
 SHAPES = 1 << 10
@@ -228,26 +228,31 @@ def rate_quality(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc
     and empty texts score 0, which the thresholds alone decide.  Without a model (fewer than
     two grades among the ratings) both figures are null and every row is kept.  Repeated
     rows stay; a text is scored whole, however long; other columns aren't read."""
-    return _rated(docs, model, text_col, F.col(f"`{id_col}`"), min_grade, min_tail).select(
-        F.col("_row").alias(id_col), "expected_grade", "tail", "kept")
+    return _rated(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")), model, "_text", min_grade, min_tail).select(
+        F.col("_row._id").alias(id_col), "expected_grade", "tail", "kept")
 
 
 def keep_quality(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", *, min_grade: float = 1, min_tail: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that ``rate_quality`` keeps, all columns."""
-    return _rated(docs, model, text_col, F.struct("*"), min_grade, min_tail).where("kept").select("_row.*")
+    return _rated(docs, model, text_col, min_grade, min_tail).where("kept").select("_row.*")
 
 
-def _rated(docs: DataFrame, model: OrdinalModel | None, text_col: str, carried, min_grade: float, min_tail: float) -> DataFrame:
-    rows = docs.select(carried.alias("_row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def _rated(docs: DataFrame, model: OrdinalModel | None, text_col: str, min_grade: float, min_tail: float) -> DataFrame:
+    """``_row`` (all columns of ``docs``, its text among them, once), ``expected_grade, tail, kept``."""
+    rows = docs.select(F.struct("*").alias("_row"))
     if model is None:
         return rows.select("_row", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail"), F.lit(True).alias("kept"))
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.grades))  # FEATURES numbers
+    at = docs.columns.index(text_col)
 
     def run(batches):
+        release()
         m = OrdinalModel(*shared.value)
         asked = int(np.searchsorted(m.grades, min_grade))  # the first grade that is high enough
         for batch in batches:
-            for part, col in pieces(batch, "text"):
+            row = batch.column("_row")
+            both = pa.RecordBatch.from_arrays([row, row.field(at).cast(pa.large_string())], ["_row", "text"])
+            for part, col in pieces(both, "text"):
                 score = text_scores(col, m)
                 tail = 1 / (1 + np.exp(np.clip(m.thresholds[None, :] - score[:, None], -700, 700)))
                 expected = m.grades[0] + tail @ np.diff(m.grades)

@@ -37,6 +37,14 @@ def worker_cache(key, build):
     return holder.__dict__[key]
 
 
+def release() -> None:
+    """Let go of what other operators left in this Python worker (workers are reused): word
+    lists and encoders, which can be large."""
+    held = sys.modules.get("_biblioflow_llm_cache")
+    for key in [k for k in held.__dict__ if isinstance(k, tuple)] if held else ():
+        del held.__dict__[key]
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as large_string without nulls (null: empty)."""
     col = batch.column(name)
