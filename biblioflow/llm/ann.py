@@ -6,8 +6,8 @@
   the vectors (``max_sample``); every vector is then routed to its leaf of every tree.
 * A query keeps one priority queue for all trees, ordered by its distance to the planes on
   the other side of which a branch lies, and opens leaves from it until these hold
-  ``search_share`` times as many rows as there are vectors, and ``least_rows`` at least (a
-  vector is in one leaf of each tree, so a small table is searched whole).
+  ``search_share`` times as many rows as there are vectors (a vector is in one leaf of each
+  tree), at every size of the table.
 * A leaf's vectors meet the queries that opened it; exact inner products in double
   precision rank them, and the best of all leaves are the answer.
 
@@ -32,7 +32,6 @@ TREES, DEPTH = 12, 7
 SEARCH_SHARE = 1.6
 MAX_SAMPLE = 32_768
 PART_ROWS = 4096
-LEAST_ROWS = 4096
 
 
 def build_forest(sample: np.ndarray, trees: int, depth: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +134,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def forest_search(vectors: DataFrame, is_query, k: int, id_col: str = "vec_id", vector_col: str = "embedding", *,
                   trees: int = TREES, depth: int = DEPTH, search_share: float = SEARCH_SHARE, max_sample: int = MAX_SAMPLE,
-                  part_rows: int = PART_ROWS, least_rows: int = LEAST_ROWS, seed: int = 5) -> DataFrame:
+                  part_rows: int = PART_ROWS, seed: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row that ``is_query`` (a predicate on
     ``vec_id``) accepts, the ``k`` nearest found of all other rows, nearest first, equal scores
     by smaller id; fewer rows if there are fewer candidates.
@@ -188,7 +187,7 @@ def forest_search(vectors: DataFrame, is_query, k: int, id_col: str = "vec_id",
 
     def ask(batches):
         planes, offsets, count, parts = state.value
-        wanted = max(least_rows, search_share * count[0].sum())
+        wanted = search_share * count[0].sum()
         for batch in batches:
             x = matrix(batch.column("x"))
             for i in range(len(x)):
