@@ -33,8 +33,14 @@ NEW_NUMBERS = [
     (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 
 
+#: Unicode versions of Python's unicodedata whose tables, with the lists above, are those of 16.0.
+KNOWN_TABLES = ("15.1.0", "16.0.0")
+
+
 def character_classes() -> np.ndarray:
     def build():
+        if unicodedata.unidata_version not in KNOWN_TABLES:
+            raise RuntimeError(f"this worker's Python knows Unicode {unicodedata.unidata_version}; ids are only right with one of {KNOWN_TABLES}")
         kind = {"L": LETTER, "N": NUMBER}
         table = np.fromiter((kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)),
                             np.uint8, sys.maxunicode + 1)
