@@ -18,19 +18,32 @@ from biblioflow.session import scratch_path
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path  # for drop_written
+    return out
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def drop_written(*frames: DataFrame) -> None:
+    """Remove the folders of frames from ``_written``.  Only for frames from which nothing is
+    derived any more but what is written itself: a lost executor's work could not be done
+    again."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the star's edges, the least neighbours it reads)"""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = _written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")  # every v is smaller than its u
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), least
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -42,7 +55,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     now = _written(pairs, "edges")
     before = None
     for _ in range(rounds):
-        now = _written(_small_star(_large_star(now)), "edges")
+        large, above = _large_star(now)
+        small, below = _small_star(large)
+        last, now = now, _written(small, "edges")
+        drop_written(last, above, below)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()  # two numbers
         if mark == before or mark[0] == 0:
             break

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.llm.components import _written, components
+from biblioflow.llm.rows import numbered
 from biblioflow.llm.words import buffers, mix, pieces, shingle_hashes, ship_by_value, span_hashes, word_spans
 
 COUNT_BUCKETS = 1 << 21
@@ -336,11 +337,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id: one of each group stays,
-    and rows without shingles or without id stay."""
-    found = jaccard_components(docs, id_col, text_col, **options)
+    and rows without shingles or without id stay.
+
+    Rows that share an id but not a text are judged apart (``numbered``): those that have to
+    be renumbered count as behind all others, and no text goes because another one with its
+    id does.  Rows that share id and text stay or go together."""
+    rows, _ = numbered(docs.select(F.struct("*").alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")), "_id", "_text")
+    found = jaccard_components(rows, "_row_id", "_text", **options)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.struct("*").alias("_row"))
-    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+    return rows.join(gone, F.col("_row_id") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 ship_by_value(__name__)

@@ -10,7 +10,7 @@ import pytest
 from biblioflow.llm.components import components
 from biblioflow.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from biblioflow.llm.ngram_join import drop_similar, jaccard_components, similar_pairs
-from biblioflow.llm.paragraph_dedup import remove_repeats, repeated_paragraphs, similar_lines
+from biblioflow.llm.paragraph_dedup import remove_repeats, repeated_paragraphs, repeated_runs, similar_lines
 
 CLASH = "doc_id long, text string, kept boolean, key string, n int, id int, _row string, size string, comp string, gid string"
 
@@ -197,3 +197,69 @@ def test_similar_lines_match_brute_force_whatever_the_layout(spark, parts, block
     found = similar_lines(frame(spark, rows).repartition(parts), 30, 80, 100, block).collect()
     assert all(r["whole"] and r["spans"][0]["end"] == len(dict(rows)[r["a_doc"]]) for r in found)
     assert {r["a_doc"]: r["b_doc"] for r in found} == {i: c for i, (_, c) in brute_components(rows, 5, 80, 100).items() if i != c}
+
+
+def left_after(rows, size=30):
+    """Words that stay when, in order, each run of ``size`` words goes that an earlier text or
+    earlier lines of the same one hold."""
+    first, out = {}, {}
+    texts = [(i, [(w, n) for n, line in enumerate((t or "").split("\n")) for w in re.findall(r"[^\x20\x09-\x0D]+", line)]) for i, t in rows]
+    for k, (i, words) in enumerate(texts):
+        for p in range(len(words) - size + 1):
+            run = tuple(w.lower() if w.isascii() else w for w, _ in words[p:p + size])
+            first.setdefault(run, (k, words[p + size - 1][1]))
+    for k, (i, words) in enumerate(texts):
+        gone = [False] * len(words)
+        for p in range(len(words) - size + 1):
+            f, last = first[tuple(w.lower() if w.isascii() else w for w, _ in words[p:p + size])]
+            if f < k or (f == k and words[p][1] > last):
+                gone[p:p + size] = [True] * size
+        out[i] = sum(not g for g in gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_match_brute_force(spark, seed):
+    """Passages of several lengths, whole copies, edits, short lines and repeats in one text."""
+    rng = random.Random(seed)
+    shared = [prose(rng, n).split() for n in (30, 31, 45, 90, 200)] + [["same"] * 70, ("a b " * 40).split()]
+    rows = []
+    for i in range(1, 61):
+        words = []
+        for _ in range(rng.randrange(1, 5)):
+            words += prose(rng, rng.randrange(0, 40)).split()
+            if rng.random() < 0.7:
+                part = list(rng.choice(shared))
+                if rng.random() < 0.4:
+                    part[rng.randrange(len(part))] = f"edit{i}"
+                words += part[rng.randrange(0, 10):]
+        wide = rng.choice([5, 17, 60, 1000])
+        text = "\n".join(" ".join(words[k:k + wide]) + rng.choice(["", "", "\n"]) for k in range(0, len(words), wide))
+        rows.append((i, text))
+        if rng.random() < 0.15:
+            rows.append((100 + i, text))
+    rows.sort()
+    found = repeated_runs(frame(spark, rows).repartition(5).select("doc_id", "text"), 30).collect()
+    total = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in rows}
+    gone = Counter()
+    for r in found:
+        line = dict(rows)[r["a_doc"]].split("\n")[r["a_par"]].encode()
+        assert sum(len(re.findall(rb"[^\x20\x09-\x0D]+", line[s["start"]:s["end"]])) for s in r["spans"]) == r["words"]
+        gone[r["a_doc"]] += r["words"]
+    assert {i: total[i] - gone[i] for i in total} == left_after(rows)
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(12)
+    p, q, r = prose(rng, 60), prose(rng, 60), prose(rng, 45)
+    two = [(1, p), (2, p), (2, q)]
+    left = sorted((x["doc_id"], x["text"]) for x in remove_repeats(frame(spark, two)).collect())
+    assert left == sorted([(1, p), (2, ""), (2, q)])
+    short = [(1, p), (2, "\n".join([r] * 2 + [q, "x", p])), (2, p + " y"), (2, p + " y"), (None, p), (None, q)]
+    left = Counter(x["text"] for x in remove_repeats(frame(spark, short)).collect())
+    assert sum(n * t.count(q) for t, n in left.items()) == 2 and sum(n * t.count(r) for t, n in left.items()) == 1 and left["y"] in (0, 2)
+    got = repeated_paragraphs(frame(spark, two)).collect()
+    assert [(x["doc_id"], x["kept_doc_id"], x["words"]) for x in got] == [(2, 1, 60)]
+    near = [(1, p), (2, p + " more"), (2, q), (3, q + " more"), (2, q)]
+    kept = Counter((x["doc_id"], x["text"]) for x in drop_similar(frame(spark, near)).collect())
+    assert sum(1 for _, t in kept if t.startswith(p)) == 1 and sum(1 for _, t in kept if t.startswith(q)) == 1
