@@ -33,6 +33,12 @@ def drop_written(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def let_go(spark) -> None:
+    """Have Spark remove the shuffle files of finished steps now: its cleaner follows the
+    driver's garbage collection, which a driver with little to do puts off."""
+    spark._jvm.System.gc()
+
+
 def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the star's edges, the least neighbours it reads)"""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
