@@ -7,7 +7,7 @@
 * A query keeps one priority queue for all trees, ordered by its distance to the planes on
   the other side of which a branch lies, and opens leaves from it until these hold
   ``search_share`` times as many rows as there are vectors (a vector is in one leaf of each
-  tree), at every size of the table.
+  tree), at every size of the table, and so many that k different ones are among them.
 * A leaf's vectors meet the queries that opened it; exact inner products in double
   precision rank them, and the best of all leaves are the answer.
 
@@ -187,7 +187,7 @@ def forest_search(vectors: DataFrame, is_query, k: int, id_col: str = "vec_id",
 
     def ask(batches):
         planes, offsets, count, parts = state.value
-        wanted = search_share * count[0].sum()
+        wanted = max(search_share * count[0].sum(), trees * (k + 1))  # k + 1 different ones at least
         for batch in batches:
             x = matrix(batch.column("x"))
             for i in range(len(x)):

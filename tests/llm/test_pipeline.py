@@ -25,7 +25,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     res = con.execute(queries.ORACLE[name])
     cols, want = [d[0] for d in res.description], res.fetchall()
