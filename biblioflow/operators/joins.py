@@ -33,11 +33,15 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 # E1 ------------------------------------------------------------------------------------
+def largest_refcounts(refcounts: DataFrame) -> DataFrame:
+    """``DOI, References``: the largest count of each DOI."""
+    return refcounts.where(F.col("DOI").isNotNull()).groupBy("DOI").agg(F.max("References").alias("References"))
+
+
 def join_refcounts(papers: DataFrame, refcounts: DataFrame, doi: str = "prism:doi") -> DataFrame:
     """Left join papers with reference counts on DOI, ``ref_count`` 0 when absent.  The
     right side is reduced to one row per DOI (largest count) so duplicates cannot fan out."""
-    right = (refcounts.where(F.col("DOI").isNotNull())
-             .groupBy(F.col("DOI").alias("_ref_doi")).agg(F.max("References").alias("ref_count")))
+    right = largest_refcounts(refcounts).select(F.col("DOI").alias("_ref_doi"), F.col("References").alias("ref_count"))
     j = papers.join(right, c(doi) == F.col("_ref_doi"), "left")
     return j.drop("_ref_doi").withColumn("ref_count", F.coalesce(F.col("ref_count"), F.lit(0)))
 

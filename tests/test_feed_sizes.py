@@ -38,3 +38,21 @@ def test_landed_feeds_are_compressed(spark):
     text = spark.read.text(path)
     on_disk = sum(os.path.getsize(f.removeprefix("file://")) for f in text.inputFiles())
     assert on_disk * 5 < text.agg(F.sum(F.length("value"))).first()[0]
+
+
+def test_array_files_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(K, "ARRAY_PAPERS", 100)
+    n = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert K._array_count(spark, SF_SMALL) == -(-n // 100)
+    files = K._array_files(spark.range(700).select(F.col("id").alias("paper_id"), F.lit("{}").alias("json")), 7)
+    path = scratch_path(spark, "arrays")
+    files.write.text(path)
+    counts = [r["count"] for r in spark.read.text(path).where("value = '{},'").groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(counts) == 7 and max(counts) < 200
+
+
+def test_folders_are_written_without_sorting(spark, tmp_path):
+    df = spark.range(100).select((F.col("id") % 3).alias("year"), F.col("id").cast("string").alias("value"))
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 16
+    df.write.partitionBy("year").text(str(tmp_path / "y"))
+    assert spark.read.text(str(tmp_path / "y")).count() == 100
