@@ -8,8 +8,10 @@ probabilities P(grade >= k) = logistic(s - threshold_k), which give the expected
 the selection.
 
 Ratings: 0 where ``quality`` is 0; 1 for good but toxic documents; 2 for good, clean ones.
-The model is fitted on a bounded sample of rated documents (``max_rated``); everything else
-reads all documents, each by itself.
+The model comes from all rated documents: they are dealt into parts of about ``max_rated`` by
+a hash of their ids, each part is fitted by a task, and the parts' parameters are averaged by
+their documents.  The threshold counts all held-out documents.  Everything else reads all
+documents, each by itself.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +29,10 @@ from biblioflow.llm.words import buffers, pieces, release, ship_by_value, span_h
 WORD_BUCKETS = 1 << 14
 SHAPES = 1 << 10
 FEATURES = WORD_BUCKETS + SHAPES + 1
-#: Rated documents that the model is fitted on, at most.
+#: Rated documents that one task fits, about.
 MAX_RATED = 8000
+#: Ranges of the held-out documents' tails that are ranked apart.
+RANGES = 128
 #: Share of the held-out good and clean documents that a calibrated selection keeps at least.
 CLEAN_KEPT = 0.97
 STEPS, RATE, PENALTY = 300, 0.2, 1e-5
@@ -73,7 +77,7 @@ def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def feature_rows(batches):
-    """Sparse mean features of rated documents: ``grade, indices, values``."""
+    """Sparse mean features of rated documents: ``grade, hash, indices, values``."""
     for batch in batches:
         for rows, col in pieces(batch, "text"):
             data, off = buffers(col)
@@ -86,17 +90,18 @@ def feature_rows(batches):
                 index, n = np.unique(every, return_counts=True)
                 out[0].append(index.astype("<i4").tobytes())
                 out[1].append((n / max(b - a, 1)).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([rows.column("grade"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())],
-                                             ["grade", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([rows.column("grade"), rows.column("hash"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())],
+                                             ["grade", "hash", "indices", "values"])
 
 
-def fit_ordinal(grades: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]]) -> OrdinalModel | None:
-    """Maximum likelihood by full-batch Adam steps; None with fewer than two grades.
+def fit_ordinal(grades: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], levels: np.ndarray | None = None) -> OrdinalModel | None:
+    """Maximum likelihood by full-batch Adam steps; None with fewer than two grades (``levels``,
+    by default those of the rows).
 
     Features are scaled by the square root of their root mean square, between what common
     and what rare words would need; thresholds stay ordered because their gaps are
     exponentials."""
-    levels = np.unique(grades)
+    levels = np.unique(grades) if levels is None else levels
     if len(levels) < 2:
         return None
     sizes = np.array([len(i) for i, _ in rows])
@@ -143,32 +148,48 @@ def graded(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
             .groupBy(id_col).agg(F.min("grade").alias("grade")))
 
 
-def rated_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, max_rated: int) -> list:
-    """``grade, indices, values`` of at most ``max_rated`` rated documents (those whose ids
-    hash lowest), the one place where rows come to the driver: their sparse features."""
-    order = F.xxhash64(F.col(f"`{id_col}`"), F.lit(17))
-    total = ratings.agg(F.count(F.lit(1)).cast("double")).scalar()
-    share = F.least(F.lit(1.0), F.lit(1.2 * max_rated + 200) / F.greatest(total, F.lit(1.0)))
-    few = ratings.where((order.cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64) < share)  # a little more than is wanted
-    sample = few.orderBy(order, id_col).limit(max_rated)
+def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``grade, hash, indices, values`` of every rated document, stored: its sparse features and a
+    hash of its id."""
+    from biblioflow.session import scratch_path
+
     texts = docs.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rated = texts.join(F.broadcast(sample), id_col)  # at most max_rated ids
-    got = rated.select("grade", "text").mapInArrow(feature_rows, "grade int, indices binary, values binary").limit(max_rated).collect()
-    got.sort(key=lambda r: (r["grade"], r["indices"], r["values"]))  # the same order whatever the partitions
-    return got
+    rated = texts.join(ratings, id_col).select("grade", F.xxhash64(F.col(f"`{id_col}`"), F.lit(17)).alias("hash"), "text")
+    path = scratch_path(docs.sparkSession, "rated")
+    rated.mapInArrow(feature_rows, "grade int, hash long, indices binary, values binary").write.parquet(path)
+    return docs.sparkSession.read.schema("grade int, hash long, indices binary, values binary").parquet(path)
 
 
-def _fitted(got: list) -> OrdinalModel | None:
-    if not got:
+def fit_parts(rows: DataFrame, max_rated: int) -> OrdinalModel | None:
+    """The model of all ``rows`` of ``rated_features``: parts of about ``max_rated`` of them are
+    fitted each by a task, and their weights and thresholds averaged, by the parts' rows."""
+    counts = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}  # three grades
+    levels = np.array(sorted(counts))
+    if len(levels) < 2:
         return None
-    return fit_ordinal(np.array([r["grade"] for r in got]),
-                       [(np.frombuffer(r["indices"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in got])
+    parts = max(1, -(-sum(counts.values()) // max_rated))
+
+    def fit(part: pa.Table) -> pa.Table:
+        got = sorted(zip(*[part.column(c).to_pylist() for c in ("grade", "indices", "values")]))  # the same order however they came
+        one = fit_ordinal(np.array([g for g, _, _ in got]), [(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for _, i, v in got], levels)
+        value = np.concatenate([one.weights, one.thresholds])
+        n = len(value)
+        return pa.table({"part": pa.array([part.column("part")[0].as_py()] * n, pa.int32()), "index": pa.array(np.arange(n, dtype="int32")),
+                         "n": pa.array([len(got)] * n, pa.int64()), "value": pa.array(value)})
+
+    fits = rows.withColumn("part", F.pmod("hash", F.lit(parts)).cast("int")).groupBy("part").applyInArrow(fit, "part int, index int, n long, value double")
+    each = fits.groupBy("index").agg(F.array_sort(F.collect_list(F.struct("part", "n", "value"))).alias("fits"))  # summed in one order
+    mean = F.aggregate("fits", F.lit(0.0), lambda a, x: a + x["n"] * x["value"]) / F.aggregate("fits", F.lit(0.0), lambda a, x: a + x["n"])
+    value = np.zeros(FEATURES + len(levels) - 1)
+    for r in each.select("index", mean.alias("value")).collect():  # FEATURES numbers, however many the rows
+        value[r["index"]] = r["value"]
+    return OrdinalModel(value[:FEATURES], value[FEATURES:], levels.astype(np.float64))
 
 
 def fit_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                 max_rated: int = MAX_RATED) -> OrdinalModel | None:
-    """The model of a sample of at most ``max_rated`` rated documents."""
-    return _fitted(rated_sample(docs, ratings, id_col, text_col, max_rated))
+    """The model of all rated documents."""
+    return fit_parts(rated_features(docs, ratings, id_col, text_col), max_rated)
 
 
 @dataclass
@@ -185,28 +206,66 @@ class Selection:
 def fit_selection(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                   max_rated: int = MAX_RATED, min_grade: float = 2, clean_kept: float = CLEAN_KEPT) -> tuple[OrdinalModel | None, Selection]:
     """A model, and a threshold of P(grade >= min_grade) from rated documents that it was not
-    fitted on (each fifth of the sample): of the thresholds that keep a share of
+    fitted on (a fifth of all, by a hash of their ids): of the thresholds that keep a share of
     ``clean_kept`` of the documents of that grade, the one that tells most of the lower ones
     apart.  Without held-out documents of both kinds the threshold is 0.5."""
-    got = rated_sample(docs, ratings, id_col, text_col, max_rated)
-    model = _fitted([r for i, r in enumerate(got) if i % 5])
-    held = got[::5]
+    rows = rated_features(docs, ratings, id_col, text_col)
+    held = F.pmod(F.xxhash64("hash"), F.lit(5)) == 0
+    model = fit_parts(rows.where(~held), max_rated)
     if model is None:
         return model, Selection(min_grade, 0.5, None, {})
     min_grade = float(model.grades[min(int(np.searchsorted(model.grades, min_grade)), len(model.grades) - 1)])  # the best there is
     if min_grade == model.grades[0]:
         return model, Selection(min_grade, 0.5, None, {})
-    score = np.array([float(np.frombuffer(r["values"], "<f4") @ model.weights[np.frombuffer(r["indices"], "<i4")]) for r in held])
-    cut = model.thresholds[int(np.searchsorted(model.grades, min_grade)) - 1]
-    tail = 1 / (1 + np.exp(np.clip(cut - score, -700, 700)))
-    grade = np.array([r["grade"] for r in held])
-    clean, lower = np.sort(tail[grade >= min_grade]), np.sort(tail[grade < min_grade])
-    if len(clean) == 0 or len(lower) == 0:
+    tails = held_tails(rows.where(held), model, min_grade)
+    at, kept = best_threshold(tails, min_grade, clean_kept)
+    if at is None:
         return model, Selection(min_grade, 0.5, None, {})
-    each = clean[:int((1 - clean_kept) * len(clean)) + 1]  # the thresholds that keep enough
-    gain = np.searchsorted(lower, each) / len(lower) - np.searchsorted(clean, each) / len(clean)
-    at = float(each[np.argmax(gain)])
-    return model, Selection(min_grade, at, float((clean >= at).mean()), {int(g): float((tail[grade == g] < at).mean()) for g in np.unique(grade[grade < min_grade])})
+    dropped = tails.where(F.col("grade") < min_grade).groupBy("grade").agg(F.avg((F.col("tail") < at).cast("int")).alias("share")).collect()
+    return model, Selection(min_grade, at, kept, {r["grade"]: r["share"] for r in dropped})
+
+
+def held_tails(rows: DataFrame, model: OrdinalModel, min_grade: float) -> DataFrame:
+    """``grade, tail`` of held-out documents, stored."""
+    from biblioflow.session import scratch_path
+
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(model.weights)  # FEATURES numbers
+    cut = float(model.thresholds[int(np.searchsorted(model.grades, min_grade)) - 1])
+
+    def run(batches):
+        w = shared.value
+        for batch in batches:
+            score = np.array([float(np.frombuffer(v, "<f4") @ w[np.frombuffer(i, "<i4")])
+                              for i, v in zip(batch.column("indices").to_pylist(), batch.column("values").to_pylist())], np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(1 / (1 + np.exp(np.clip(cut - score, -700, 700))))], ["grade", "tail"])
+
+    path = scratch_path(spark, "held-tails")
+    rows.select("grade", "indices", "values").mapInArrow(run, "grade int, tail double").write.parquet(path)
+    return spark.read.schema("grade int, tail double").parquet(path)
+
+
+def best_threshold(tails: DataFrame, min_grade: float, clean_kept: float) -> tuple[float | None, float | None]:
+    """The threshold and the share of clean documents it keeps, by exact counts of all rows below
+    each clean document's tail (None without documents of both kinds)."""
+    clean = F.col("grade") >= min_grade
+    total = tails.agg(F.count_if(clean).alias("clean"), F.count_if(~clean).alias("lower"),
+                      F.percentile_approx("tail", [i / RANGES for i in range(1, RANGES)], 10_000).alias("cuts")).first()
+    if not total["clean"] or not total["lower"]:
+        return None, None
+    # counts below = those of lower ranges, cumulated over the small frame, and those below within the range
+    ranged = F.size(F.filter(F.lit([float(c) for c in total["cuts"]]), lambda c: c < F.col("tail")))
+    each = tails.groupBy(ranged.alias("range"), "tail").agg(F.count_if(clean).alias("clean"), F.count_if(~clean).alias("lower"))
+    up = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = each.groupBy("range").agg(F.sum("clean").alias("clean"), F.sum("lower").alias("lower")).select(
+        "range", *[F.coalesce(F.sum(c).over(up), F.lit(0)).alias(f"{c}_ranges") for c in ("clean", "lower")])
+    inside = Window.partitionBy("range").orderBy("tail").rowsBetween(Window.unboundedPreceding, -1)
+    below = each.join(F.broadcast(ranges), "range").select("tail", "clean", *[  # RANGES rows
+        (F.col(f"{c}_ranges") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_below") for c in ("clean", "lower")])
+    gain = F.col("lower_below") / total["lower"] - F.col("clean_below") / total["clean"]
+    best = (below.where((F.col("clean") > 0) & (F.col("clean_below") <= int((1 - clean_kept) * total["clean"])))
+            .orderBy(gain.desc(), "tail").first())
+    return float(best["tail"]), 1 - best["clean_below"] / total["clean"]
 
 
 def text_scores(col: pa.Array, model: OrdinalModel) -> np.ndarray:
