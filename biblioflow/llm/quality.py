@@ -154,9 +154,10 @@ def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: s
     from biblioflow.session import scratch_path
 
     texts = docs.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rated = texts.join(ratings, id_col).select("grade", F.xxhash64(F.col(f"`{id_col}`"), F.lit(17)).alias("hash"), "text")
+    # one plan at every size: ratings grow with the documents, so they are never broadcast
+    rated = texts.join(ratings.hint("merge"), id_col).select("grade", F.xxhash64(F.col(f"`{id_col}`"), F.lit(17)).alias("hash"), "text")
     path = scratch_path(docs.sparkSession, "rated")
-    rated.mapInArrow(feature_rows, "grade int, hash long, indices binary, values binary").write.parquet(path)
+    rated.mapInArrow(feature_rows, "grade int, hash long, indices binary, values binary").write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema("grade int, hash long, indices binary, values binary").parquet(path)
 
 
