@@ -33,6 +33,18 @@ def test_feed_joins_move_no_rendered_texts(spark):
         assert "to_json" not in below and "Conference Proceeding" not in below
 
 
+def test_papers_meet_people_in_parts_of_bounded_rows(spark, tmp_path, monkeypatch):
+    sf = _tables(spark, str(tmp_path), list(range(90)))
+    cores = spark.sparkContext.defaultParallelism
+    assert X.papers_with_people(spark, sf).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(X, "PEOPLE_ROWS", 5)
+    people = X.papers_with_people(spark, sf)
+    assert people.rdd.getNumPartitions() == 18 and people.count() == 90
+    # lines are dealt before they are grouped: no group is held on the side that writes the shuffle
+    plan = people._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.rindex("RepartitionByExpression")
+
+
 def test_landed_feeds_are_compressed(spark):
     path = K.landed_feed(spark, SF_SMALL, "nested-papers")
     text = spark.read.text(path)
